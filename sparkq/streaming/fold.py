@@ -1,0 +1,72 @@
+"""Micro-batches folded over a state table, exactly once.
+
+A batch reads the state that the batch before it wrote, computes with ordinary
+DataFrame operators (and so shares their behaviour on hot groups), and writes
+its output and the next state under its own batch number. A batch that is run
+again after a failure overwrites its own folders with the same rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+# (batch, state tables of the batch before) -> (output, next state tables)
+Step = Callable[[DataFrame, dict[str, DataFrame]], tuple[DataFrame, dict[str, DataFrame]]]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def fold_batches(
+    stream: DataFrame,
+    step: Step,
+    state: Mapping[str, str],
+    out: str,
+    work: str,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Start the query. ``state`` maps state table names to their DDL schemas.
+
+    Output rows land in ``out/batch_id=<n>``; ``work`` holds the stream's
+    checkpoint and the state, and must be a folder the cluster shares.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+
+        def table(name: str, number: int) -> str:
+            return f"{work}/state/{number}/{name}"
+
+        before = {}
+        for name, schema in state.items():
+            path = table(name, batch_id - 1)
+            if batch_id > 0 and not _exists(spark, f"{path}/_SUCCESS"):
+                raise RuntimeError(f"state of batch {batch_id - 1} is missing: {path}")
+            before[name] = (
+                spark.read.schema(schema).parquet(path)
+                if batch_id > 0
+                else spark.createDataFrame([], schema)
+            )
+        result, after = step(batch, before)
+        result.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        for name, df in after.items():
+            df.write.mode("overwrite").parquet(table(name, batch_id))
+        # The batch before may still be needed for a re-run; older ones are not.
+        _delete(spark, f"{work}/state/{batch_id - 2}")
+
+    return (
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
