@@ -42,7 +42,7 @@ def cost_charges(spark, sf_dir):
 
 @query(
     f"""WITH {CALL_LOG_CTE}
-       SELECT request_id, backend, CASE WHEN k * 0.001 + 0.01 <= 0.1 THEN round(k * 0.001 + 0.01, 6) END AS charge,
+       SELECT request_id, backend, CASE WHEN k * 0.001 + 0.01 <= 0.1 THEN CAST(k * 0.001 + 0.01 AS DOUBLE) END AS charge,
               CASE WHEN k * 0.001 + 0.01 > 0.1 THEN 'over_cap' END AS refused_reason
        FROM call_log WHERE status = 'success' AND backend = 'b2'"""
 )
@@ -208,12 +208,13 @@ def peak_concurrency(spark, sf_dir):
 
 @query(
     f"""WITH {CALL_LOG_CTE}
-       SELECT request_id, driver, (epoch_us(TIMESTAMP '2024-01-15 12:00:00') - epoch_us(started_at)) // 1000 AS age_ms
-       FROM call_log WHERE started_at <= TIMESTAMP '2024-01-15 12:00:00'
-         AND epoch_us(started_at) + duration_ms * 1000 > epoch_us(TIMESTAMP '2024-01-15 12:00:00')"""
+       SELECT request_id, driver, (epoch_us(instant) - epoch_us(started_at)) // 1000 AS age_ms
+       FROM call_log, (SELECT max(ts) AS instant FROM events) AS t
+       WHERE started_at <= instant AND epoch_us(started_at) + duration_ms * 1000 > epoch_us(instant)"""
 )
 def running_calls(spark, sf_dir):
-    at = F.lit("2024-01-15 12:00:00").cast("timestamp")
+    """Calls in flight when the newest one started."""
+    at = read(spark, sf_dir, "events").agg(F.max("ts")).scalar()
     return telemetry.running_at(call_log(spark, sf_dir), at).select("request_id", "driver", "age_ms")
 
 

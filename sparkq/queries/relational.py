@@ -83,7 +83,7 @@ sql_query(
 sql_query(
     "q07_window_ranking",
     "orders",
-    """SELECT o_custkey, o_orderkey, o_totalprice, rn FROM (
+    """SELECT o_custkey, o_orderkey, o_totalprice, CAST(rn AS INT) AS rn FROM (
          SELECT o_custkey, o_orderkey, o_totalprice,
                 row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn
          FROM orders) AS t
@@ -143,20 +143,21 @@ sql_query(
 sql_query(
     "q12_string_functions",
     "documents",
-    """SELECT doc_id, upper(lang) AS lang_upper, length(text) AS n_text,
-              length(replace(text, ' ', '')) AS n_dense,
+    """SELECT doc_id, upper(lang) AS lang_upper, CAST(length(text) AS INT) AS n_text,
+              CAST(length(replace(text, ' ', '')) AS INT) AS n_dense,
               concat(source, ':', lang) AS tag, lpad(CAST(doc_id AS VARCHAR(20)), 8, '0') AS padded,
-              position(:needle IN text) AS at
+              CAST(position(:needle IN text) AS INT) AS at
        FROM documents""",
     {"needle": "ion"},
 )
 sql_query(
     "q12_date_functions",
     "orders",
-    """SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, count(*) AS n_orders,
-              min(o_orderdate) AS first_at, max(date_trunc('month', o_orderdate)) AS month_start
+    """SELECT CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m, count(*) AS n_orders,
+              min(o_orderdate) AS first_at,
+              CAST(max(date_trunc('month', o_orderdate)) AS TIMESTAMP_NTZ) AS month_start
        FROM orders GROUP BY year(o_orderdate), month(o_orderdate)""",
-    oracle="""SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, count(*) AS n_orders,
+    oracle="""SELECT CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m, count(*) AS n_orders,
               min(o_orderdate) AS first_at,
               CAST(max(date_trunc('month', o_orderdate)) AS TIMESTAMP) AS month_start
        FROM orders GROUP BY year(o_orderdate), month(o_orderdate)""",
@@ -177,7 +178,7 @@ sql_query(
               element_at(embedding, 1) AS head,
               aggregate(transform(embedding, x -> CASE WHEN x > 0 THEN 1 ELSE 0 END), 0, (a, x) -> a + x) AS positive
        FROM embeddings""",
-    oracle="""SELECT vec_id, label, len(embedding) AS dims, list_max(embedding) AS top,
+    oracle="""SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims, list_max(embedding) AS top,
               embedding[1] AS head,
               CAST(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS positive
        FROM embeddings""",
