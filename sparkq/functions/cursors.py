@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkq.functions.common import as_column, base64_text
+from sparkq.functions.common import as_column, base64_text, json_value
 
 VERSION = 1
 _BLOCK = 64
@@ -38,12 +38,6 @@ def hmac_sha256(message: Column, secret: str | bytes) -> Column:
     return F.unhex(F.sha2(F.concat(F.lit(outer), first), 256))
 
 
-def json_value(c: Column) -> Column:
-    """One value as JSON text, null included."""
-    text = F.to_json(F.array(c))
-    return F.substring(text, F.lit(2), F.length(text) - 2)
-
-
 def encode_cursor(
     binding: Column | str, keyset: Sequence[Column], secret: str | bytes, profile: str = ""
 ) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkq.functions.common import as_column
+from sparkq.functions.common import as_column, json_value
 
 
 def canonical_json(c: Column | str) -> Column:
@@ -20,7 +20,7 @@ def canonical_json(c: Column | str) -> Column:
     return (
         F.when(c.isNull(), F.lit("null"))
         .when(bare_float, F.trim(c).try_cast("double").cast("string"))
-        .otherwise(F.coalesce(parsed, F.to_json(F.array(c))))
+        .otherwise(F.coalesce(parsed, json_value(c)))
     )
 
 

@@ -46,4 +46,5 @@ def interval_iso8601(months: Column | str, days: Column | str, micros: Column |
         part(days_abs, "D"),
         clock,
     )
-    return F.when((m == zero) & (d == zero) & (us == zero), F.lit("PT0S")).otherwise(text)
+    known = m.isNotNull() & d.isNotNull() & us.isNotNull()
+    return F.when((m == zero) & (d == zero) & (us == zero), F.lit("PT0S")).when(known, text)

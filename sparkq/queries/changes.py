@@ -4,6 +4,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
+from sparkq.functions.common import json_value
 from sparkq.functions.fingerprints import request_fingerprint
 from sparkq.operators import changes, reuse, waiting
 from sparkq.queries.registry import CALL_LOG_CTE, query
@@ -109,7 +110,7 @@ def fingerprinted(spark, sf_dir):
             F.lit("k").alias("name"), (F.col("k") % 10).cast("string").alias("value")
         ),
         F.struct(
-            F.lit("kind").alias("name"), F.to_json(F.array("status")).substr(F.lit(2), F.length("status") + 2).alias("value")
+            F.lit("kind").alias("name"), json_value(F.col("status")).alias("value")
         ),
     )
     return calls.withColumn(

@@ -1,0 +1,43 @@
+import pytest
+from pyspark.sql import functions as F
+
+from sparkq.functions.intervals import interval_iso8601
+
+HOUR = 3_600_000_000
+CASES = [
+    ((0, 0, 0), "PT0S"),
+    ((14, 3, 14706000000), "P1Y2M3DT4H5M6S"),
+    ((0, 0, 1), "PT0.000001S"),
+    ((0, 0, 1100000), "PT1.1S"),
+    ((25, 0, 0), "P2Y1M"),
+    ((12, 0, 0), "P1Y"),
+    ((0, 1, 25 * HOUR), "P1DT25H"),
+    ((0, 0, 3600000001), "PT1H0.000001S"),
+    ((0, 0, 60_000_000), "PT1M"),
+    ((0, 0, 500_000), "PT0.5S"),
+    ((-14, -3, -14706789012), "-P1Y2M3DT4H5M6.789012S"),
+    ((0, -1, 0), "-P1D"),
+    ((0, 0, -1), "-PT0.000001S"),
+    ((1, -3, 0), "P1M3D"),
+    ((1, -1, 1000000), "P1M1DT1S"),
+    ((-1, 0, 1), "P1MT0.000001S"),
+    ((2**31 - 1, 2**31 - 1, 2**63 - 1), "P178956970Y7M2147483647DT2562047788H54.775807S"),
+    ((-(2**31), -(2**31), -(2**63)), "-P178956970Y8M2147483648DT2562047788H54.775808S"),
+]
+
+
+def test_cases(spark):
+    df = spark.createDataFrame(
+        [(i, *parts) for i, (parts, _) in enumerate(CASES)],
+        "i int, months int, days int, micros bigint",
+    )
+    out = df.select("i", interval_iso8601("months", "days", "micros").alias("iso"))
+    got = {r["i"]: r["iso"] for r in out.collect()}
+    assert [got[i] for i in range(len(CASES))] == [want for _, want in CASES]
+
+
+@pytest.mark.parametrize("missing", ["months", "days", "micros"])
+def test_null_part_is_null(spark, missing):
+    parts = {"months": F.lit(1), "days": F.lit(1), "micros": F.lit(1)}
+    parts[missing] = F.lit(None).cast("int")
+    assert spark.range(1).select(interval_iso8601(**parts)).first()[0] is None
