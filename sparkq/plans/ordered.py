@@ -22,6 +22,8 @@ from sparkq.plans.staging import stage
 
 # A group of this many rows is still one comfortable task (sort plus spill).
 HOT_GROUP_ROWS = 20_000_000
+# Aim for ranges of this size when the session's partition count would exceed it.
+RANGE_ROWS = 5_000_000
 
 _RANGE = "__range"
 _POS = "__pos"
@@ -43,8 +45,14 @@ class Running:
     expr: Column
 
 
-def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
+def _by_range(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Range partitions in key order, more than the session's count if ``rows`` need them.
+
+    Without a number adaptive execution merges small neighbours.
+    """
+    wanted = -(-rows // RANGE_ROWS)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(*([wanted] if wanted > usual else []), *keys)
 
 
 def _local(step: Running, group: Sequence[str], order: Sequence[str]) -> Column:
@@ -118,25 +126,23 @@ def scan_in_order(
             rows = rows.withColumn(step.out, _local(step, group, order))
         return rows
 
-    hot = df.groupBy(*group).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows)
-    if hot.limit(1).count() == 0:
+    names = [f"__hot_k{i}" for i in range(len(group))]
+    hot = (
+        df.groupBy(*[F.col(c).alias(n) for c, n in zip(group, names)])
+        .agg(F.count("*").alias("__n"))
+        .where(F.col("__n") > hot_rows)
+    )
+    hot_total = hot.agg(F.sum("__n")).first()[0]
+    if hot_total is None:
         return plain(df)
 
     # At most (rows of df / hot_rows) groups can be hot, so this side is bounded.
-    keys = F.broadcast(
-        stage(hot.select(*[F.col(c).alias(f"__hot_k{i}") for i, c in enumerate(group)]), "hot")
-    )
-    on = reduce(
-        lambda a, b: a & b,
-        [df[c].eqNullSafe(keys[f"__hot_k{i}"]) for i, c in enumerate(group)],
-    )
+    hot = stage(hot.drop("__n"), "hot")
+    keys = F.broadcast(hot)
+    on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(keys[n]) for c, n in zip(group, names)])
     cold = plain(df.join(keys, on, "left_anti"))
-    ranged = (
-        df.join(keys, on, "left_semi")
-        .repartitionByRange(*group, *order)
-        .withColumn(_RANGE, F.spark_partition_id())
-    )
-    split = stage(ranged, "ranges")
+    ranged = _by_range(df.join(keys, on, "left_semi"), [*group, *order], hot_total)
+    split = stage(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
     for step in steps:
         split = _carried(split, group, order, step)
     return cold.unionByName(split.drop(_RANGE))
@@ -149,7 +155,7 @@ def row_index(df: DataFrame, keys: Sequence[str], out: str = "row_index") -> Dat
     range comes from a table with one row per range.
     """
     placed = stage(
-        df.repartitionByRange(*keys)
+        _by_range(df, keys, df.count())
         .sortWithinPartitions(*keys)
         .select(
             "*",

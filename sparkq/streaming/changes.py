@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkq.operators.changes import parse_notifications
 from sparkq.plans.ordered import HOT_GROUP_ROWS, Running, scan_in_order
-from sparkq.streaming.fold import fold_batches
+from sparkq.streaming.fold import Keep, fold_batches
 
 
 def notifications(stream: DataFrame, payload: str = "payload") -> DataFrame:
@@ -40,7 +40,7 @@ def change_stream(
     kinds = {f.name: f.dataType.simpleString() for f in samples.schema}
     columns = samples.columns
 
-    def step(batch: DataFrame, state: dict[str, DataFrame]):
+    def step(batch: DataFrame, state: dict[str, DataFrame], keep: Keep):
         good = batch if error is None else batch.where(F.col(error).isNull())
         missing = [c for c in columns if c not in (watch, cursor)]
         last = state["last"].select(
@@ -54,15 +54,17 @@ def change_stream(
             good.withColumn("__new", F.lit(1)).withColumn("__start", F.lit(0).cast("bigint"))
         )
         changed = F.col("__prev").isNotNull() & ~F.col("__prev").eqNullSafe(F.col(cursor))
-        scanned = scan_in_order(
-            rows,
-            [watch],
-            ["__new", *order],
-            [
-                Running("__prev", "prev", F.col(cursor)),
-                Running("version", "sum", F.when(changed, 1).otherwise(0) + F.col("__start")),
-            ],
-            hot_rows,
+        scanned = keep(
+            scan_in_order(
+                rows,
+                [watch],
+                ["__new", *order],
+                [
+                    Running("__prev", "prev", F.col(cursor)),
+                    Running("version", "sum", F.when(changed, 1).otherwise(0) + F.col("__start")),
+                ],
+                hot_rows,
+            )
         )
         events = scanned.where((F.col("__new") == 1) & changed).select(
             *columns, F.col("__prev").alias("previous"), "version"

@@ -13,8 +13,12 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-# (batch, state tables of the batch before) -> (output, next state tables)
-Step = Callable[[DataFrame, dict[str, DataFrame]], tuple[DataFrame, dict[str, DataFrame]]]
+# Writes a table for the rest of the batch, so that it is computed once.
+Keep = Callable[[DataFrame], DataFrame]
+# (batch, state tables of the batch before, keep) -> (output, next state tables)
+Step = Callable[
+    [DataFrame, dict[str, DataFrame], Keep], tuple[DataFrame, dict[str, DataFrame]]
+]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -57,12 +61,21 @@ def fold_batches(
                 if batch_id > 0
                 else spark.createDataFrame([], schema)
             )
-        result, after = step(batch, before)
+        scratch = f"{work}/scratch/{batch_id}"
+        kept: list[str] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            kept.append(f"{scratch}/{len(kept)}")
+            df.write.mode("overwrite").parquet(kept[-1])
+            return spark.read.schema(df.schema).parquet(kept[-1])
+
+        result, after = step(batch, before, keep)
         result.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         for name, df in after.items():
             df.write.mode("overwrite").parquet(table(name, batch_id))
         # The batch before may still be needed for a re-run; older ones are not.
         _delete(spark, f"{work}/state/{batch_id - 2}")
+        _delete(spark, scratch)
 
     return (
         stream.writeStream.foreachBatch(run)

@@ -16,7 +16,7 @@ from sparkq.operators.waiting import (
     await_match,
 )
 from sparkq.plans.ordered import HOT_GROUP_ROWS, Running, scan_in_order
-from sparkq.streaming.fold import fold_batches
+from sparkq.streaming.fold import Keep, fold_batches
 
 
 def await_stream(
@@ -42,14 +42,18 @@ def await_stream(
     """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema)
 
-    def step(batch: DataFrame, state: dict[str, DataFrame]):
+    def step(batch: DataFrame, state: dict[str, DataFrame], keep: Keep):
         at = F.unix_micros(F.col(event_ts).cast("timestamp"))
-        mark = state["mark"].agg(F.max("us")).scalar()
-        old = F.coalesce(mark, F.lit(-(2**62)))
-        fresh = batch.where(at >= old)
-        newest = F.greatest(
-            old, F.coalesce(fresh.agg(F.max(at) - delay_ms * 1000).scalar(), F.lit(-(2**62)))
+        earliest = F.lit(-(2**62))
+        old = F.coalesce(state["mark"].agg(F.max("us")).scalar(), earliest)
+        reached = batch.agg(F.max(at) - delay_ms * 1000).scalar()
+        mark = keep(
+            batch.sparkSession.range(1).select(
+                old.alias("old"), F.greatest(old, F.coalesce(reached, earliest)).alias("us")
+            )
         )
+        newest = mark.select("us").scalar()
+        fresh = batch.where(at >= mark.select("old").scalar())
         triggers = state["open"].unionByName(fresh.where(is_trigger))
         checks = state["ahead"].unionByName(fresh.where(is_check))
         waits = await_match(
@@ -59,11 +63,11 @@ def await_stream(
         decided_at = F.when(
             F.col("outcome") == "matched", F.unix_micros(F.col("matched_at").cast("timestamp"))
         ).otherwise(at + timeout_ms * 1000)
-        final = decided_at < newest
-        return waits.where(final), {
-            "open": waits.where(~final).select(*events.columns),
+        waits = keep(waits.withColumn("__final", decided_at < newest))
+        return waits.where("__final").drop("__final"), {
+            "open": waits.where("NOT __final").select(*events.columns),
             "ahead": checks.where(at >= newest),
-            "mark": batch.sparkSession.range(1).select(newest.alias("us")),
+            "mark": mark.select("us"),
         }
 
     tables = {"open": schema, "ahead": schema, "mark": "us bigint"}
@@ -85,7 +89,7 @@ def failure_streak_stream(
     kinds = {f.name: f.dataType.simpleString() for f in calls.schema}
     columns = calls.columns
 
-    def step(batch: DataFrame, state: dict[str, DataFrame]):
+    def step(batch: DataFrame, state: dict[str, DataFrame], keep: Keep):
         carried = state["streaks"].select(
             service,
             *[F.lit(None).cast(kinds[c]).alias(c) for c in columns if c != service],
@@ -106,7 +110,9 @@ def failure_streak_stream(
                 Running("__reset", "max", F.when(succeeded, F.col("__sum"))),
             ],
             hot_rows,
-        ).withColumn("streak", F.col("__sum") - F.coalesce(F.col("__reset"), F.lit(0)))
+        )
+        streak = F.col("__sum") - F.coalesce(F.col("__reset"), F.lit(0))
+        scanned = keep(scanned.withColumn("streak", streak))
         result = scanned.where("__new = 1").select(
             *columns, "streak", (F.col("streak") == threshold).alias("tripped")
         )

@@ -22,6 +22,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
+        .config("spark.sql.debug.maxToStringFields", "200")
         .config("spark.driver.memory", "4g")
     )
     session = builder.getOrCreate()
