@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,7 +30,16 @@ def div(left: Column, right: int | Column) -> Column:
 
 def base64_text(binary: Column) -> Column:
     """Base64 on one line; Spark breaks the text every 76 characters."""
-    return F.regexp_replace(F.base64(binary), "[\r\n]", "")
+    return F.translate(F.base64(binary), "\r\n", "")
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    Branches of CASE expressions share no work, so an expensive value that
+    several of them use would otherwise be computed again for each.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def json_value(c: Column) -> Column:

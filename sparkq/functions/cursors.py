@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkq.functions.common import as_column, base64_text, json_value
+from sparkq.functions.common import as_column, bound, json_value
 
 VERSION = 1
 _BLOCK = 64
@@ -28,7 +28,8 @@ def _pads(secret: str | bytes) -> tuple[bytes, bytes]:
 
 def base64url(binary: Column) -> Column:
     """Base64 with the URL alphabet and no padding."""
-    return F.rtrim(F.translate(base64_text(binary), "+/", "-_"), F.lit("="))
+    # Characters without a counterpart (padding, line breaks) are dropped.
+    return F.translate(F.base64(binary), "+/=\r\n", "-_")
 
 
 def hmac_sha256(message: Column, secret: str | bytes) -> Column:
@@ -61,26 +62,34 @@ def encode_cursor(
 
 def decode_cursor(token: Column | str, secret: str | bytes) -> Column:
     """``struct<v,b,p,k:array<variant>>``; null for anything not signed by us."""
-    token = as_column(token)
     shape = r"^s\.([^.]*)\.([^.]*)\z"
-    body = F.regexp_extract(token, shape, 1)
-    mac = F.regexp_extract(token, shape, 2)
-    genuine = token.rlike(shape) & (mac == base64url(hmac_sha256(body, secret)))
-    pad = F.repeat(F.lit("="), (4 - F.length(body) % 4) % 4)
-    raw = F.try_to_binary(
-        F.concat(F.translate(body, "-_", "+/"), pad), F.lit("base64")
-    )
-    payload = F.from_json(
-        F.decode(raw, "UTF-8"), "v int, b string, p string, k array<variant>"
-    )
-    good = (payload["v"] == VERSION) & payload["b"].isNotNull() & payload["k"].isNotNull()
-    fields = F.struct(
-        payload["v"].alias("v"),
-        payload["b"].alias("b"),
-        F.coalesce(payload["p"], F.lit("")).alias("p"),
-        payload["k"].alias("k"),
+
+    def checked(parts: Column) -> Column:
+        body, mac = parts["body"], parts["mac"]
+        genuine = (mac != "") & (mac == base64url(hmac_sha256(body, secret)))
+        pad = F.repeat(F.lit("="), (4 - F.length(body) % 4) % 4)
+        raw = F.try_to_binary(F.concat(F.translate(body, "-_", "+/"), pad), F.lit("base64"))
+        payload = F.from_json(
+            F.decode(raw, "UTF-8"), "v int, b string, p string, k array<variant>"
+        )
+        return F.when(genuine, bound(payload, opened))
+
+    def opened(payload: Column) -> Column:
+        good = (payload["v"] == VERSION) & payload["b"].isNotNull() & payload["k"].isNotNull()
+        fields = F.struct(
+            payload["v"].alias("v"),
+            payload["b"].alias("b"),
+            F.coalesce(payload["p"], F.lit("")).alias("p"),
+            payload["k"].alias("k"),
+        )
+        return F.when(good, fields)
+
+    token = as_column(token)
+    parts = F.struct(
+        F.regexp_extract(token, shape, 1).alias("body"),
+        F.regexp_extract(token, shape, 2).alias("mac"),
     )
-    return F.when(genuine, F.when(good, fields))
+    return bound(parts, checked)
 
 
 def cursor_value_text(c: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkq.functions.common import as_column, json_value
+from sparkq.functions.common import as_column, bound, json_value
 
 
 def canonical_json(c: Column | str) -> Column:
@@ -15,10 +15,13 @@ def canonical_json(c: Column | str) -> Column:
     is not JSON is taken as a JSON string.
     """
     c = as_column(c)
+    bare_whole = c.rlike(r"^-?(0|[1-9][0-9]{0,17})\z")
+    bare_text = c.rlike(r'^"[^"\\\x00-\x1F]*"\z')
     bare_float = c.rlike(r"^\s*-?[0-9]+(\.[0-9]+([eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)\s*\z")
     parsed = F.to_json(F.try_parse_json(c))
     return (
         F.when(c.isNull(), F.lit("null"))
+        .when(bare_whole | bare_text, c)
         .when(bare_float, F.trim(c).try_cast("double").cast("string"))
         .otherwise(F.coalesce(parsed, json_value(c)))
     )
@@ -26,7 +29,7 @@ def canonical_json(c: Column | str) -> Column:
 
 def _framed(text: Column) -> Column:
     """Length and text, so that neighbouring fields cannot run into each other."""
-    return F.concat(F.length(text).cast("string"), F.lit(":"), text)
+    return bound(text, lambda t: F.concat(F.length(t).cast("string"), F.lit(":"), t))
 
 
 def request_fingerprint(

@@ -14,12 +14,19 @@ PRIVILEGED_FIRST = ("GRANT", "REVOKE")
 SCHEMA_VERBS = ("CREATE", "ALTER", "DROP")
 PRIVILEGED_OBJECTS = ("USER", "ROLE", "DATABASE", "GROUP")
 
-# scheme://user:password@ at the start of a word; the password ends at the last
-# @ of the authority.
-_WORD_START = rf"(^|[{WHITE_SPACE}])"
-_CREDENTIALS = (
-    r"([A-Za-z][A-Za-z0-9+.\-]*://[^{ws}/?#:]*:)[^{ws}/?#]+@".replace("{ws}", WHITE_SPACE)
+# The rest of scheme://user:password@ behind its scheme; the password ends at the
+# last @ of the authority. Looking for :// first and then back at the scheme (up
+# to 256 characters) costs nothing on text without URLs.
+_SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]{0,255}://"
+_AT_WORD_START = rf"(?<=(?:^|[{WHITE_SPACE}]){_SCHEME})"
+_ANYWHERE = rf"(?<={_SCHEME})"
+_SECRET = rf"([^{WHITE_SPACE}/?#:]*+:)[^{WHITE_SPACE}/?#]+@"
+# White space beyond ASCII (tested against a wide range first, which is cheap),
+# and ASCII white space that is not one plain space already.
+_WIDE_SPACE = (
+    r"[\x85\xA0\u1680\u2000-\u3000&&[\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]]"
 )
+_UNEVEN_SPACE = r"[\t-\r][\t-\r ]*+| [\t-\r ]++"
 _QUOTED = r"""'[^']*('|\z)|"[^"]*("|\z)"""
 _SECOND_STATEMENT = rf";[{WHITE_SPACE}]*[^{WHITE_SPACE}]"
 # White space, a line comment, or a block comment that ends at its first */.
@@ -34,17 +41,15 @@ def redact_credentials(
 
     URLs are recognised at the start of a word (``anywhere`` also finds them
     after other characters). Runs of white space become one space unless
-    ``collapse_white_space`` is off. Text without ``://`` skips the URL pattern.
+    ``collapse_white_space`` is off.
     """
     c = as_column(c)
     if collapse_white_space:
-        c = F.regexp_replace(c, f"[{WHITE_SPACE}]+", " ")
-        c = F.trim(c)
-    if anywhere:
-        cleaned = F.regexp_replace(c, _CREDENTIALS, "$1***@")
-    else:
-        cleaned = F.regexp_replace(c, _WORD_START + _CREDENTIALS, "$1$2***@")
-    return F.when(c.contains("://"), cleaned).otherwise(c)
+        ascii_only = F.length(c) == F.octet_length(c)
+        plain = F.when(ascii_only, c).otherwise(F.regexp_replace(c, _WIDE_SPACE, " "))
+        c = F.trim(F.regexp_replace(plain, _UNEVEN_SPACE, " "))
+    behind = _ANYWHERE if anywhere else _AT_WORD_START
+    return F.regexp_replace(c, "://" + behind + _SECRET, "://$1***@")
 
 
 def is_multi_statement(sql: Column | str) -> Column:

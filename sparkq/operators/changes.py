@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkq.functions.common import as_column
+from sparkq.functions.common import as_column, bound
 from sparkq.plans.ordered import HOT_GROUP_ROWS, Running, scan_in_order
 from sparkq.plans.sizing import broadcast_if_small
 
@@ -76,12 +76,10 @@ def version_stamps(
     return rows.drop("__prev")
 
 
-def _text_member(payload: Column, name: str) -> Column:
-    member = F.try_variant_get(F.try_parse_json(payload), f"$.{name}", "variant")
-    return F.when(
-        F.schema_of_variant(member) == "STRING",
-        F.try_variant_get(F.try_parse_json(payload), f"$.{name}", "string"),
-    )
+def _text_member(parsed: Column, name: str) -> Column:
+    member = F.try_variant_get(parsed, f"$.{name}", "variant")
+    is_text = F.schema_of_variant(member) == "STRING"
+    return F.when(is_text, F.try_variant_get(parsed, f"$.{name}", "string"))
 
 
 def parse_notifications(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -91,12 +89,19 @@ def parse_notifications(df: DataFrame, payload: str = "payload") -> DataFrame:
     broadcasts: both columns null.
     """
     text = as_column(payload)
-    is_object = text.rlike(r"^\s*\{")
-    return df.withColumns(
-        {
-            name: F.when(is_object, _text_member(text, name))
-            for name in ("user_id", "session_id")
-        }
+    # Only what can be an object with such a member is parsed; a backslash may
+    # spell a member name with escapes.
+    named = text.contains("user_id") | text.contains("session_id") | text.contains("\\")
+    candidate = text.rlike(r"^\s*\{") & named
+    members = bound(
+        F.when(candidate, F.try_parse_json(text)),
+        lambda parsed: F.struct(
+            _text_member(parsed, "user_id").alias("user_id"),
+            _text_member(parsed, "session_id").alias("session_id"),
+        ),
+    )
+    return df.withColumn("__members", members).select(
+        *df.columns, F.col("__members.user_id"), F.col("__members.session_id")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_TTL_SECONDS = 60
@@ -31,6 +31,12 @@ def fresh_results(
     return results.where(age <= F.make_dt_interval(secs=F.lit(ttl_seconds)))
 
 
+def _same(left: str, right: str) -> Column:
+    # A plain equality would also filter out nulls, and that filter, pushed below
+    # the projection, would compute every fingerprint a second time.
+    return F.col(left).eqNullSafe(F.col(right))
+
+
 def missing_requests(
     requests: DataFrame, fresh: DataFrame, fingerprint: str = "fingerprint"
 ) -> DataFrame:
@@ -41,7 +47,7 @@ def missing_requests(
     """
     wanted = requests.groupBy(fingerprint).agg(F.count("*").alias("n_requests"))
     have = fresh.select(F.col(fingerprint).alias("__have")).distinct()
-    return wanted.join(have, F.col(fingerprint) == F.col("__have"), "left_anti")
+    return wanted.join(have, _same(fingerprint, "__have"), "left_anti")
 
 
 def reuse_outcomes(
@@ -64,10 +70,10 @@ def reuse_outcomes(
     per_print = requests.groupBy(fingerprint).agg(F.min(F.when(ok, at)).alias("__first_ok"))
     have = fresh.select(F.col(fingerprint).alias("__have")).distinct()
     known = (
-        per_print.join(have, F.col(fingerprint) == F.col("__have"), "left")
+        per_print.join(have, _same(fingerprint, "__have"), "left")
         .withColumnRenamed(fingerprint, "__print")
     )
-    tagged = requests.join(known, F.col(fingerprint) == F.col("__print"))
+    tagged = requests.join(known, _same(fingerprint, "__print"))
     hit = F.col("__have").isNotNull() | F.coalesce(at > F.col("__first_ok"), F.lit(False))
     return tagged.groupBy(*labels).agg(
         F.count_if(hit).alias("hits"),

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkq.functions.common import as_column
+from sparkq.functions.common import as_column, bound
 from sparkq.plans.ordered import row_index
 
 # Rows up to here come through one sorted limit; a longer cut uses a row index.
@@ -160,26 +160,25 @@ def row_count_hint(payload: Column | str) -> Column:
     Array: its length. Object: ``rows_affected`` if a number, else the length of
     an array ``contents``, else 1. Anything else, null included: null.
     """
-    value = F.try_parse_json(as_column(payload))
+    return bound(F.try_parse_json(as_column(payload)), _rows_of)
+
+
+def _rows_of(value: Column) -> Column:
     kind = F.schema_of_variant(value)
-    affected = F.try_variant_get(value, "$.rows_affected", "variant")
-    affected_kind = F.schema_of_variant(affected)
-    contents = F.try_variant_get(value, "$.contents", "array<variant>")
-    contents_kind = F.schema_of_variant(F.try_variant_get(value, "$.contents", "variant"))
-    number = affected_kind.isin("BIGINT", "DOUBLE", "FLOAT") | affected_kind.startswith("DECIMAL")
+
+    def length(path: str) -> Column:
+        return F.size(F.try_variant_get(value, path, "array<variant>")).cast("bigint")
+
+    def kind_of(path: str) -> Column:
+        member = F.try_variant_get(value, path, "variant")
+        return F.coalesce(F.schema_of_variant(member), F.lit(""))
+
+    affected = kind_of("$.rows_affected")
     whole = F.try_variant_get(value, "$.rows_affected", "bigint")
-    return (
-        F.when(
-            kind.startswith("ARRAY"),
-            F.size(F.try_variant_get(value, "$", "array<variant>")).cast("bigint"),
-        )
-        .when(
-            kind.startswith("OBJECT") & F.coalesce(number, F.lit(False)),
-            F.when((affected_kind == "BIGINT") & (whole >= 0), whole),
-        )
-        .when(
-            kind.startswith("OBJECT") & F.coalesce(contents_kind.startswith("ARRAY"), F.lit(False)),
-            F.size(contents).cast("bigint"),
-        )
-        .when(kind.startswith("OBJECT"), F.lit(1).cast("bigint"))
+    number = affected.isin("BIGINT", "DOUBLE", "FLOAT") | affected.startswith("DECIMAL")
+    of_object = (
+        F.when(number, F.when((affected == "BIGINT") & (whole >= 0), whole))
+        .when(kind_of("$.contents").startswith("ARRAY"), length("$.contents"))
+        .otherwise(F.lit(1).cast("bigint"))
     )
+    return F.when(kind.startswith("ARRAY"), length("$")).when(kind.startswith("OBJECT"), of_object)

@@ -93,6 +93,7 @@ PAYLOADS = {
     '"u-42"': (None, None),
     '{"user_id":null}': (None, None),
     ' {"user_id":"spaced"}': ("spaced", None),
+    '{"user\\u005fid":"escaped"}': ("escaped", None),
 }
 
 

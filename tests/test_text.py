@@ -12,6 +12,10 @@ REDACT = {
     "see postgres://u:pw@h/d.": "see postgres://u:***@h/d.",
     "a postgres://u:p@w@h/d, b mysql://x:y@z/d;": "a postgres://u:***@h/d, b mysql://x:***@z/d;",
     "postgres://u:***@h/d": "postgres://u:***@h/d",
+    "x\u2003\u00a0y\u3000 z\u200bw": "x y z\u200bw",
+    "à postgres://u:p@h/d\u2009b": "à postgres://u:***@h/d b",
+    "://u:p@h 1a://u:p@h a1+.-b://u:p@h": "://u:p@h 1a://u:p@h a1+.-b://u:***@h",
+    "http://a:b@c/http://d:e@f": "http://a:***@c/http://d:e@f",
     "": "",
     None: None,
 }
