@@ -37,7 +37,8 @@ class MissingParameter(ValueError):
 class QuerySpec:
     """A named query.
 
-    ``params`` are the declared argument names; None accepts any. ``derived``
+    ``params`` are the declared argument names; the text may use no others. None
+    accepts any. ``derived``
     maps names to SQL expressions over the other arguments. ``session_vars``
     are visible to the text as markers too (dots become underscores).
     """
@@ -134,6 +135,9 @@ def run_query(
     """
     bound = check_arguments(spec, args)
     bound = derive_arguments(spark, bound, spec.derived)
+    if spec.params is not None:
+        # An undeclared name in the text stays unbound, whatever the caller sent.
+        bound = {n: v for n, v in bound.items() if n in spec.params or n in spec.derived}
     bound.update({k.replace(".", "_"): v for k, v in spec.session_vars.items()})
     bound.update({f"{AFTER_PREFIX}{c}": v for c, v in (after or {}).items()})
     if idempotency is not None:
@@ -221,7 +225,7 @@ def run_batch(
     equal: Mapping[str, str] | None = None,
     between: tuple[str, str, str] | None = None,
     where: Column | str | None = None,
-    bin_width: float | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Run one parameterised filter for every row of a parameter table.
 
@@ -245,23 +249,38 @@ def run_batch(
         conditions.append(F.expr(where) if isinstance(where, str) else where)
     matches = reduce(lambda a, b: a & b, conditions)
 
-    if is_small(params):
+    if is_small(params) if small is None else small:
         return data.join(F.broadcast(params), matches)
     if equal:
         return data.join(params, matches)
-    if bin_width is None:
-        raise ValueError("a large parameter table with a range needs bin_width")
-    value, low, high = between
-    first = F.floor(F.col(low) / bin_width)
-    last = F.floor(F.col(high) / bin_width)
-    binned = params.where(F.col(low) < F.col(high)).withColumn(
-        "__bin", F.explode(F.sequence(first, last))
-    )
-    return (
-        data.withColumn("__bin_of", F.floor(F.col(value) / bin_width))
-        .join(binned, (F.col("__bin_of") == F.col("__bin")) & matches)
-        .drop("__bin", "__bin_of")
+    return _join_on_bins(data, params, *between, matches)
+
+
+def _join_on_bins(
+    data: DataFrame, params: DataFrame, value: str, low: str, high: str, matches: Column
+) -> DataFrame:
+    """Range join as an equi join on power-of-two bins.
+
+    A range takes the bin size just above its own width, so it touches at most
+    two bins however wide it is. A data row is repeated once per bin size in use
+    (ranges of like width share one).
+    """
+    size = F.pow(F.lit(2.0), F.ceil(F.log2((F.col(high) - F.col(low)).cast("double"))))
+    sized = params.where(F.col(low) < F.col(high)).withColumn("__size", size)
+    # Bin sizes are powers of two between the narrowest and the widest range.
+    sizes = [r["__size"] for r in sized.select("__size").distinct().collect()]
+
+    def bin_of(column: str, width: str) -> Column:
+        return F.floor(F.col(column).cast("double") / F.col(width))
+
+    binned = sized.withColumn(
+        "__bin", F.explode(F.sequence(bin_of(low, "__size"), bin_of(high, "__size")))
     )
+    placed = data.withColumn(
+        "__width", F.explode(F.lit(sizes) if sizes else F.array().cast("array<double>"))
+    ).withColumn("__at", bin_of(value, "__width"))
+    same_bin = (F.col("__width") == F.col("__size")) & (F.col("__at") == F.col("__bin"))
+    return placed.join(binned, same_bin & matches).drop("__size", "__bin", "__width", "__at")
 
 
 def apply_once(
@@ -315,6 +334,26 @@ def complete_prefix(
     return rows.select(column).distinct().orderBy(column).limit(max_results)
 
 
+def complete_variable(
+    spark: SparkSession,
+    sql: str,
+    prefix: str,
+    context: Mapping[str, str] | None = None,
+    max_results: int = 100,
+) -> DataFrame:
+    """Completions from a statement of one's own over ``:prefix`` and ``:ctx_<key>``.
+
+    The result is its first column, text only, from at most ``max_results`` rows.
+    """
+    if ":prefix" not in sql:
+        raise ValueError("a completion query must reference `:prefix`")
+    args = {f"ctx_{k}": v for k, v in context_variables(context or {}).items()}
+    rows = run_query(spark, QuerySpec(name="completion", sql=sql), {**args, "prefix": prefix})
+    first, kind = rows.dtypes[0]
+    values = rows.limit(max_results).select(F.col(f"`{first}`"))
+    return values.where(F.col(f"`{first}`").isNotNull()) if kind == "string" else values.limit(0)
+
+
 def complete_prefixes(
     df: DataFrame, column: str, prefixes: DataFrame, prefix: str = "prefix", max_results: int = 100
 ) -> DataFrame:

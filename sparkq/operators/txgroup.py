@@ -13,7 +13,6 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -227,22 +226,20 @@ class Transaction:
         entry = self._tables[table]
         if not entry["folders"]:
             return 0
-        spark, root = self.store.spark, self.store.root
-        parts = [
-            (f, spark.read.schema(entry["schema"]).parquet(f"{root}/{f}")) for f in entry["folders"]
-        ]
-        matched = [
-            spark.sql(f"SELECT count(*) AS n FROM {{t}} WHERE {where}", args=dict(args), t=df)
-            .withColumn("folder", F.lit(f))
-            for f, df in parts
-        ]
-        # One row per folder.
-        counts = {r["folder"]: r["n"] for r in reduce(DataFrame.unionByName, matched).collect()}
-        touched = [df for f, df in parts if counts[f]]
-        kept = [f for f, _ in parts if not counts[f]]
-        if touched:
-            rewritten = replace(reduce(DataFrame.unionByName, touched))
+        rows = self.read(table).withColumn("__file", F.col("_metadata.file_path"))
+        folder_of = "regexp_extract(__file, '([^/]+/[^/]+)/[^/]+$', 1)"
+        matched = self.store.spark.sql(
+            f"SELECT {folder_of} AS folder, count(*) AS n FROM {{t}} WHERE {where} GROUP BY 1",
+            args=dict(args),
+            t=rows,
+        )
+        # One row per folder with a match.
+        counts = {r["folder"]: r["n"] for r in matched.collect()}
+        if counts:
+            touched = {**entry, "folders": [f for f in entry["folders"] if f in counts]}
+            rewritten = replace(self.store.read(table, {table: touched}))
             folder, _ = self._write(table, rewritten, entry["schema"])
+            kept = [f for f in entry["folders"] if f not in counts]
             self._set(table, entry["schema"], [*kept, folder])
         return sum(counts.values())
 

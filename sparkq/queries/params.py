@@ -11,6 +11,7 @@ from sparkq.operators.params import (
     call_procedure,
     complete_prefix,
     complete_prefixes,
+    complete_variable,
     define_procedure,
     derive_params,
     run_batch,
@@ -58,7 +59,7 @@ def param_sweep_price_bands(spark, sf_dir):
     )
     orders = read(spark, sf_dir, "orders").select("o_totalprice")
     return (
-        run_batch(orders, bands, between=("o_totalprice", "lo", "hi"), bin_width=25_000)
+        run_batch(orders, bands, between=("o_totalprice", "lo", "hi"))
         .groupBy("param_id")
         .agg(
             F.count("*").alias("n_orders"),
@@ -135,6 +136,42 @@ def prefix_part_names(spark, sf_dir):
     return complete_prefix(read(spark, sf_dir, "part"), "p_name", "small", {"p_size": 15})
 
 
+@query(
+    """SELECT DISTINCT o_orderpriority FROM orders
+       WHERE o_orderstatus = 'F' AND o_orderpriority LIKE '%' ORDER BY o_orderpriority LIMIT 100"""
+)
+def completion_statement(spark, sf_dir):
+    register_views(spark, sf_dir, ["orders"])
+    return complete_variable(
+        spark,
+        """SELECT DISTINCT o_orderpriority FROM orders
+           WHERE o_orderstatus = :ctx_status AND o_orderpriority LIKE :prefix || '%'
+           ORDER BY o_orderpriority""",
+        "",
+        {"Status": "F"},
+    )
+
+
+@query(
+    """WITH wide AS (SELECT o_orderkey AS param_id, o_totalprice - 50 AS lo,
+                            o_totalprice - 50 + 10 * (1 + o_orderkey % 20) AS hi FROM orders)
+       SELECT param_id, count(*) AS n_orders FROM wide JOIN orders
+         ON o_totalprice >= lo AND o_totalprice < hi GROUP BY param_id"""
+)
+def param_sweep_many_ranges(spark, sf_dir):
+    """A range of its own for every order: too many parameters to broadcast at scale."""
+    orders = read(spark, sf_dir, "orders")
+    # Parameters derive in name order, so the bounds are named to come that way.
+    ranges = derive_params(
+        orders.select(F.col("o_orderkey").alias("param_id"), F.col("o_totalprice").alias("price")),
+        {"from_price": "price - 50", "to_price": "from_price + 10 * (1 + param_id % 20)"},
+    ).drop("price")
+    matches = run_batch(
+        orders.select("o_totalprice"), ranges, between=("o_totalprice", "from_price", "to_price"), small=False
+    )
+    return matches.groupBy("param_id").agg(F.count("*").alias("n_orders"))
+
+
 @query(
     """WITH names AS (SELECT DISTINCT c_name AS value FROM customer),
        prefixes AS (SELECT DISTINCT substr(s_name, 1, 1) AS p FROM supplier

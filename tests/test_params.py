@@ -141,7 +141,7 @@ def test_batch_sweep_matches_brute_force(spark, sweep, monkeypatch, small):
     def pairs(df):
         return sorted(map(tuple, df.select("id", "pid").collect()))
 
-    between = P.run_batch(data, params, between=("v", "lo", "hi"), bin_width=10.0)
+    between = P.run_batch(data, params, between=("v", "lo", "hi"))
     assert pairs(between) == brute(data, params, lambda d, p: p[2] <= d[2] < p[3])
     equal = P.run_batch(data, params, equal={"k": "pk"}, where="v > hi")
     assert pairs(equal) == brute(data, params, lambda d, p: d[1] == p[1] and d[2] > p[3])
@@ -149,14 +149,40 @@ def test_batch_sweep_matches_brute_force(spark, sweep, monkeypatch, small):
     assert pairs(both) == brute(data, params, lambda d, p: d[1] == p[1] and p[2] <= d[2] < p[3])
 
 
-def test_large_range_sweep_needs_bins(sweep, monkeypatch):
+def test_large_range_sweep_joins_on_bins(spark, sweep):
     data, params = sweep
-    monkeypatch.setattr(P, "is_small", lambda *_: False)
-    with pytest.raises(ValueError, match="bin_width"):
-        P.run_batch(data, params, between=("v", "lo", "hi"))
-    plan = P.run_batch(data, params, between=("v", "lo", "hi"), bin_width=10.0)
-    text = plan._jdf.queryExecution().executedPlan().toString()
+    # Widths from far below one to the whole domain, an empty and a reversed range.
+    odd = spark.createDataFrame(
+        [(100, 0, 3.0, 3.001), (101, 0, -1e6, 1e9), (102, 0, 5.0, 5.0), (103, 0, 9.0, 1.0), (104, 0, 16.0, 32.0),
+         (105, 0, None, 4.0)],
+        params.schema,
+    )
+    every = params.union(odd)
+    swept = P.run_batch(data, every, between=("v", "lo", "hi"), small=False)
+    got = sorted(map(tuple, swept.select("id", "pid").collect()))
+    assert got == brute(data, every, lambda d, p: p[2] is not None and p[2] <= d[2] < p[3])
+    assert swept.columns == [*data.columns, *params.columns]
+    text = swept._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in text and "Cartesian" not in text
+    assert P.run_batch(data, params.limit(0), between=("v", "lo", "hi"), small=False).count() == 0
+
+
+def test_undeclared_name_is_not_bound(spark, orders):
+    with pytest.raises(P.MissingParameter, match="low"):
+        ask(spark, "SELECT id FROM t_orders WHERE total > :low AND id > :id", {"low": 1, "id": 1}, params=("id",))
+    sql = "SELECT id FROM t_orders WHERE id > :_after_id ORDER BY id"
+    assert ask(spark, sql, {"_after_id": 0}, params=(), after={"id": 2}) == [(3,), (4,)]
+
+
+def test_completion_statement(spark, orders, rows):
+    sql = "SELECT DISTINCT tenant FROM t_orders WHERE tenant LIKE :prefix || '%' AND total > :ctx_low"
+    assert rows(P.complete_variable(spark, sql, "", {"LOW": "5"})) == [("a",), ("b",)]
+    assert rows(P.complete_variable(spark, sql, "b", {"low": "5"})) == [("b",)]
+    assert rows(P.complete_variable(spark, "SELECT id FROM t_orders WHERE tenant = :prefix", "a")) == []
+    with pytest.raises(P.MissingParameter):
+        P.complete_variable(spark, sql, "", {"bad-key": "5"})
+    with pytest.raises(ValueError, match="prefix"):
+        P.complete_variable(spark, "SELECT 1", "")
 
 
 def test_apply_once_first_wins_and_ledger_blocks(spark, rows):
