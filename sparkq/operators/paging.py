@@ -74,6 +74,18 @@ def keyset_page(
     return df.orderBy(*columns).limit(page_size)
 
 
+def check_cursor(spec: StreamSpec, binding: str | None, n_keys: int) -> None:
+    """Refuse a decoded cursor that is not one of this stream's."""
+    if binding is None:
+        raise CursorError("the cursor failed verification")
+    if binding != spec.binding:
+        raise CursorError(f"the cursor was minted for `{binding}`, not for `{spec.binding}`")
+    if n_keys != len(spec.cursor_columns):
+        raise CursorError(
+            f"the cursor carries {n_keys} key values, {len(spec.cursor_columns)} expected"
+        )
+
+
 def open_cursor(spec: StreamSpec, df: DataFrame, token: Any) -> list[Any] | None:
     """Key values to resume after: from the token, else from ``initial``.
 
@@ -95,16 +107,7 @@ def open_cursor(spec: StreamSpec, df: DataFrame, token: Any) -> list[Any] | None
             for i, c in enumerate(spec.cursor_columns)
         ],
     ).first()
-    if decoded["b"] is None:
-        raise CursorError("the cursor failed verification")
-    if decoded["b"] != spec.binding:
-        raise CursorError(
-            f"the cursor was minted for `{decoded['b']}`, not for `{spec.binding}`"
-        )
-    if decoded["n"] != len(spec.cursor_columns):
-        raise CursorError(
-            f"the cursor carries {decoded['n']} key values, {len(spec.cursor_columns)} expected"
-        )
+    check_cursor(spec, decoded["b"], decoded["n"])
     return [decoded[f"k{i}"] for i in range(len(spec.cursor_columns))]
 
 
@@ -198,7 +201,8 @@ def page_manifest(
     return pages.select(*out)
 
 
-def _listed(df: DataFrame) -> list[Column]:
+def resource_columns(df: DataFrame) -> list[Column]:
+    """``uri, name, description, mime_type`` of a listing; what is not text is null."""
     kinds = dict(df.dtypes)
     return [
         (F.col(c) if kinds.get(c) == "string" else F.lit(None).cast("string")).alias(c)
@@ -227,7 +231,7 @@ def resource_page(
         F.count("*").alias("n"), F.max(F.when(usable, F.col(cursor_column))).alias("last")
     ).select("n", "last", cursor_value_text("last").alias("token")).first()
     full = stats["n"] >= page_size and stats["last"] is not None
-    return page.select(*_listed(page)).where(usable), stats["token"] if full else None
+    return page.select(*resource_columns(page)).where(usable), stats["token"] if full else None
 
 
 def resource_listing(df: DataFrame, cursor_column: str, page_size: int = 100) -> DataFrame:
@@ -237,6 +241,6 @@ def resource_listing(df: DataFrame, cursor_column: str, page_size: int = 100) ->
     indexed = row_index(df, [cursor_column], "__idx")
     return indexed.select(
         div(F.col("__idx"), page_size).alias("page"),
-        *_listed(df),
+        *resource_columns(df),
         cursor_value_text(cursor_column).alias("cursor"),
     ).where(F.col("uri").isNotNull())

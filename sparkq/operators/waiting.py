@@ -73,7 +73,7 @@ def await_match(
         )
     keys = [F.col(k).alias(f"__k{i}") for i, k in enumerate(key)]
     names = [f"__k{i}" for i in range(len(key))]
-    hits = checks.where(_as_condition(predicate)).select(
+    hits = checks.where(predicate).select(
         *keys,
         # Descending time: what is scanned last is nearest behind the trigger.
         (-_micros(F.col(check_ts))).alias("__t"),

@@ -5,14 +5,17 @@ import hashlib
 from pyspark.sql import functions as F
 
 from sparkq.functions.cursors import decode_cursor, encode_cursor
+from sparkq.operators.execute import ListQuery, execute, list_page
 from sparkq.operators.paging import (
+    StreamSpec,
     keyset_page,
     offset_page,
     page_manifest,
     resource_listing,
 )
+from sparkq.operators.params import QuerySpec
 from sparkq.queries.registry import query
-from sparkq.sources.views import read
+from sparkq.sources.views import read, register_views
 
 SECRET = "paging-demo"
 _KEY = hashlib.sha256(SECRET.encode()).digest().ljust(64, b"\0")
@@ -120,3 +123,45 @@ LISTING = """SELECT page_id, CASE WHEN page_id % 10 = 9 THEN NULL ELSE url END A
 def resource_listing_pages(spark, sf_dir):
     """A number in ``description`` is not text and reads as null."""
     return resource_listing(spark.sql(LISTING, pages=read(spark, sf_dir, "pages")), "page_id", 100)
+
+
+ORDER_STREAM = QuerySpec(
+    name="orders",
+    sql="""SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+           WHERE o_orderkey > :_after_o_orderkey AND o_orderstatus = :status
+           ORDER BY o_orderkey LIMIT 250""",
+    params=("status",),
+    row_mode="stream",
+)
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'
+       ORDER BY o_orderkey LIMIT 250 OFFSET 250"""
+)
+def stream_second_page(spark, sf_dir):
+    """A stream statement resumed with the signed cursor of its first page."""
+    register_views(spark, sf_dir, ["orders"])
+    stream = StreamSpec("orders", ("o_orderkey",), SECRET, {"o_orderkey": -1})
+    first = execute(spark, ORDER_STREAM, {"status": "O"}, stream=stream)
+    second = execute(spark, ORDER_STREAM, {"status": "O"}, stream=stream, cursor=first.next_cursor)
+    return second.rows
+
+
+@query(
+    """SELECT concat('supplier://', s_suppkey) AS uri, s_name AS name, CAST(NULL AS VARCHAR) AS description,
+              CAST(NULL AS VARCHAR) AS mime_type
+       FROM supplier ORDER BY s_suppkey LIMIT 40 OFFSET 40"""
+)
+def listing_second_page(spark, sf_dir):
+    """A listing statement resumed with the cursor of its first page."""
+    register_views(spark, sf_dir, ["supplier"])
+    listing = ListQuery(
+        """SELECT s_suppkey, concat('supplier://', s_suppkey) AS uri, s_name AS name FROM supplier
+           WHERE :cursor IS NULL OR s_suppkey > CAST(:cursor AS BIGINT)
+           ORDER BY s_suppkey LIMIT :page_size""",
+        cursor_column="s_suppkey",
+        page_size=40,
+    )
+    _, cursor = list_page(spark, listing)
+    return list_page(spark, listing, cursor)[0]

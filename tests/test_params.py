@@ -128,9 +128,8 @@ def sweep(spark):
 
 
 def brute(data, params, test):
-    return sorted(
-        (d[0], p[0]) for d in map(tuple, data.collect()) for p in map(tuple, params.collect()) if test(d, p)
-    )
+    left, right = [tuple(r) for r in data.collect()], [tuple(r) for r in params.collect()]
+    return sorted((d[0], p[0]) for d in left for p in right if test(d, p))
 
 
 @pytest.mark.parametrize("small", [True, False])
