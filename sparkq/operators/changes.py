@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkq.functions.common import as_column, bound
 from sparkq.plans.ordered import HOT_GROUP_ROWS, Running, scan_in_order
-from sparkq.plans.sizing import broadcast_if_small
+from sparkq.plans.sizing import is_small
 
 MIN_INTERVAL_MS = 100
 DEFAULT_INTERVAL_MS = 1000
@@ -18,7 +18,7 @@ DEFAULT_INTERVAL_MS = 1000
 def check_interval(interval_ms: int = DEFAULT_INTERVAL_MS) -> int:
     """A poll interval, refused below the floor."""
     if interval_ms < MIN_INTERVAL_MS:
-        raise ValueError(f"interval ({interval_ms} ms) is below the {MIN_INTERVAL_MS} ms floor")
+        raise ValueError(f"poll every {MIN_INTERVAL_MS} ms at most, not every {interval_ms} ms")
     return interval_ms
 
 
@@ -114,12 +114,17 @@ def fan_out(events: DataFrame, subscriptions: DataFrame, user: str = "user_id")
     ``deliveries_for`` reads both kinds for given subscribers.
     """
     subs = subscriptions.withColumnRenamed(user, "__user")
-    targeted = events.where(F.col(user).isNotNull()).join(
-        broadcast_if_small(subs) if not events.isStreaming else subs,
-        F.col(user) == F.col("__user"),
-    )
     extra = [c for c in subscriptions.columns if c != user]
     kinds = dict(subscriptions.dtypes)
+    aimed = F.col(user) == F.col("__user")
+    if not events.isStreaming and is_small(subs):
+        # One pass over the notifications; nothing is shuffled.
+        met = events.join(F.broadcast(subs.withColumn("__met", F.lit(True))), aimed, "left")
+        audience = F.when(F.col(user).isNull(), F.lit("all")).otherwise("user")
+        kept = met.where(F.col(user).isNull() | F.col("__met"))
+        return kept.select(audience.alias("audience"), *events.columns, *extra)
+    # Broadcasts stay out of the join: their null keys would all meet in one task.
+    targeted = events.where(F.col(user).isNotNull()).join(subs, aimed)
     everyone = events.where(F.col(user).isNull())
     return targeted.select(
         F.lit("user").alias("audience"), *events.columns, *extra

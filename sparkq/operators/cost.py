@@ -64,9 +64,7 @@ def check_prices(spec: DataFrame) -> DataFrame:
     return spec.withColumn("error", error)
 
 
-def _base(
-    spec: DataFrame, key: str, expressions: Mapping[str, str] | None
-) -> Column:
+def _base(key: str, expressions: Mapping[str, str] | None) -> Column:
     """Base rate: the amount, or the expression of the backend over the call's columns.
 
     An expression may give a number or a text that reads as one.
@@ -108,8 +106,15 @@ def charges(
     negative, not finite, or above ``max_per_call``. ``rows`` is the count before
     any truncation.
     """
-    priced = _priced(calls, spec, key)
-    base = _base(spec, key, expressions)
+    return _with_charge(_priced(calls, spec, key), key, expressions, rows, payload_bytes).drop(
+        "__amount", "__cap"
+    )
+
+
+def _with_charge(
+    priced: DataFrame, key: str, expressions: Mapping[str, str] | None, rows: str, payload_bytes: str
+) -> DataFrame:
+    base = _base(key, expressions)
     total = (
         F.when(F.col("unit") == "per_row", base * F.col(rows))
         .when(F.col("unit") == "per_byte", base * F.col(payload_bytes))
@@ -125,7 +130,7 @@ def charges(
         priced.withColumn("__total", total)
         .withColumn("refused_reason", reason)
         .withColumn("charge", F.when(F.col("refused_reason").isNull(), F.col("__total")))
-        .drop("__total", "__amount", "__cap")
+        .drop("__total")
     )
 
 
@@ -148,16 +153,49 @@ def refunds(
     Flat prices give back the base rate (0 when it has none); prices by rows or
     bytes give back 0.
     """
-    reason = F.create_map(*[F.lit(x) for pair in REFUND_REASONS.items() for x in pair])[F.col(status)]
     failed = calls.where(F.col(status).isin(*REFUND_REASONS))
-    base = _base(spec, key, expressions)
+    return _with_refund(_priced(failed, spec, key), key, expressions, status).drop(
+        "__amount", "__cap"
+    )
+
+
+def _with_refund(
+    priced: DataFrame, key: str, expressions: Mapping[str, str] | None, status: str
+) -> DataFrame:
+    reasons = F.create_map(*[F.lit(x) for pair in REFUND_REASONS.items() for x in pair])
+    base = _base(key, expressions)
     payable = F.when(_finite(base) & (base >= 0), base)
-    amount = F.when(F.col("unit").isin(*FLAT_UNITS), F.coalesce(payable, F.lit(0.0)))
-    return (
-        _priced(failed, spec, key)
-        .withColumn("amount", F.coalesce(amount, F.lit(0.0)))
-        .withColumn("reason", reason)
-        .drop("__amount", "__cap")
+    amount = F.when(F.col("unit").isin(*FLAT_UNITS), payable)
+    return priced.withColumn("amount", F.coalesce(amount, F.lit(0.0))).withColumn(
+        "reason", F.try_element_at(reasons, F.col(status))
+    )
+
+
+def ledger(
+    calls: DataFrame,
+    spec: DataFrame,
+    expressions: Mapping[str, str] | None = None,
+    key: str = "backend",
+    rows: str = "n_rows",
+    payload_bytes: str = "payload_bytes",
+    status: str = "status",
+) -> DataFrame:
+    """Charges and refunds of a whole log in one pass.
+
+    Adds ``kind`` (``charge`` or ``refund``), ``label`` (the unit or the refund
+    reason), ``currency``, ``amount`` (null when refused) and ``refused_reason``.
+    """
+    known = calls.where(F.col(status).isin("success", *REFUND_REASONS))
+    priced = _with_charge(_priced(known, spec, key), key, expressions, rows, payload_bytes)
+    both = _with_refund(priced, key, expressions, status)
+    charged = F.col(status) == "success"
+    return both.select(
+        *calls.columns,
+        F.when(charged, F.lit("charge")).otherwise("refund").alias("kind"),
+        F.when(charged, F.col("unit")).otherwise(F.col("reason")).alias("label"),
+        "currency",
+        F.when(charged, F.col("charge")).otherwise(F.col("amount")).alias("amount"),
+        F.when(charged, F.col("refused_reason")).alias("refused_reason"),
     )
 
 

@@ -113,7 +113,7 @@ class ListQuery:
         if self.mode not in ("keyset", "offset"):
             raise ValueError(f"unknown listing mode {self.mode!r}")
         if not 1 <= self.page_size <= MAX_PAGE_SIZE:
-            raise ValueError(f"page_size ({self.page_size}) must be in 1..={MAX_PAGE_SIZE}")
+            raise ValueError(f"page_size must lie between 1 and {MAX_PAGE_SIZE}, not {self.page_size}")
         if self.mode == "keyset":
             if not self.cursor_column:
                 raise ValueError("a keyset listing needs a cursor column")

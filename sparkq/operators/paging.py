@@ -77,12 +77,12 @@ def keyset_page(
 def check_cursor(spec: StreamSpec, binding: str | None, n_keys: int) -> None:
     """Refuse a decoded cursor that is not one of this stream's."""
     if binding is None:
-        raise CursorError("the cursor failed verification")
+        raise CursorError("this cursor is malformed, altered or signed with another key")
     if binding != spec.binding:
-        raise CursorError(f"the cursor was minted for `{binding}`, not for `{spec.binding}`")
+        raise CursorError(f"this cursor belongs to `{binding}`, not to `{spec.binding}`")
     if n_keys != len(spec.cursor_columns):
         raise CursorError(
-            f"the cursor carries {n_keys} key values, {len(spec.cursor_columns)} expected"
+            f"this cursor holds {n_keys} key values where {len(spec.cursor_columns)} are needed"
         )
 
 
@@ -152,7 +152,7 @@ def parse_offset(cursor: str | None) -> int:
     if cursor is None:
         return 0
     if not (cursor.isascii() and cursor.isdigit()) or int(cursor) >= 2**64:
-        raise CursorError(f"offset cursor '{cursor}' is not a non-negative integer")
+        raise CursorError(f"an offset cursor is a whole number from 0, not {cursor!r}")
     return int(cursor)
 
 
@@ -212,7 +212,7 @@ def resource_columns(df: DataFrame) -> list[Column]:
 
 def _check_page_size(page_size: int) -> None:
     if not 1 <= page_size <= MAX_PAGE_SIZE:
-        raise ValueError(f"page_size ({page_size}) must be in 1..={MAX_PAGE_SIZE}")
+        raise ValueError(f"page_size must lie between 1 and {MAX_PAGE_SIZE}, not {page_size}")
 
 
 def resource_page(

@@ -21,11 +21,11 @@ FAILURES = ("timeout", "transport_error")
 def check_await(poll_ms: int = DEFAULT_POLL_MS, timeout_ms: int = DEFAULT_TIMEOUT_MS) -> None:
     """Bounds of a wait: poll at least 100 ms, timeout at least one poll."""
     if poll_ms < MIN_POLL_MS:
-        raise ValueError(f"poll_interval_ms ({poll_ms}) must be >= {MIN_POLL_MS}")
+        raise ValueError(f"poll every {MIN_POLL_MS} ms at most, not every {poll_ms} ms")
     if timeout_ms <= 0:
-        raise ValueError("timeout_ms must be > 0")
+        raise ValueError("the timeout must be positive")
     if timeout_ms < poll_ms:
-        raise ValueError(f"timeout_ms ({timeout_ms}) must be >= poll_interval_ms ({poll_ms})")
+        raise ValueError(f"a timeout of {timeout_ms} ms ends before the first poll at {poll_ms} ms")
 
 
 def _micros(c: Column) -> Column:

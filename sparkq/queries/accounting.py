@@ -75,16 +75,10 @@ def cost_refunds(spark, sf_dir):
        FROM refunds GROUP BY backend, driver, currency, reason"""
 )
 def cost_totals(spark, sf_dir):
-    labels = ["backend", "driver", "currency"]
-    charged = cost.totals(_charges(spark, sf_dir), [*labels, "unit"]).withColumnRenamed("unit", "label")
-    refunded = cost.totals(_refunds(spark, sf_dir), [*labels, "reason"], "amount").withColumnRenamed(
-        "reason", "label"
-    )
-    both = charged.withColumn("kind", F.lit("charge")).unionByName(
-        refunded.withColumn("kind", F.lit("refund"))
-    )
-    return both.select(
-        "kind", *labels, "label", "calls", F.col("micro_units").cast("bigint").alias("micro_units")
+    labels = ["kind", "backend", "driver", "currency", "label"]
+    entries = cost.ledger(call_log(spark, sf_dir), price_spec(spark))
+    return cost.totals(entries, labels, "amount").withColumn(
+        "micro_units", F.col("micro_units").cast("bigint")
     )
 
 

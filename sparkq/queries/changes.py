@@ -1,12 +1,12 @@
 """Changes, notifications, fingerprints, reuse and waits."""
 
-from datetime import UTC, datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from sparkq.functions.common import json_value
 from sparkq.functions.fingerprints import request_fingerprint
-from sparkq.operators import changes, reuse, waiting
+from sparkq.operators import changes, reuse, telemetry, waiting
 from sparkq.queries.registry import CALL_LOG_CTE, query
 from sparkq.sources.views import call_log, read
 
@@ -138,7 +138,7 @@ _PRINTED = f"""{CALL_LOG_CTE}, printed AS (SELECT *, {_FINGERPRINT} AS fingerpri
 
 def _stored(calls):
     """Results of the calls before a day, an hour of which is still fresh."""
-    now = datetime(2024, 1, 10, tzinfo=UTC)
+    now = datetime(2024, 1, 10, tzinfo=timezone.utc)
     done = calls.where((F.col("status") == "success") & (F.col("started_at") < F.lit(now)))
     results = done.select("fingerprint", F.col("started_at").alias("computed_at"))
     return reuse.fresh_results(results, now, ttl_seconds=3600)
@@ -242,6 +242,22 @@ def await_metrics(spark, sf_dir):
     return waiting.await_metrics(labelled, ["backend"], poll_ms=3_600_000)
 
 
+@query(
+    f"""WITH {WAITS_CTE},
+       edges AS (SELECT user_id % 3 AS driver, epoch_us(ts) AS us, 1 AS delta FROM waits
+                 UNION ALL SELECT user_id % 3, epoch_us(ts) + wait_ms * 1000, -1 FROM waits),
+       levels AS (SELECT driver, us, sum(delta) OVER (PARTITION BY driver ORDER BY us, delta
+                    ROWS UNBOUNDED PRECEDING) AS level FROM edges)
+       SELECT driver, CAST(max(level) AS BIGINT) AS peak,
+              CAST(make_timestamp(arg_max(us, (level, -us))) AS TIMESTAMP) AS peak_at
+       FROM levels GROUP BY driver"""
+)
+def await_active_peak(spark, sf_dir):
+    """Most waits open at once."""
+    open_waits = waits(spark, sf_dir).withColumn("driver", F.col("user_id") % 3)
+    return telemetry.concurrency(open_waits, ["driver"], "ts", "wait_ms", slice_seconds=3600)
+
+
 STREAKS_CTE = f"""{CALL_LOG_CTE},
   flagged AS (SELECT *, status IN ('timeout', 'transport_error') AS failed,
                 sum(CASE WHEN status IN ('timeout', 'transport_error') THEN 0 ELSE 1 END)

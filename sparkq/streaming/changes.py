@@ -75,7 +75,7 @@ def change_stream(
         )
         return events, {"last": after}
 
-    schema = f"{watch} {kinds[watch]}, {cursor} {kinds[cursor]}, version bigint"
+    schema = f"`{watch}` {kinds[watch]}, `{cursor}` {kinds[cursor]}, version bigint"
     return fold_batches(samples, step, {"last": schema}, out, work, trigger)
 
 

@@ -121,7 +121,7 @@ def failure_streak_stream(
         )
         return result, {"streaks": after}
 
-    schema = f"{service} {kinds[service]}, streak bigint"
+    schema = f"`{service}` {kinds[service]}, streak bigint"
     return fold_batches(calls, step, {"streaks": schema}, out, work, trigger)
 
 

@@ -118,7 +118,9 @@ def test_notification_stream_from_text_files(spark, tmp_path):
         notification_source(spark)
 
 
-def test_fan_out(spark, rows):
+@pytest.mark.parametrize("small", [True, False])
+def test_fan_out(spark, rows, monkeypatch, small):
+    monkeypatch.setattr(C, "is_small", lambda *_: small)
     events = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "id int, user_id string")
     subs = spark.createDataFrame([("a", "s1"), ("a", "s2"), ("b", "s3")], "user_id string, sub string")
     out = C.fan_out(events, subs)

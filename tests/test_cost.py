@@ -69,6 +69,15 @@ def test_refunds(calls, spec):
     assert broken[7] == (2.0,) and broken[9] == (0.0,)
 
 
+def test_ledger_is_charges_and_refunds_in_one_pass(calls, spec):
+    got = by_id(M.ledger(calls, spec, {"flat": "fee"}), "kind", "label", "amount", "refused_reason")
+    charged = by_id(M.charges(calls.where("status = 'success'"), spec, {"flat": "fee"}), "unit", "charge", "refused_reason")
+    refunded = by_id(M.refunds(calls, spec, {"flat": "fee"}), "reason", "amount")
+    want = {i: ("charge", *v) for i, v in charged.items()}
+    want.update({i: ("refund", *v, None) for i, v in refunded.items()})
+    assert got == want
+
+
 def test_totals_are_exact_micro_units(spark, rows):
     df = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("a", 0.0000004), ("a", 0.0000006), ("b", None)], "k string, charge double")
     got = M.totals(df, ["k"]).selectExpr("k", "calls", "CAST(micro_units AS bigint) AS m")

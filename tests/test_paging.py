@@ -94,11 +94,11 @@ def test_initial_values(events):
 def test_cursor_errors(events):
     with pytest.raises(G.CursorError, match="text token"):
         G.open_cursor(SPEC, events, 5)
-    with pytest.raises(G.CursorError, match="verification"):
+    with pytest.raises(G.CursorError, match="altered"):
         G.open_cursor(SPEC, events, "s.a.b")
-    with pytest.raises(G.CursorError, match="minted for `other`"):
+    with pytest.raises(G.CursorError, match="belongs to `other`"):
         G.open_cursor(SPEC, events, mint("secret", {"v": 1, "b": "other", "p": "", "k": [1, 2]}))
-    with pytest.raises(G.CursorError, match="1 key values"):
+    with pytest.raises(G.CursorError, match="holds 1 key"):
         G.open_cursor(SPEC, events, mint("secret", {"v": 1, "b": "events", "p": "", "k": [1]}))
     # The profile is written but not compared.
     token = mint("secret", {"v": 1, "b": "events", "p": "blue", "k": [1, 2]})
