@@ -149,18 +149,18 @@ def stream_second_page(spark, sf_dir):
 
 
 @query(
-    """SELECT concat('supplier://', s_suppkey) AS uri, s_name AS name, CAST(NULL AS VARCHAR) AS description,
+    """SELECT concat('customer://', c_custkey) AS uri, c_name AS name, CAST(NULL AS VARCHAR) AS description,
               CAST(NULL AS VARCHAR) AS mime_type
-       FROM supplier ORDER BY s_suppkey LIMIT 40 OFFSET 40"""
+       FROM customer ORDER BY c_custkey LIMIT 40 OFFSET 40"""
 )
 def listing_second_page(spark, sf_dir):
     """A listing statement resumed with the cursor of its first page."""
-    register_views(spark, sf_dir, ["supplier"])
+    register_views(spark, sf_dir, ["customer"])
     listing = ListQuery(
-        """SELECT s_suppkey, concat('supplier://', s_suppkey) AS uri, s_name AS name FROM supplier
-           WHERE :cursor IS NULL OR s_suppkey > CAST(:cursor AS BIGINT)
-           ORDER BY s_suppkey LIMIT :page_size""",
-        cursor_column="s_suppkey",
+        """SELECT c_custkey, concat('customer://', c_custkey) AS uri, c_name AS name FROM customer
+           WHERE :cursor IS NULL OR c_custkey > CAST(:cursor AS BIGINT)
+           ORDER BY c_custkey LIMIT :page_size""",
+        cursor_column="c_custkey",
         page_size=40,
     )
     _, cursor = list_page(spark, listing)
