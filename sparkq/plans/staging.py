@@ -10,11 +10,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 _STAGED: dict[str, list[str]] = {}
+_SCOPE: ContextVar[list[str] | None] = ContextVar("staged_scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,7 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     path = f"{shared_dir(spark)}/sparkq/{label}-{uuid.uuid4().hex}"
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    scope = _SCOPE.get()
+    if scope is None:
+        scope = _STAGED.setdefault(spark.sparkContext.applicationId, [])
+    scope.append(path)
     return path
 
 
@@ -58,7 +65,22 @@ def drop_staged(spark: SparkSession) -> int:
 
     Call it when results that read staged rows have been written out.
     """
-    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    return _drop(spark, _STAGED.pop(spark.sparkContext.applicationId, []))
+
+
+@contextmanager
+def staged_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what this thread stages inside; results must be written by then."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        _drop(spark, paths)
+
+
+def _drop(spark: SparkSession, paths: Iterable[str]) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0

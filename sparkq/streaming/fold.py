@@ -13,6 +13,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from sparkq.plans.staging import staged_scope
+
 # Writes a table for the rest of the batch, so that it is computed once.
 Keep = Callable[[DataFrame], DataFrame]
 # (batch, state tables of the batch before, keep) -> (output, next state tables)
@@ -69,10 +71,11 @@ def fold_batches(
             df.write.mode("overwrite").parquet(kept[-1])
             return spark.read.schema(df.schema).parquet(kept[-1])
 
-        result, after = step(batch, before, keep)
-        result.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        for name, df in after.items():
-            df.write.mode("overwrite").parquet(table(name, batch_id))
+        with staged_scope(spark):
+            result, after = step(batch, before, keep)
+            result.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            for name, df in after.items():
+                df.write.mode("overwrite").parquet(table(name, batch_id))
         # The batch before may still be needed for a re-run; older ones are not.
         _delete(spark, f"{work}/state/{batch_id - 2}")
         _delete(spark, scratch)

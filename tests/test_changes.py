@@ -1,10 +1,12 @@
 import random
 from datetime import UTC, datetime, timedelta
+from pathlib import Path
 
 import pytest
 
 from sparkq.operators import changes as C
 from sparkq.operators import reuse as R
+from sparkq.plans import staging
 from sparkq.streaming.changes import apply_once_stream, change_stream, notification_source, notifications
 
 T0 = datetime(2024, 1, 1)
@@ -59,6 +61,11 @@ def test_batch_matches_brute_force(spark, rows, hot_rows):
     assert rows(got.select("id", "version")) == sorted(stamps, key=repr)
 
 
+def staged_folders(spark):
+    folder = Path(staging.shared_dir(spark).removeprefix("file:")) / "sparkq"
+    return sorted(p.name for p in folder.iterdir()) if folder.exists() else []
+
+
 def write_parts(spark, data, schema, path, parts):
     """One file per part, so that a file stream reads them as micro-batches."""
     size = -(-len(data) // parts)
@@ -74,12 +81,15 @@ def test_stream_equals_batch(spark, rows, tmp_path, hot_rows):
     events, _ = brute(data)
     stream = write_parts(spark, data, SCHEMA, str(tmp_path / "in"), 3)
     options = dict(error="error", hot_rows=hot_rows)
+    staged_before = staged_folders(spark)
     query = change_stream(
         stream, "watch", ["ts", "id"], "cursor", str(tmp_path / "out"), str(tmp_path / "work"), **options
     )
     query.awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.select("batch_id").distinct().count() == 3
+    assert staged_folders(spark) == staged_before  # micro-batches clean up
+    assert not (tmp_path / "work" / "state" / "0").exists()
     assert rows(got.select("id", "previous", "version")) == sorted(events, key=repr)
 
 
