@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from sparkq.llm.arrays import IntTable
+
 NO_RANK = np.int64(1) << 40
 
 
@@ -39,14 +41,14 @@ def byte_letters() -> dict[int, str]:
 @dataclass(frozen=True)
 class Vocabulary:
     """Arrays of a tokenizer file: symbols of single bytes (inside and at the end of a
-    word), and the merges as an open hash table from symbol pairs."""
+    word), and a table of symbol pairs with their ranks and what they merge to. The
+    last rank is that of no pair."""
 
     inside: np.ndarray
     at_end: np.ndarray
-    keys: np.ndarray
+    pairs: IntTable
     ranks: np.ndarray
     merged: np.ndarray
-    probes: int
     special: tuple[str, ...]
     pattern: str
 
@@ -59,55 +61,21 @@ class Vocabulary:
         letters = byte_letters()
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         codes = np.array([(ids[a] << 32) | ids[b] for a, b in pairs], np.int64)
-        made = np.array([ids[a.removesuffix(suffix) + b if suffix else a + b] for a, b in pairs], np.int64)
+        made = np.array([ids[a + b] for a, b in pairs], np.int64)
+        codes, rank = np.unique(codes, return_index=True)
         split = next(
             p["pattern"]["Regex"] for p in whole["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"
         )
         return Vocabulary(
             np.array([ids[letters[b]] for b in range(256)], np.int64),
             np.array([ids[letters[b] + suffix] for b in range(256)], np.int64),
-            *_table(codes, made),
+            IntTable.of(codes),
+            np.append(rank, NO_RANK),
+            made[rank],
             tuple(t["content"] for t in whole["added_tokens"] if not t["normalized"]),
             split,
         )
 
-    def lookup(self, pairs: np.ndarray) -> np.ndarray:
-        """Slot of each pair in the table, or the empty last slot."""
-        size = len(self.keys) - 1
-        slot = _slot(pairs, size)
-        out = np.full(len(pairs), size)
-        open_ = np.arange(len(pairs))
-        for _ in range(self.probes):
-            hit = self.keys[slot] == pairs[open_]
-            out[open_[hit]] = slot[hit]
-            more = ~hit & (self.keys[slot] != -1)
-            open_, slot = open_[more], (slot[more] + 1) & (size - 1)
-            if not len(open_):
-                break
-        return out
-
-
-def _slot(pairs: np.ndarray, size: int) -> np.ndarray:
-    mixed = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
-
-
-def _table(codes: np.ndarray, made: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    size = 1 << max(4, (4 * len(codes)).bit_length())
-    keys = np.full(size + 1, -1, np.int64)
-    ranks = np.full(size + 1, NO_RANK)
-    merged = np.zeros(size + 1, np.int64)
-    probes = 1
-    for rank, (code, slot) in enumerate(zip(codes.tolist(), _slot(codes, size).tolist())):
-        tries = 1
-        while keys[slot] != -1 and keys[slot] != code:
-            slot = (slot + 1) & (size - 1)
-            tries += 1
-        if keys[slot] == -1:
-            keys[slot], ranks[slot], merged[slot] = code, rank, made[rank]
-        probes = max(probes, tries)
-    return keys, ranks, merged, probes
-
 
 def merge_counts(vocabulary: Vocabulary, words: Sequence[bytes]) -> np.ndarray:
     """Symbols left of each word after all merges."""
@@ -122,9 +90,9 @@ def merge_counts(vocabulary: Vocabulary, words: Sequence[bytes]) -> np.ndarray:
     sizes = sizes[filled]
 
     def slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return vocabulary.lookup((left << np.int64(32)) | right)
+        return vocabulary.pairs.find((left << np.int64(32)) | right)
 
-    empty = len(vocabulary.keys) - 1
+    empty = -1
     slot = np.full(len(symbols), empty)
     if len(symbols) > 1:
         slot[:-1] = slots(symbols[:-1], symbols[1:])
