@@ -18,12 +18,10 @@ def model_of(spark: SparkSession, sf_dir: str) -> Model:
     """Fitted on labelled documents that are not held out; only texts are inputs."""
     labels = (
         read(spark, sf_dir, "labels")
-        .select(F.col("doc_id"), F.col("toxic").cast("int").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-        .dropDuplicates(["doc_id"])
+        .select("doc_id", F.col("toxic").alias("label"))
+        .where(~held_out(F.col("doc_id")))
     )
-    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return fit(documents.join(labels, "doc_id").select("text", "label"))
+    return fit(read(spark, sf_dir, "documents"), labels)
 
 
 @query()

@@ -294,16 +294,18 @@ BEGINNINGS = range(4, 10)
 MOST_ENTRIES = 4000
 
 
-def _sample(labelled: DataFrame, per_label: int) -> DataFrame:
-    """At most ``per_label`` distinct texts of each label, those of the smallest hashes."""
-    one = labelled.select(
-        F.col("label"), F.col("text"), F.xxhash64("text").alias("key")
-    ).dropna()
-    parts = [
-        one.where(F.col("label") == y).dropDuplicates(["key"]).orderBy("key").limit(per_label)
-        for y in (0, 1)
+def _sample(texts: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
+    """At most ``per_label`` distinct texts of each label, those of the smallest id hashes.
+
+    Ids are chosen first; these few are broadcast, so that texts are not shuffled.
+    """
+    by_hash = F.xxhash64("doc_id")
+    picked = [
+        labels.where(F.col("label") == y).orderBy(by_hash, "doc_id").limit(per_label) for y in (0, 1)
     ]
-    return stage(parts[0].unionByName(parts[1]), "toxicity-sample")
+    ids = F.broadcast(picked[0].unionByName(picked[1]))
+    rows = texts.select("doc_id", "text").join(ids, "doc_id").select("text", "label").dropna()
+    return stage(rows.dropDuplicates(), "toxicity-sample")
 
 
 def entries(text: str) -> set[str]:
@@ -337,8 +339,9 @@ def _counted_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield table()
 
 
-def fit(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
-    """Learn lexicon and weights from ``labelled`` (columns text, label 0/1).
+def fit(texts: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
+    """Learn lexicon and weights from ``texts`` (doc_id, text) and ``labels`` (doc_id,
+    label 0/1; an id that comes twice counts with its larger label).
 
     Uses a bounded sample of at most ``per_label`` distinct texts of each label;
     the intercept is then moved to the shares of the labels in all rows. Without
@@ -347,10 +350,16 @@ def fit(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
     least five times less often than in toxic ones; both occur in so many toxic
     texts that chance hardly explains it.
     """
-    shares = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    labels = (
+        labels.where(F.col("label").isin(0, 1))
+        .groupBy("doc_id")
+        .agg(F.max("label").cast("int").alias("label"))
+        .dropna()
+    )
+    shares = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
     if not shares.get(0) or not shares.get(1):
         return Model()
-    sample = _sample(labelled, per_label)
+    sample = _sample(texts, labels, per_label)
     taken = {y: min(per_label, shares[y]) for y in (0, 1)}
     share = taken[1] / (taken[0] + taken[1])
     support = max(4, math.ceil(-6 / math.log10(share)))
