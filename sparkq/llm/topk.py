@@ -131,15 +131,16 @@ def retrieve(q: np.ndarray, q_ids: np.ndarray, p: np.ndarray, p_ids: np.ndarray,
         open_, goal, reach = open_[alive], goal[alive], reach[alive]
         if not len(open_):
             break
-        local = np.where(best.full[open_] & (reach > 0), goal / np.maximum(reach, 1e-300), -np.inf)
+        # Queries without k scores yet, or of length zero, rule nothing out.
+        bound = best.full[open_] & (reach > 0)
+        local = np.divide(goal, reach, out=np.full(len(goal), -np.inf), where=bound)
         by_coordinate = local >= COORDINATE_FROM
         if by_coordinate.any():
             _coordinates(best, open_[by_coordinate], local[by_coordinate], q, q_ids, q_len, vectors, ids, lengths)
         rest = open_[~by_coordinate]
         if len(rest):
-            need = np.where(
-                best.full[rest], goal[~by_coordinate] / np.maximum(q_len[rest], 1e-300), -np.inf
-            )
+            need = np.divide(goal, q_len[open_], out=np.full(len(goal), -np.inf), where=bound)
+            need = need[~by_coordinate]
             # Lengths fall, so those long enough for some query are a beginning of the bucket.
             enough = int((lengths * (1 + SLACK) + SLACK >= need.min()).sum())
             scores = products(q[rest], vectors[:enough])

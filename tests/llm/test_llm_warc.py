@@ -1,0 +1,100 @@
+"""Archives: round trip, ranges, revisits."""
+
+import hashlib
+import io
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkq.llm.warc import MAGIC, encode_record, header, read_archive, round_trip, scan_range
+from sparkq.plans.staging import new_path, stage
+
+
+class Bytes:
+    def __init__(self, data):
+        self.data = data
+
+    def read_at(self, n, at):
+        return self.data[at : at + n]
+
+
+def archive(payloads):
+    members = [encode_record({"WARC-Type": "response", "N": str(i)}, p) for i, p in enumerate(payloads)]
+    return b"".join(members)
+
+
+@pytest.mark.parametrize("step", [1 << 20, 1000, 37, 5])
+@pytest.mark.parametrize("read", [1 << 17, 64, 4])
+def test_ranges_own_what_starts_inside(monkeypatch, step, read):
+    monkeypatch.setattr("sparkq.llm.warc.READ", read)
+    rng = random.Random(7)
+    payloads = [rng.randbytes(rng.choice([0, 1, 50, 3000])) for _ in range(8)]
+    # Stored bytes that look like members, and a member that is no record.
+    payloads.append(MAGIC * 5 + rng.randbytes(20) + MAGIC)
+    data = archive(payloads[:5]) + zlib.compress(b"x" * 50, wbits=31) + b"junk" + MAGIC + archive(payloads[5:])
+    got = []
+    for start in range(0, len(data), step):
+        got += [p for _, _, p in scan_range(Bytes(data), len(data), start, start + step)]
+    assert got == payloads
+
+
+def test_cut_off_archive():
+    data = archive([b"a" * 10, b"b" * 5000])[:-3]
+    assert [p for *_, p in scan_range(Bytes(data), len(data), 0, len(data))] == [b"a" * 10]
+    assert list(scan_range(Bytes(b""), 0, 0, 0)) == []
+
+
+LONG = "long payload " * 100
+PAGES = [
+    (1, "http://a/1", LONG),
+    (2, "http://a/2", LONG),
+    (4, "http://a/4\nX: y", LONG),
+    (4, "http://a/4b", LONG),
+    (None, "http://a/n", LONG),
+    (5, None, "short"),
+    (6, "http://a/6", "short"),
+    (7, "http://a/7", None),
+    (8, "http://a/8", ""),
+    (9, "http://a/9", "é" * 600_000),
+]
+
+
+def test_round_trip_of_odd_pages(spark):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumn("digest", F.lit("mine"))
+    rows = round_trip(spark, pages, range_bytes=200).collect()
+    got = sorted(
+        (r.headers.get("page-id"), r.headers["warc-type"], r.headers.get("refers-to-page-id"), r.payload_digest)
+        for r in rows
+        if r.headers.get("page-id")
+    )
+
+    def sha(text):
+        return hashlib.sha1((text or "").encode()).hexdigest()
+
+    want = sorted(
+        (str(i), "revisit" if t == LONG and i != 4 else "response", "4" if t == LONG and i != 4 else None, sha(t))
+        for i, _, t in PAGES
+        if i is not None
+    )
+    assert got == want and len(rows) == len(PAGES)
+    nameless = [r for r in rows if not r.headers.get("page-id")]
+    assert [r.headers["warc-type"] for r in nameless] == ["revisit"]
+    whole = next(r for r in rows if r.headers.get("page-id") == "9")
+    assert bytes(whole.payload).decode() == PAGES[-1][2]
+    assert round_trip(spark, pages.limit(0)).count() == 0
+
+
+def test_archive_from_elsewhere(spark, tmp_path):
+    path = tmp_path / "other.warc.gz"
+    buffer = io.BytesIO()
+    for i in range(50):
+        record = f"WARC/1.0\r\nWARC-Type: metadata\r\nContent-Length: 3\r\n\r\n{i:03d}\r\n\r\n".encode()
+        buffer.write(zlib.compress(record, wbits=31))
+    path.write_bytes(buffer.getvalue())
+    manifest = spark.createDataFrame([(str(path), path.stat().st_size)], "path string, size long")
+    got = read_archive(stage(manifest, "manifest"), 100)
+    assert sorted(bytes(r.payload) for r in got.collect()) == [f"{i:03d}".encode() for i in range(50)]
+    assert got.where(header("WARC-Type") == "metadata").count() == 50
+    assert new_path(spark, "x")
