@@ -42,9 +42,17 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+# Timestamps keep their microseconds; instants are written in UTC.
+_EXACT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timeZone": "UTC",
+}
+
+
 def json_value(c: Column) -> Column:
     """One value as JSON text, null included."""
-    text = F.to_json(F.array(c))
+    text = F.to_json(F.array(c), _EXACT_TIMES)
     return F.substring(text, F.lit(2), F.length(text) - 2)
 
 

@@ -20,21 +20,35 @@ INTERVAL_FIELDS = ["months", "days", "micros"]
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
+def _written(c: Column, **options: str) -> Column:
+    """A date-time as JSON writes it, without the quotes.
+
+    ``date_format`` would take a wall clock through the session's zone, which may lack
+    that hour.
+    """
+    text = F.to_json(F.array(c), options)
+    return F.when(c.isNotNull(), F.substring(text, F.lit(3), F.length(text) - 4))
+
+
 def naive_timestamp_text(c: Column | str) -> Column:
     """``2024-01-02T03:04:05.000006``: always six fraction digits, no zone."""
-    return F.date_format(as_column(c).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return _written(
+        as_column(c).cast("timestamp_ntz"), timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    )
 
 
 def zoned_timestamp_text(c: Column | str) -> Column:
     """RFC 3339 in UTC with ``+00:00``; fraction digits 0, 3 or 6 as needed."""
     c = as_column(c)
-    utc = F.to_utc_timestamp(c, F.current_timezone())
     micros = F.unix_micros(c) % 1_000_000
-    pattern = "yyyy-MM-dd'T'HH:mm:ss"
+
+    def digits(pattern: str) -> Column:
+        return _written(c, timestampFormat="yyyy-MM-dd'T'HH:mm:ss" + pattern, timeZone="UTC")
+
     return F.concat(
-        F.when(micros == 0, F.date_format(utc, pattern))
-        .when(micros % 1000 == 0, F.date_format(utc, pattern + ".SSS"))
-        .otherwise(F.date_format(utc, pattern + ".SSSSSS")),
+        F.when(micros == 0, digits(""))
+        .when(micros % 1000 == 0, digits(".SSS"))
+        .otherwise(digits(".SSSSSS")),
         F.lit("+00:00"),
     )
 

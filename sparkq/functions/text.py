@@ -14,13 +14,13 @@ PRIVILEGED_FIRST = ("GRANT", "REVOKE")
 SCHEMA_VERBS = ("CREATE", "ALTER", "DROP")
 PRIVILEGED_OBJECTS = ("USER", "ROLE", "DATABASE", "GROUP")
 
-# The rest of scheme://user:password@ behind its scheme; the password ends at the
-# last @ of the authority. Looking for :// first and then back at the scheme (up
-# to 256 characters) costs nothing on text without URLs.
-_SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]{0,255}://"
-_AT_WORD_START = rf"(?<=(?:^|[{WHITE_SPACE}]){_SCHEME})"
-_ANYWHERE = rf"(?<={_SCHEME})"
-_SECRET = rf"([^{WHITE_SPACE}/?#:]*+:)[^{WHITE_SPACE}/?#]+@"
+# scheme://user:password@; the password ends at the last @ of the authority. A match
+# begins where a word or a run of scheme characters begins, so that every run is
+# read once, however long it is.
+_URL = rf"[A-Za-z][A-Za-z0-9+.\-]*+://[^{WHITE_SPACE}/?#:]*+:"
+_AT_WORD_START = rf"(?<![^{WHITE_SPACE}])({_URL})"
+_ANYWHERE = rf"(?<![A-Za-z0-9+.\-])([0-9+.\-]*+{_URL})"
+_SECRET = rf"[^{WHITE_SPACE}/?#]+@"
 # White space beyond ASCII (tested against a wide range first, which is cheap),
 # and ASCII white space that is not one plain space already.
 _WIDE_SPACE = (
@@ -48,8 +48,8 @@ def redact_credentials(
         ascii_only = F.length(c) == F.octet_length(c)
         plain = F.when(ascii_only, c).otherwise(F.regexp_replace(c, _WIDE_SPACE, " "))
         c = F.trim(F.regexp_replace(plain, _UNEVEN_SPACE, " "))
-    behind = _ANYWHERE if anywhere else _AT_WORD_START
-    return F.regexp_replace(c, "://" + behind + _SECRET, "://$1***@")
+    url = _ANYWHERE if anywhere else _AT_WORD_START
+    return F.when(c.contains("://"), F.regexp_replace(c, url + _SECRET, "$1***@")).otherwise(c)
 
 
 def is_multi_statement(sql: Column | str) -> Column:

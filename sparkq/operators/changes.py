@@ -77,16 +77,15 @@ def version_stamps(
 
 
 def _text_member(parsed: Column, name: str) -> Column:
-    member = F.try_variant_get(parsed, f"$.{name}", "variant")
-    is_text = F.schema_of_variant(member) == "STRING"
-    return F.when(is_text, F.try_variant_get(parsed, f"$.{name}", "string"))
+    is_text = F.schema_of_variant(parsed[name]) == "STRING"
+    return F.when(is_text, F.try_variant_get(parsed[name], "$", "string"))
 
 
 def parse_notifications(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``user_id`` and ``session_id`` from JSON payloads; works on streams.
 
-    Only text members count. Empty, malformed and non-object payloads are
-    broadcasts: both columns null.
+    Only text members count; of a member that comes twice the last one does. Empty,
+    malformed and non-object payloads are broadcasts: both columns null.
     """
     text = as_column(payload)
     # Only what can be an object with such a member is parsed; a backslash may
@@ -94,7 +93,7 @@ def parse_notifications(df: DataFrame, payload: str = "payload") -> DataFrame:
     named = text.contains("user_id") | text.contains("session_id") | text.contains("\\")
     candidate = text.rlike(r"^\s*\{") & named
     members = bound(
-        F.when(candidate, F.try_parse_json(text)),
+        F.when(candidate, F.from_json(text, "user_id variant, session_id variant")),
         lambda parsed: F.struct(
             _text_member(parsed, "user_id").alias("user_id"),
             _text_member(parsed, "session_id").alias("session_id"),

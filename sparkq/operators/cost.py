@@ -78,16 +78,25 @@ def _base(key: str, expressions: Mapping[str, str] | None) -> Column:
 
 
 def _priced(calls: DataFrame, spec: DataFrame, key: str) -> DataFrame:
-    """Calls with the price of their backend; calls without a price drop out."""
-    prices = spec.select(
-        F.col(key).alias("__backend"),
-        "unit",
-        (F.col("amount") if "amount" in spec.columns else F.lit(None).cast("string")).alias("__amount"),
-        "currency",
-        (
-            F.col("max_per_call") if "max_per_call" in spec.columns else F.lit(None).cast("string")
-        ).alias("__cap"),
+    """Calls with the price of their backend; calls without a price drop out.
+
+    A price that ``check_prices`` finds fault with fails the job, and so does a second
+    price of one backend.
+    """
+
+    def text(name: str) -> Column:
+        return F.col(name) if name in spec.columns else F.lit(None).cast("string")
+
+    price = F.struct(
+        "unit", text("amount").alias("__amount"), "currency", text("max_per_call").alias("__cap")
+    )
+    checked = check_prices(spec).groupBy(F.col(key).alias("__backend")).agg(
+        F.min(price).alias("p"), F.count("*").alias("n"), F.max("error").alias("error")
     )
+    problem = F.when(F.col("n") > 1, F.lit("more than one price")).otherwise(F.col("error"))
+    message = F.concat(F.lit("price of "), F.col("__backend"), F.lit(": "), problem)
+    usable = F.when(problem.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+    prices = checked.where("__backend IS NOT NULL").where(usable).select("__backend", "p.*")
     return calls.join(broadcast_if_small(prices), F.col(key) == F.col("__backend")).drop("__backend")
 
 

@@ -22,32 +22,58 @@ from sparkq.operators.paging import (
     resource_columns,
 )
 from sparkq.operators.params import QuerySpec, run_query
-from sparkq.operators.shape import is_truncated, many, resource_contents, scalar, single
+from sparkq.operators.shape import resource_contents, scalar, single
+from sparkq.plans.staging import POSITION, settle
 
 
 @dataclass(frozen=True)
 class Response:
-    """Rows of a response; they run when read, and so does the truncation check."""
+    """Rows of a response with its flag and cursor.
+
+    A capped response, and one of a stream, is run once when first read: the rows up
+    to one past the cap are written, and rows, ``truncated`` and ``next_cursor`` are
+    read off them. Without a cap the rows stay lazy.
+    """
 
     spec: QuerySpec
     all_rows: DataFrame
-    rows: DataFrame
     stream: StreamSpec | None = None
 
+    @cached_property
+    def page(self) -> DataFrame:
+        cap = self.spec.max_rows
+        return settle(self.all_rows, None if cap is None else cap + 1)
+
+    @cached_property
+    def _capped(self) -> DataFrame:
+        cap = self.spec.max_rows
+        return self.page if cap is None else self.page.where(F.col(POSITION) < cap)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        mode = self.spec.row_mode
+        if mode == "single":
+            return single(self.all_rows)
+        if mode == "scalar":
+            return scalar(self.all_rows)
+        rows = self.all_rows
+        if self.stream is not None or self.spec.max_rows is not None:
+            rows = self._capped.orderBy(POSITION).drop(POSITION)
+        return resource_contents(rows, strict=True) if mode == "resource_contents" else rows
+
     @cached_property
     def truncated(self) -> bool:
-        return is_truncated(self.all_rows, self.spec.max_rows)
+        return self.spec.max_rows is not None and self.page.count() > self.spec.max_rows
 
     @cached_property
     def next_cursor(self) -> str | None:
         """Token behind the last row in the statement's own order; None when empty."""
-        if self.stream is None or any(c not in self.rows.columns for c in self.stream.cursor_columns):
+        if self.stream is None or any(c not in self.all_rows.columns for c in self.stream.cursor_columns):
             return None
         key = [F.col(c) for c in self.stream.cursor_columns]
         token = encode_cursor(self.stream.binding, key, self.stream.signing_key)
-        # The response is capped by max_rows; only its last row comes here.
-        last = self.rows.select(token.alias("t")).tail(1)
-        return last[0]["t"] if last else None
+        last = self._capped.orderBy(F.desc(POSITION)).limit(1).select(token.alias("t")).first()
+        return last["t"] if last else None
 
     def json(self, profile: str = "postgres") -> DataFrame:
         """One JSON object per row."""
@@ -77,14 +103,7 @@ def execute(
             raise ValueError("stream mode needs a StreamSpec")
         after = after_values(spark, stream, cursor)
     rows = run_query(spark, spec, args, after=after, idempotency=idempotency, views=views)
-    shaped = {
-        "single": lambda: single(rows),
-        "scalar": lambda: scalar(rows),
-        "many": lambda: many(rows, spec.max_rows),
-        "stream": lambda: many(rows, spec.max_rows),
-        "resource_contents": lambda: resource_contents(many(rows, spec.max_rows), strict=True),
-    }[spec.row_mode]()
-    return Response(spec, rows, shaped, stream if spec.row_mode == "stream" else None)
+    return Response(spec, rows, stream if spec.row_mode == "stream" else None)
 
 
 def after_values(spark: SparkSession, stream: StreamSpec, cursor: Any) -> dict[str, Any]:
@@ -131,13 +150,14 @@ def list_page(
     offset = parse_offset(cursor) if listing.mode == "offset" else None
     spec = QuerySpec(name="listing", sql=listing.sql, params=("cursor", "page_size"))
     bound = {"cursor": cursor if offset is None else offset, "page_size": listing.page_size}
-    page = run_query(spark, spec, bound)
+    page = settle(run_query(spark, spec, bound))
     usable = page.where(F.col("uri").isNotNull())
-    rows = usable.select(*resource_columns(page))
+    rows = usable.orderBy(POSITION).select(*resource_columns(page))
     n = page.count()
     if n < listing.page_size:
         return rows, None
     if offset is not None:
         return rows, str(offset + n)
-    last = usable.select(cursor_value_text(listing.cursor_column).alias("c")).tail(1)
-    return rows, last[0]["c"] if last else None
+    last = usable.orderBy(F.desc(POSITION)).limit(1)
+    row = last.select(cursor_value_text(listing.cursor_column).alias("c")).first()
+    return rows, row["c"] if row else None

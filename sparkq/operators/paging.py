@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sparkq.functions.common import div, require_column_name, require_identifier
 from sparkq.functions.cursors import cursor_value_text, decode_cursor, encode_cursor
 from sparkq.plans.ordered import row_index
+from sparkq.plans.staging import POSITION, settle
 
 MAX_PAGE_SIZE = 1000
 
@@ -48,14 +49,24 @@ def after_predicate(columns: Sequence[str], values: Sequence[Any]) -> Column:
     """Rows strictly after ``values`` in the order of ``columns``.
 
     Written as plain comparisons so that it can be pushed into the scan. The
-    leading column is also bounded on its own, which lets files be skipped.
+    leading column is also bounded on its own, which lets files be skipped. Nulls
+    come first, as in an ascending sort.
     """
+
+    def same(column: str, value: Any) -> Column:
+        return F.col(column).isNull() if value is None else F.col(column) == F.lit(value)
+
+    def behind(column: str, value: Any) -> Column:
+        return F.col(column).isNotNull() if value is None else F.col(column) > F.lit(value)
+
     alternatives = []
     for i, column in enumerate(columns):
-        equal = [F.col(c) == F.lit(v) for c, v in zip(columns[:i], values[:i])]
-        alternatives.append(reduce(lambda a, b: a & b, [*equal, F.col(column) > F.lit(values[i])]))
+        equal = [same(c, v) for c, v in zip(columns[:i], values[:i])]
+        alternatives.append(reduce(lambda a, b: a & b, [*equal, behind(column, values[i])]))
     later = reduce(lambda a, b: a | b, alternatives)
-    return later if len(columns) == 1 else (F.col(columns[0]) >= F.lit(values[0])) & later
+    if len(columns) == 1 or values[0] is None:
+        return later
+    return (F.col(columns[0]) >= F.lit(values[0])) & later
 
 
 def keyset_page(
@@ -140,11 +151,11 @@ def stream_page(
 ) -> StreamPage:
     """One page in stream shape: rows, truncation flag, token of the next page."""
     after = open_cursor(spec, df, token)
-    page = keyset_page(df, spec.cursor_columns, after, page_size)
-    cap = page_size if max_rows is None else max_rows
-    rows = page if cap >= page_size else page.orderBy(*spec.cursor_columns).limit(cap)
-    truncated = cap < page_size and page.limit(cap + 1).count() > cap
-    return StreamPage(rows, truncated, next_cursor(spec, rows))
+    cap = page_size if max_rows is None else min(max_rows, page_size)
+    # The page is run once; rows, flag and token are read off what was written.
+    page = settle(keyset_page(df, spec.cursor_columns, after, page_size), cap + 1)
+    rows = page.where(F.col(POSITION) < cap).orderBy(POSITION).drop(POSITION)
+    return StreamPage(rows, page.count() > cap, next_cursor(spec, rows))
 
 
 def parse_offset(cursor: str | None) -> int:
@@ -158,14 +169,17 @@ def parse_offset(cursor: str | None) -> int:
 
 def offset_page(
     df: DataFrame, order: Sequence[str], cursor: str | None, page_size: int
-) -> tuple[DataFrame, str]:
-    """One page by running offset, and the cursor of the next page.
+) -> tuple[DataFrame, str | None]:
+    """One page by running offset, and the cursor of the next page: the rows listed so
+    far, or None after a short page.
 
     Reads and sorts everything before the page; for small listings only. Large
     ones use ``keyset_page`` or ``page_manifest``.
     """
     start = parse_offset(cursor)
-    return df.orderBy(*order).offset(start).limit(page_size), str(start + page_size)
+    page = settle(df.orderBy(*order).offset(start), page_size)
+    n = page.count()
+    return page.orderBy(POSITION).drop(POSITION), str(start + n) if n >= page_size else None
 
 
 def page_manifest(
@@ -225,22 +239,28 @@ def resource_page(
     """
     _check_page_size(page_size)
     require_identifier(cursor_column)
-    page = keyset_page(df, [cursor_column], None if after is None else [after], page_size)
+    page = settle(keyset_page(df, [cursor_column], None if after is None else [after], page_size))
     usable = F.col("uri").isNotNull()
     stats = page.agg(
         F.count("*").alias("n"), F.max(F.when(usable, F.col(cursor_column))).alias("last")
     ).select("n", "last", cursor_value_text("last").alias("token")).first()
     full = stats["n"] >= page_size and stats["last"] is not None
-    return page.select(*resource_columns(page)).where(usable), stats["token"] if full else None
+    rows = page.where(usable).orderBy(POSITION).select(*resource_columns(page))
+    return rows, stats["token"] if full else None
 
 
 def resource_listing(df: DataFrame, cursor_column: str, page_size: int = 100) -> DataFrame:
     """The whole listing with its page numbers: what paging to the end returns."""
     _check_page_size(page_size)
     require_identifier(cursor_column)
-    indexed = row_index(df, [cursor_column], "__idx")
-    return indexed.select(
-        div(F.col("__idx"), page_size).alias("page"),
-        *resource_columns(df),
-        cursor_value_text(cursor_column).alias("cursor"),
-    ).where(F.col("uri").isNotNull())
+    # Only what the listing shows is sorted and written.
+    shown = df.select(*resource_columns(df), F.col(cursor_column).alias("__cursor"))
+    return (
+        row_index(shown, ["__cursor"], "__idx")
+        .where(F.col("uri").isNotNull())
+        .select(
+            div(F.col("__idx"), page_size).alias("page"),
+            *[F.col(c) for c in ("uri", "name", "description", "mime_type")],
+            cursor_value_text("__cursor").alias("cursor"),
+        )
+    )

@@ -14,15 +14,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkq.functions.common import require_column_name, require_identifier
 from sparkq.functions.text import check_statement
-from sparkq.plans.sizing import is_small
+from sparkq.plans.ordered import Running, scan_in_order
 
 # Names that only the engine may bind.
 RESERVED = ("idempotency_key", "idempotency_scope_hash")
 AFTER_PREFIX = "_after_"
-DEFAULT_MAX_ROWS = 1000
 
 ROW_MODES = (
     "single", "many", "scalar", "affected_rows", "resource_contents", "stream", "result_sets",
@@ -40,7 +40,8 @@ class QuerySpec:
     ``params`` are the declared argument names; the text may use no others. None
     accepts any. ``derived``
     maps names to SQL expressions over the other arguments. ``session_vars``
-    are visible to the text as markers too (dots become underscores).
+    are visible to the text as markers too (dots become underscores). Rows are capped
+    only where ``max_rows`` says so.
     """
 
     name: str
@@ -49,13 +50,13 @@ class QuerySpec:
     derived: Mapping[str, str] = field(default_factory=dict)
     session_vars: Mapping[str, str] = field(default_factory=dict)
     row_mode: str = "many"
-    max_rows: int = DEFAULT_MAX_ROWS
+    max_rows: int | None = None
 
     def __post_init__(self) -> None:
         check_statement(self.sql)
         if self.row_mode not in ROW_MODES:
             raise ValueError(f"row mode must be one of {ROW_MODES}, not {self.row_mode!r}")
-        if self.max_rows < 0:
+        if self.max_rows is not None and self.max_rows < 0:
             raise ValueError("max_rows must not be negative")
         for key in self.session_vars:
             require_identifier(key)
@@ -225,19 +226,22 @@ def run_batch(
     equal: Mapping[str, str] | None = None,
     between: tuple[str, str, str] | None = None,
     where: Column | str | None = None,
-    small: bool | None = None,
+    keep_unmatched: bool = False,
 ) -> DataFrame:
     """Run one parameterised filter for every row of a parameter table.
 
     The result has the columns of both sides, one row per (parameter row, data
-    row) that match. ``equal`` maps data columns to parameter columns and makes
-    a hash join. ``between`` is ``(data column, low, high)``, low inclusive and
-    high exclusive, with the bounds in parameter columns. ``where`` is a further
-    condition over both.
-
-    Few parameter rows are broadcast after a size check. More of them join on
-    bins of ``bin_width`` when only ``between`` is given, so that no plan pairs
-    every parameter row with every data row.
+    row) that match. ``equal`` maps data columns to parameter columns. ``between``
+    is ``(data column, low, high)``, low inclusive and high exclusive, with the
+    bounds in parameter columns; numbers, dates and timestamps will do. ``where``
+    is a further condition over both. ``keep_unmatched`` answers every parameter
+    row: one without a match stays, with nulls for the data (rows that agree in
+    all columns are one call).
+
+    The join is always by equal keys or by bins of the ranges, so no plan pairs
+    every parameter row with every data row; a side that Spark knows to be small
+    is broadcast. Where only counts or sums are wanted, ``sweep_totals`` makes no
+    pairs at all.
     """
     if not equal and between is None:
         raise ValueError("give equal columns, a between range, or both")
@@ -249,11 +253,33 @@ def run_batch(
         conditions.append(F.expr(where) if isinstance(where, str) else where)
     matches = reduce(lambda a, b: a & b, conditions)
 
-    if is_small(params) if small is None else small:
-        return data.join(F.broadcast(params), matches)
     if equal:
-        return data.join(params, matches)
-    return _join_on_bins(data, params, *between, matches)
+        found = data.join(params, matches)
+    else:
+        found = _join_on_bins(data, params, *between, matches)
+    if not keep_unmatched:
+        return found
+    names = params.columns
+    met = found.select(*[F.col(c).alias(f"__met{i}") for i, c in enumerate(names)]).distinct()
+    same = reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__met{i}")) for i, c in enumerate(names)]
+    )
+    rest = params.distinct().join(met, same, "left_anti")
+    return found.unionByName(rest, allowMissingColumns=True)
+
+
+def _axis(df: DataFrame, column: str) -> Column:
+    """A column's place on a line, in its order: days, seconds or the number itself."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("double") / 1e6
+    if isinstance(kind, T.TimestampNTZType):
+        # A wall clock is not taken through the session's zone, where hours may be missing.
+        second = F.extract(F.lit("SECOND"), c).cast("double")
+        return F.unix_date(c.cast("date")) * 86400.0 + F.hour(c) * 3600 + F.minute(c) * 60 + second
+    return c.cast("double")
 
 
 def _join_on_bins(
@@ -265,24 +291,103 @@ def _join_on_bins(
     two bins however wide it is. A data row is repeated once per bin size in use
     (ranges of like width share one).
     """
-    size = F.pow(F.lit(2.0), F.ceil(F.log2((F.col(high) - F.col(low)).cast("double"))))
-    sized = params.where(F.col(low) < F.col(high)).withColumn("__size", size)
+    start, end = _axis(params, low), _axis(params, high)
+    # Neighbouring instants may have one double, so a width is at least that of a bin
+    # that keeps its numbers whole.
+    least = F.greatest(F.abs(start), F.abs(end)) * 2.0**-50
+    width = F.greatest(end - start, least, F.lit(2.0**-60))
+    sized = params.where(F.col(low) < F.col(high)).withColumn(
+        "__size", F.pow(F.lit(2.0), F.ceil(F.log2(width)))
+    )
     # Bin sizes are powers of two between the narrowest and the widest range.
     sizes = [r["__size"] for r in sized.select("__size").distinct().collect()]
 
-    def bin_of(column: str, width: str) -> Column:
-        return F.floor(F.col(column).cast("double") / F.col(width))
+    def bin_of(place: Column, size: str) -> Column:
+        return F.floor(place / F.col(size))
 
     binned = sized.withColumn(
-        "__bin", F.explode(F.sequence(bin_of(low, "__size"), bin_of(high, "__size")))
+        "__bin", F.explode(F.sequence(bin_of(start, "__size"), bin_of(end, "__size")))
     )
     placed = data.withColumn(
         "__width", F.explode(F.lit(sizes) if sizes else F.array().cast("array<double>"))
-    ).withColumn("__at", bin_of(value, "__width"))
+    ).withColumn("__at", bin_of(_axis(data, value), "__width"))
     same_bin = (F.col("__width") == F.col("__size")) & (F.col("__at") == F.col("__bin"))
     return placed.join(binned, same_bin & matches).drop("__size", "__bin", "__width", "__at")
 
 
+# Beyond this many rows of one group, a sweep is spread over ranges.
+SWEEP_ROWS = 1_000_000
+
+
+def sweep_totals(
+    data: DataFrame,
+    params: DataFrame,
+    *,
+    between: tuple[str, str, str],
+    equal: Mapping[str, str] | None = None,
+    sums: Mapping[str, Column] | None = None,
+    low_open: bool = False,
+    count: str = "n",
+) -> DataFrame:
+    """For every parameter row the number of data rows in its range, and sums over them.
+
+    ``between`` is ``(data column, low, high)``, low inclusive unless ``low_open``,
+    high exclusive; a null bound is open. Every parameter row is answered, with 0
+    rows and null sums where nothing matches; rows that agree in all columns are one.
+
+    Data and bounds are put in one order and counted through once; a range is the
+    difference of the running totals at its bounds. No pairs are made.
+    """
+    value, low, high = between
+    sums = dict(sums or {})
+    keys = [f"__k{i}" for i in range(len(equal or {}))] or ["__k0"]
+    data_keys = [F.col(c) for c in (equal or {})] or [F.lit(0)]
+    param_keys = [F.col(c) for c in (equal or {}).values()] or [F.lit(0)]
+    wanted = params.distinct()
+    kind = data.schema[value].dataType
+
+    def rows(df, group, at, place, tie, sign, one, totals, row):
+        return df.select(
+            *[g.alias(k) for g, k in zip(group, keys)],
+            place.cast("int").alias("__place"),
+            at.cast(kind).alias("__at"),
+            F.lit(tie).alias("__tie"),
+            F.lit(sign).alias("__sign"),
+            F.lit(one).cast("bigint").alias("__one"),
+            *[t.alias(f"__sum{i}") for i, t in enumerate(totals)],
+            row.alias("__row"),
+        )
+
+    kinds = [data.select(t.alias("t")).schema["t"].dataType for t in sums.values()]
+    zeros = [F.lit(0).cast(k) for k in kinds]
+    row_type = wanted.select(F.struct("*").alias("r")).schema["r"].dataType
+    points = rows(
+        data.where(F.col(value).isNotNull()), data_keys, F.col(value), F.lit(1), 1, 0, 1,
+        [F.coalesce(t, z) for t, z in zip(sums.values(), zeros)], F.lit(None).cast(row_type),
+    )
+
+    def bound(column: str, sign: int, open_end: int, tie: int) -> DataFrame:
+        place = F.when(F.col(column).isNull(), open_end).otherwise(1)
+        return rows(wanted, param_keys, F.col(column), place, tie, sign, 0, zeros, F.struct("*"))
+
+    # A bound stands before the rows of its own value, an open low one behind them.
+    bounds = bound(low, -1, 0, 2 if low_open else 0).unionByName(bound(high, 1, 2, 0))
+    steps = [Running("__n", "sum", F.col("__one"))]
+    steps += [Running(f"__total{i}", "sum", F.col(f"__sum{i}")) for i in range(len(sums))]
+    scanned = scan_in_order(
+        points.unionByName(bounds), keys, ["__place", "__at", "__tie", "__row", "__sign"], steps, SWEEP_ROWS
+    )
+    # Empty ranges may have their bounds the wrong way round.
+    n = F.greatest(F.sum(F.col("__n") * F.col("__sign")), F.lit(0))
+    differences = [F.sum(F.col(f"__total{i}") * F.col("__sign")).alias(name) for i, name in enumerate(sums)]
+    found = scanned.where("__sign <> 0").groupBy("__row").agg(n.alias(count), *differences)
+    return found.select(
+        *[F.col("__row")[c].alias(c) for c in params.columns],
+        count,
+        *[F.when(F.col(count) > 0, F.col(name)).alias(name) for name in sums],
+    )
+
+
 def apply_once(
     batch: DataFrame,
     order: list[str],
@@ -321,7 +426,7 @@ def complete_prefix(
     column: str,
     prefix: str,
     context: Mapping[str, str] | None = None,
-    max_results: int = 100,
+    max_results: int | None = None,
 ) -> DataFrame:
     """Distinct text values of ``column`` that start with ``prefix``, in order.
 
@@ -331,7 +436,8 @@ def complete_prefix(
     rows = df.where(F.col(column).startswith(prefix))
     for name, value in context_variables(context or {}).items():
         rows = rows.where(F.col(require_column_name(name)) == value)
-    return rows.select(column).distinct().orderBy(column).limit(max_results)
+    values = rows.select(column).distinct().orderBy(column)
+    return values if max_results is None else values.limit(max_results)
 
 
 def complete_variable(
@@ -339,23 +445,23 @@ def complete_variable(
     sql: str,
     prefix: str,
     context: Mapping[str, str] | None = None,
-    max_results: int = 100,
+    max_results: int | None = None,
 ) -> DataFrame:
     """Completions from a statement of one's own over ``:prefix`` and ``:ctx_<key>``.
 
-    The result is its first column, text only, from at most ``max_results`` rows.
+    The result is its first column, text only; ``max_results`` caps the rows read.
     """
     if ":prefix" not in sql:
         raise ValueError("a completion query must reference `:prefix`")
     args = {f"ctx_{k}": v for k, v in context_variables(context or {}).items()}
     rows = run_query(spark, QuerySpec(name="completion", sql=sql), {**args, "prefix": prefix})
     first, kind = rows.dtypes[0]
-    values = rows.limit(max_results).select(F.col(f"`{first}`"))
+    values = (rows if max_results is None else rows.limit(max_results)).select(F.col(f"`{first}`"))
     return values.where(F.col(f"`{first}`").isNotNull()) if kind == "string" else values.limit(0)
 
 
 def complete_prefixes(
-    df: DataFrame, column: str, prefixes: DataFrame, prefix: str = "prefix", max_results: int = 100
+    df: DataFrame, column: str, prefixes: DataFrame, prefix: str = "prefix", max_results: int | None = None
 ) -> DataFrame:
     """``complete_prefix`` for a whole table of prefixes: ``(prefix, value)`` rows.
 
@@ -372,10 +478,8 @@ def complete_prefixes(
             F.filter(F.lit(lengths or [0]), lambda n: n <= F.length("value"))
         ).alias("n"),
     ).select("value", F.substring(F.col("value"), F.lit(1), F.col("n")).alias("prefix"))
+    found = candidates.join(wanted, "prefix").select("prefix", "value")
+    if max_results is None:
+        return found
     rank = F.row_number().over(W.partitionBy("prefix").orderBy("value"))
-    return (
-        candidates.join(wanted, "prefix")
-        .withColumn("__rank", rank)
-        .where(F.col("__rank") <= max_results)
-        .select("prefix", "value")
-    )
+    return found.withColumn("__rank", rank).where(F.col("__rank") <= max_results).drop("__rank")

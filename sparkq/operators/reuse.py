@@ -24,10 +24,15 @@ def fresh_results(
     ttl_seconds: int = DEFAULT_TTL_SECONDS,
     computed_at: str = "computed_at",
 ) -> DataFrame:
-    """Stored results that have not expired; a TTL of 0 never expires."""
+    """Stored results that have not expired; a TTL of 0 never expires.
+
+    A result computed after ``now`` is not there yet.
+    """
+    at = F.lit(now).cast("timestamp")
+    results = results.where(F.col(computed_at).cast("timestamp") <= at)
     if ttl_seconds == 0:
         return results
-    age = F.lit(now).cast("timestamp") - F.col(computed_at).cast("timestamp")
+    age = at - F.col(computed_at).cast("timestamp")
     return results.where(age <= F.make_dt_interval(secs=F.lit(ttl_seconds)))
 
 

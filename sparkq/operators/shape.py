@@ -31,12 +31,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     )
 
 
-def many(df: DataFrame, max_rows: int = 1000, order: Sequence[str] | None = None) -> DataFrame:
-    """At most ``max_rows`` rows: the response cap of a query spec."""
-    return (df.orderBy(*order) if order else df).limit(max_rows)
+def many(df: DataFrame, max_rows: int | None = None, order: Sequence[str] | None = None) -> DataFrame:
+    """All rows, or at most ``max_rows``: the response cap of a query spec.
+
+    Whether the cap cut something is for ``is_truncated`` or ``execute`` to say.
+    """
+    rows = df.orderBy(*order) if order else df
+    return rows if max_rows is None else rows.limit(max_rows)
 
 
-def is_truncated(df: DataFrame, max_rows: int = 1000) -> bool:
+def is_truncated(df: DataFrame, max_rows: int) -> bool:
     """Whether a cap of ``max_rows`` drops rows; looks at one row past the cap."""
     return df.limit(max_rows + 1).count() > max_rows
 
@@ -129,7 +133,7 @@ def _first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def result_sets(
-    sets: Sequence[tuple[DataFrame, Sequence[str]]], max_rows: int = 1000
+    sets: Sequence[tuple[DataFrame, Sequence[str]]], max_rows: int
 ) -> ResultSets:
     """Share ``max_rows`` over ``(rows, unique order)`` pairs in the given order.
 

@@ -89,14 +89,15 @@ def prepare_retries(
 def _instants(
     calls: DataFrame, labels: Sequence[str], start: str, duration: str
 ) -> DataFrame:
-    """Net change of running calls per label and instant."""
+    """Net change of running calls per label and instant.
+
+    A call without a duration is still running and has no end; one without a start
+    has no instant at all.
+    """
     start_us = F.unix_micros(F.col(start).cast("timestamp"))
-    change = F.inline(
-        F.array(
-            F.struct(start_us.alias("us"), F.lit(1).alias("delta")),
-            F.struct((start_us + F.col(duration) * 1000).alias("us"), F.lit(-1).alias("delta")),
-        )
-    )
+    ends = F.struct((start_us + F.col(duration) * 1000).alias("us"), F.lit(-1).alias("delta"))
+    begins = F.struct(start_us.alias("us"), F.lit(1).alias("delta"))
+    change = F.inline(F.filter(F.array(begins, ends), lambda e: e["us"].isNotNull()))
     return (
         calls.select(*labels, change)
         .groupBy(*labels, "us")
@@ -154,11 +155,14 @@ def concurrency(
 def running_at(
     calls: DataFrame, at: Column, start: str = "started_at", duration: str = "duration_ms"
 ) -> DataFrame:
-    """Calls in flight at one instant with their age; the start bound is pushed down."""
+    """Calls in flight at one instant with their age; the start bound is pushed down.
+
+    A call without a duration has not ended.
+    """
     begun = F.col(start).cast("timestamp")
     age_us = F.unix_micros(at.cast("timestamp")) - F.unix_micros(begun)
     return calls.where(begun <= at.cast("timestamp")).where(
-        age_us < F.col(duration) * 1000
+        F.col(duration).isNull() | (age_us < F.col(duration) * 1000)
     ).withColumn("age_ms", div(age_us, 1000))
 
 

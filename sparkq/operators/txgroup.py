@@ -1,22 +1,18 @@
-"""Several writes to several tables that become visible together or not at all.
+"""Ordered steps over several tables that count together or not at all.
 
-A table is a list of parquet folders named by a manifest. Steps add folders
-(insert) or replace the folders that hold affected rows (update, delete) in the
-transaction's own view. Commit publishes one new manifest file; readers follow
-the newest manifest, so they see all steps or none. One writer at a time: a
-second writer that publishes the same version fails and its work is discarded.
+A group takes tables as DataFrames and never changes them: a write step makes a new
+DataFrame of its table, later steps see it, and ``commit`` hands the final DataFrames
+to the caller, who stores them with whatever table format is in use. A group that
+fails or is left has nothing to undo.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sparkq.functions.common import require_column_name
 from sparkq.functions.text import check_statement
@@ -54,101 +50,13 @@ class Step:
     row_mode: str = "affected_rows"
 
 
-class Store:
-    """Tables below one root folder, resolved through the newest manifest."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self._jvm = spark.sparkContext._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _path(self, text: str):
-        return self._jvm.org.apache.hadoop.fs.Path(text)
-
-    def _fs(self):
-        return self._path(self.root).getFileSystem(self._conf)
-
-    def version(self) -> int:
-        """Number of the newest manifest; 0 before the first commit."""
-        folder = self._path(f"{self.root}/_manifests")
-        if not self._fs().exists(folder):
-            return 0
-        names = [s.getPath().getName() for s in self._fs().listStatus(folder)]
-        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[0] != "."), default=0)
-
-    def tables(self, version: int | None = None) -> dict[str, dict]:
-        """``name -> {"schema": ..., "folders": [...]}`` of a version."""
-        version = self.version() if version is None else version
-        if version == 0:
-            return {}
-        text = self._read(f"{self.root}/_manifests/{version:020d}.json")
-        return json.loads(text)["tables"]
-
-    def _read(self, path: str) -> str:
-        stream = self._fs().open(self._path(path))
-        try:
-            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
-        finally:
-            stream.close()
-
-    def publish(self, version: int, tables: dict[str, dict]) -> None:
-        """Make ``version`` visible; fails when it exists already."""
-        folder = f"{self.root}/_manifests"
-        self._fs().mkdirs(self._path(folder))
-        draft = self._path(f"{folder}/.{uuid.uuid4().hex}")
-        out = self._fs().create(draft, False)
-        out.write(bytearray(json.dumps({"tables": tables}).encode()))
-        out.close()
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            draft.getFileSystem(self._conf).getUri(), self._conf
-        )
-        options = self.spark.sparkContext._gateway.new_array(
-            self._jvm.org.apache.hadoop.fs.Options.Rename, 0
-        )
-        # A rename that does not overwrite decides who wins.
-        context.rename(draft, self._path(f"{folder}/{version:020d}.json"), options)
-
-    def read(self, table: str, tables: dict[str, dict] | None = None) -> DataFrame:
-        """The rows of a table as the newest manifest (or ``tables``) has them."""
-        entry = (self.tables() if tables is None else tables)[table]
-        if not entry["folders"]:
-            return self.spark.createDataFrame([], entry["schema"])
-        paths = [f"{self.root}/{f}" for f in entry["folders"]]
-        return self.spark.read.schema(entry["schema"]).parquet(*paths)
-
-    def create(self, table: str, df: DataFrame) -> None:
-        """Add a table with the rows of ``df`` in a commit of its own."""
-        with self.begin() as tx:
-            tx.create(table, df)
-            tx.commit()
-
-    def begin(self) -> Transaction:
-        return Transaction(self)
-
-    def vacuum(self) -> int:
-        """Delete data folders that the newest manifest does not name.
-
-        Run it when no reader uses an older version. Returns the folders removed.
-        """
-        used = {f for t in self.tables().values() for f in t["folders"]}
-        removed = 0
-        for table in self.tables():
-            folder = self._path(f"{self.root}/{table}")
-            for status in self._fs().listStatus(folder):
-                name = f"{table}/{status.getPath().getName()}"
-                if name not in used:
-                    removed += bool(self._fs().delete(status.getPath(), True))
-        return removed
-
-
 class Transaction:
-    """Staged steps over a store; leaving the block without commit discards them."""
+    """Steps over tables; leaving the block without commit discards them."""
 
-    def __init__(self, store: Store):
-        self.store = store
-        self._base = store.version()
-        self._tables = store.tables(self._base)
-        self._written: list[str] = []
+    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame]):
+        self.spark = spark
+        self._tables = {require_column_name(name): df for name, df in tables.items()}
+        self._written: set[str] = set()
         self._closed = False
 
     def __enter__(self) -> Transaction:
@@ -166,120 +74,71 @@ class Transaction:
         if self._closed:
             raise TransactionClosed("the transaction is closed")
 
-    def commit(self) -> None:
-        """Publish everything staged."""
+    def commit(self) -> dict[str, DataFrame]:
+        """The tables that steps wrote, as they are after the last step."""
         self._check_open()
-        try:
-            self.store.publish(self._base + 1, self._tables)
-        except BaseException:
-            self.rollback()
-            raise
         self._closed = True
+        return {name: self._tables[name] for name in sorted(self._written)}
 
     def rollback(self) -> None:
-        """Discard everything staged."""
+        """Discard the steps."""
         self._check_open()
         self._closed = True
-        fs = self.store._fs()
-        for folder in self._written:
-            fs.delete(self.store._path(f"{self.store.root}/{folder}"), True)
 
     def read(self, table: str) -> DataFrame:
         """A table with the writes of earlier steps."""
         self._check_open()
-        return self.store.read(table, self._tables)
-
-    def _write(self, table: str, df: DataFrame, schema: str | None = None) -> tuple[str, int]:
-        folder = f"{table}/{uuid.uuid4().hex}"
-        self._written.append(folder)
-        path = f"{self.store.root}/{folder}"
-        df.write.parquet(path)
-        # Counted from the written footers: a retried task cannot count twice.
-        reader = self.store.spark.read.schema(schema or df.schema)
-        return folder, reader.parquet(path).count()
-
-    def create(self, table: str, df: DataFrame) -> int:
-        """Stage a new table."""
-        self._check_open()
-        if table in self._tables:
-            raise ValueError(f"table {table!r} exists")
-        folder, n = self._write(require_column_name(table), df)
-        self._set(table, df.schema.toDDL(), [folder])
-        return n
+        return self._tables[table]
 
-    def _set(self, table: str, schema: str, folders: list[str]) -> None:
-        # A new dict: the base manifest stays as it was read.
-        self._tables = {**self._tables, table: {"schema": schema, "folders": folders}}
+    def _put(self, table: str, df: DataFrame) -> None:
+        self._tables[table] = df
+        self._written.add(table)
 
     def insert(self, table: str, rows: DataFrame) -> int:
-        """Append rows; existing folders stay as they are."""
-        self._check_open()
-        entry = self._tables[table]
-        shaped = self.read(table).limit(0).unionByName(rows)
-        folder, n = self._write(table, shaped, entry["schema"])
-        self._set(table, entry["schema"], [*entry["folders"], folder])
+        """Append rows, matched by name; returns how many."""
+        old = self.read(table)
+        shaped = old.limit(0).unionByName(rows)
+        n = shaped.count()
+        self._put(table, old.unionByName(shaped))
         return n
 
-    def _rewrite(self, table: str, where: str, args: Mapping[str, Any], replace) -> int:
-        """Replace the folders that hold rows matching ``where``."""
-        self._check_open()
-        entry = self._tables[table]
-        if not entry["folders"]:
-            return 0
-        rows = self.read(table).withColumn("__file", F.col("_metadata.file_path"))
-        folder_of = "regexp_extract(__file, '([^/]+/[^/]+)/[^/]+$', 1)"
-        matched = self.store.spark.sql(
-            f"SELECT {folder_of} AS folder, count(*) AS n FROM {{t}} WHERE {where} GROUP BY 1",
-            args=dict(args),
-            t=rows,
-        )
-        # One row per folder with a match.
-        counts = {r["folder"]: r["n"] for r in matched.collect()}
-        if counts:
-            touched = {**entry, "folders": [f for f in entry["folders"] if f in counts]}
-            rewritten = replace(self.store.read(table, {table: touched}))
-            folder, _ = self._write(table, rewritten, entry["schema"])
-            kept = [f for f in entry["folders"] if f not in counts]
-            self._set(table, entry["schema"], [*kept, folder])
-        return sum(counts.values())
+    def _matching(self, table: str, where: str, args: Mapping[str, Any]) -> int:
+        sql = f"SELECT count(*) AS n FROM {{t}} WHERE {where}"
+        return self.spark.sql(sql, args=dict(args), t=self.read(table)).first()["n"]
 
     def update(
         self, table: str, assign: Mapping[str, str], where: str = "true", args: Mapping[str, Any] = {}
     ) -> int:
         """Set columns where a condition holds; returns the rows affected."""
-        kinds = {f.name: f.dataType.simpleString() for f in self.read(table).schema}
+        n = self._matching(table, where, args)
         columns = ", ".join(
-            f"CAST(CASE WHEN {where} THEN {assign[c]} ELSE {c} END AS {kind}) AS {c}"
-            if c in assign
-            else c
-            for c, kind in kinds.items()
-        )
-        return self._rewrite(
-            table,
-            where,
-            args,
-            lambda df: self.store.spark.sql(f"SELECT {columns} FROM {{t}}", args=dict(args), t=df),
+            f"CAST(CASE WHEN {where} THEN {assign[f.name]} ELSE {f.name} END"
+            f" AS {f.dataType.simpleString()}) AS {f.name}"
+            if f.name in assign
+            else f.name
+            for f in self.read(table).schema
         )
+        rows = self.spark.sql(f"SELECT {columns} FROM {{t}}", args=dict(args), t=self.read(table))
+        self._put(table, rows)
+        return n
 
     def delete(self, table: str, where: str = "true", args: Mapping[str, Any] = {}) -> int:
         """Remove rows where a condition holds; returns the rows affected."""
-        return self._rewrite(
-            table,
-            where,
-            args,
-            # A null condition is not a match, so the row stays.
-            lambda df: self.store.spark.sql(
-                f"SELECT * FROM {{t}} WHERE NOT coalesce({where}, false)", args=dict(args), t=df
-            ),
-        )
+        n = self._matching(table, where, args)
+        # A null condition is not a match, so the row stays.
+        sql = f"SELECT * FROM {{t}} WHERE NOT coalesce({where}, false)"
+        self._put(table, self.spark.sql(sql, args=dict(args), t=self.read(table)))
+        return n
 
     def query(self, sql: str, args: Mapping[str, Any] = {}) -> DataFrame:
-        """A SELECT over the tables with the writes of earlier steps."""
+        """A SELECT over the tables with the writes of earlier steps; the session's own
+        views are neither replaced nor left behind."""
         self._check_open()
         check_statement(sql)
-        for table in self._tables:
-            self.read(table).createOrReplaceTempView(table)
-        return self.store.spark.sql(sql, args=dict(args))
+        named = ", ".join(f"{name} AS (SELECT * FROM {{{name}}})" for name in self._tables)
+        body = sql.strip().removesuffix(";").replace("{", "{{").replace("}", "}}")
+        text = f"WITH {named} SELECT * FROM ({body})" if named else body
+        return self.spark.sql(text, args=dict(args), **self._tables)
 
     def run(self, step: Step, step_input: Mapping[str, Any]) -> Any:
         """One step, shaped by its row mode."""
@@ -312,20 +171,21 @@ class Transaction:
 
 
 def run_group(
-    store: Store, steps: Sequence[Step], step_input: Mapping[str, Any] | None = None
-) -> dict[str, Any]:
-    """Run all steps and commit, or keep nothing and raise ``StepFailed``.
-
-    Every step binds from the same input and sees the writes before it. A
-    ``many`` result is a DataFrame over the folders the step saw; read it before
-    they are vacuumed.
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    steps: Sequence[Step],
+    step_input: Mapping[str, Any] | None = None,
+) -> tuple[dict[str, Any], dict[str, DataFrame]]:
+    """Run all steps; returns their results by id and the tables they wrote.
+
+    Every step binds from the same input and sees the writes before it. The first
+    step that fails raises ``StepFailed`` with its name, and no table comes out.
     """
     results: dict[str, Any] = {}
-    with store.begin() as tx:
+    with Transaction(spark, tables) as tx:
         for step in steps:
             try:
                 results[step.id] = tx.run(step, step_input or {})
             except Exception as error:
                 raise StepFailed(f"step '{step.id}': {error}") from error
-        tx.commit()
-    return {"steps": results}
+        return results, tx.commit()

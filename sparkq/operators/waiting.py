@@ -56,7 +56,8 @@ def await_match(
 
     Result: the trigger columns plus ``matched_id``, ``matched_at``, ``outcome``
     (``matched`` or ``timeout``) and ``wait_ms``. A check counts from the
-    trigger's own instant up to and including the deadline.
+    trigger's own instant up to and including the deadline. A check without a time
+    matches nothing; a trigger without one times out.
 
     Triggers and matching checks are merged in time order and each trigger takes
     the next check behind it, so the work is linear: no trigger is paired with
@@ -66,6 +67,7 @@ def await_match(
     instead, so a condition that flips back between two ticks is missed.
     """
     check_await(poll_ms, timeout_ms)
+    checks = checks.where(F.col(check_ts).isNotNull())
     if quantise:
         return _await_ticks(
             triggers, checks, key, trigger_id, trigger_ts, check_id, check_ts,

@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkq.plans.staging import stage
 
@@ -26,6 +27,7 @@ HOT_GROUP_ROWS = 20_000_000
 RANGE_ROWS = 5_000_000
 
 _RANGE = "__range"
+_TIE = "__row_hash"
 _POS = "__pos"
 # monotonically_increasing_id keeps the row position in its low 33 bits.
 _POS_MASK = (1 << 33) - 1
@@ -45,6 +47,14 @@ class Running:
     expr: Column
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _by_range(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """Range partitions in key order, more than the session's count if ``rows`` need them.
 
@@ -116,15 +126,20 @@ def scan_in_order(
 ) -> DataFrame:
     """Add the running values ``steps`` per ``group`` in ascending ``order``.
 
-    ``order`` must be unique within a group. Group sizes are counted first (one
-    narrow, map-side combined aggregation).
+    Rows that tie in ``order`` are taken by a hash of the whole row, so the answer
+    does not depend on the way taken; what still ties is equal. The input is run once
+    and written; group sizes are counted on what was written (its group columns only).
+    Between the steps over hot groups the rows are written again, so every step reads
+    the one before it once for its values and once for its carries.
     """
-    group, order = list(group), list(order)
+    group, order, columns = list(group), [*order, _TIE], df.columns
+    told_apart = [F.col(f.name) for f in df.schema if _hashable(f.dataType)]
+    df = stage(df.withColumn(_TIE, F.xxhash64(*told_apart)), "scan")
 
     def plain(rows: DataFrame) -> DataFrame:
         for step in steps:
             rows = rows.withColumn(step.out, _local(step, group, order))
-        return rows
+        return rows.drop(_TIE)
 
     names = [f"__hot_k{i}" for i in range(len(group))]
     hot = (
@@ -142,10 +157,10 @@ def scan_in_order(
     on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(keys[n]) for c, n in zip(group, names)])
     cold = plain(df.join(keys, on, "left_anti"))
     ranged = _by_range(df.join(keys, on, "left_semi"), [*group, *order], hot_total)
-    split = stage(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
+    split = ranged.withColumn(_RANGE, F.spark_partition_id())
     for step in steps:
-        split = _carried(split, group, order, step)
-    return cold.unionByName(split.drop(_RANGE))
+        split = _carried(stage(split, "ranges"), group, order, step)
+    return cold.unionByName(split.drop(_RANGE, _TIE)).select(*columns, *[s.out for s in steps])
 
 
 def row_index(df: DataFrame, keys: Sequence[str], out: str = "row_index") -> DataFrame:

@@ -15,31 +15,27 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-_LOCAL_DIRS: dict[str, str] = {}
 _STAGED: dict[str, list[str]] = {}
 _SCOPE: ContextVar[list[str] | None] = ContextVar("staged_scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Only a local master may go without the setting; it gets a temporary folder.
-    """
+    """The folder that the session names in ``spark.checkpoint.dir``, or its checkpoint
+    folder. Where neither is set, a session without a cluster gets a new folder as its
+    checkpoint folder; a cluster has to name one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     from_context = spark.sparkContext._jsc.sc().getCheckpointDir()
     if from_context.isDefined():
         return from_context.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            "set spark.checkpoint.dir to a folder that all executors can reach"
-        )
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="sparkq-")
-    return _LOCAL_DIRS[app]
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkq-"))
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -60,6 +56,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+POSITION = "__position"
+
+
+def settle(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Run ``df`` once and return its first ``n`` rows (all, if None) as written, with
+    their place in ``POSITION``. What is read off them later is of one snapshot."""
+    rows = df if n is None else df.limit(n)
+    named = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    void = [f.name for f in named.schema if f.dataType.typeName() == "void"]
+    named = named.withColumns({c: F.col(c).cast("string") for c in void})
+    written = stage(named.withColumn(POSITION, F.monotonically_increasing_id()), "page")
+    return written.toDF(*df.columns, POSITION)
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete what this application staged; returns the number of folders.
 

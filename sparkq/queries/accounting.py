@@ -42,18 +42,20 @@ def cost_charges(spark, sf_dir):
 
 @query(
     f"""WITH {CALL_LOG_CTE}
-       SELECT request_id, backend, CASE WHEN k * 0.001 + 0.01 <= 0.1 THEN CAST(k * 0.001 + 0.01 AS DOUBLE) END AS charge,
-              CASE WHEN k * 0.001 + 0.01 > 0.1 THEN 'over_cap' END AS refused_reason
-       FROM call_log WHERE status = 'success' AND backend = 'b2'"""
+       SELECT request_id, backend, CASE WHEN price <= 0.1 THEN round(CAST(price AS DOUBLE), 6) END AS charge,
+              CASE WHEN price > 0.1 THEN 'over_cap' END AS refused_reason
+       FROM (SELECT *, k * 0.001 + 0.01 * CAST(substr(backend, 2) AS INTEGER) AS price
+             FROM call_log WHERE status = 'success')"""
 )
 def cost_expression(spark, sf_dir):
-    """A price computed from the call's own arguments, with a cap per call."""
-    spec = spark.sql(
-        """SELECT 'b2' AS backend, 'per_call' AS unit, CAST(NULL AS STRING) AS amount,
-                  'USD' AS currency, '0.1' AS max_per_call"""
+    """Prices computed from the calls' own arguments, with a cap per call."""
+    expressions = {f"b{i}": f"k * 0.001 + 0.01 * {i}" for i in range(5)}
+    spec = spark.createDataFrame(
+        [(b, "per_call", e, "USD", "0.1") for b, e in expressions.items()],
+        "backend string, unit string, expression string, currency string, max_per_call string",
     )
     calls = call_log(spark, sf_dir).where("status = 'success'")
-    charged = cost.charges(calls, spec, expressions={"b2": "k * 0.001 + 0.01"})
+    charged = cost.charges(calls, spec, expressions=expressions)
     return charged.select(
         "request_id", "backend", F.round("charge", 6).alias("charge"), "refused_reason"
     )

@@ -16,6 +16,7 @@ from sparkq.operators.params import (
     derive_params,
     run_batch,
     run_query,
+    sweep_totals,
 )
 from sparkq.queries.registry import query
 from sparkq.sources.sqltext import spec_from_file
@@ -58,32 +59,45 @@ def param_sweep_price_bands(spark, sf_dir):
         {"lo": "param_id * 10000", "hi": "param_id * 10000 + 25000"},
     )
     orders = read(spark, sf_dir, "orders").select("o_totalprice")
-    return (
-        run_batch(orders, bands, between=("o_totalprice", "lo", "hi"))
-        .groupBy("param_id")
-        .agg(
-            F.count("*").alias("n_orders"),
-            F.sum(F.col("o_totalprice").cast("decimal(15,2)")).cast("double").alias("total"),
-        )
+    found = sweep_totals(
+        orders,
+        bands,
+        between=("o_totalprice", "lo", "hi"),
+        sums={"total": F.col("o_totalprice").cast("decimal(15,2)")},
+        count="n_orders",
     )
+    return found.where("n_orders > 0").select("param_id", "n_orders", F.col("total").cast("double"))
 
 
 @query(
-    """SELECT s.s_suppkey AS param_id, count(*) AS n_customers, max(c_acctbal) AS best
-       FROM supplier s JOIN customer c ON c_nationkey = s_nationkey AND c_acctbal > s_acctbal
+    """SELECT s.s_suppkey AS param_id, count(c_custkey) AS n_customers, max(c_acctbal) AS best
+       FROM supplier s LEFT JOIN customer c ON c_nationkey = s_nationkey AND c_acctbal > s_acctbal
        GROUP BY s.s_suppkey"""
 )
 def param_sweep_equal(spark, sf_dir):
-    """One query per supplier: customers of its nation with a higher balance."""
+    """One query per supplier: customers of its nation with a higher balance.
+
+    The best of them is the best of the nation, if there is any at all.
+    """
     params = read(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("param_id"), "s_nationkey", "s_acctbal"
+        F.col("s_suppkey").alias("param_id"),
+        "s_nationkey",
+        "s_acctbal",
+        F.lit(None).cast("double").alias("no_end"),
     )
     customers = read(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal")
-    matches = run_batch(
-        customers, params, equal={"c_nationkey": "s_nationkey"}, where="c_acctbal > s_acctbal"
+    counted = sweep_totals(
+        customers,
+        params,
+        equal={"c_nationkey": "s_nationkey"},
+        between=("c_acctbal", "s_acctbal", "no_end"),
+        low_open=True,
+        count="n_customers",
     )
-    return matches.groupBy("param_id").agg(
-        F.count("*").alias("n_customers"), F.max("c_acctbal").alias("best")
+    # One row per nation.
+    best = customers.groupBy("c_nationkey").agg(F.max("c_acctbal").alias("most"))
+    return counted.join(best, F.col("c_nationkey") == F.col("s_nationkey"), "left").select(
+        "param_id", "n_customers", F.when(F.col("n_customers") > 0, F.col("most")).alias("best")
     )
 
 
@@ -166,10 +180,32 @@ def param_sweep_many_ranges(spark, sf_dir):
         orders.select(F.col("o_orderkey").alias("param_id"), F.col("o_totalprice").alias("price")),
         {"from_price": "price - 50", "to_price": "from_price + 10 * (1 + param_id % 20)"},
     ).drop("price")
-    matches = run_batch(
-        orders.select("o_totalprice"), ranges, between=("o_totalprice", "from_price", "to_price"), small=False
+    found = sweep_totals(
+        orders.select("o_totalprice"),
+        ranges,
+        between=("o_totalprice", "from_price", "to_price"),
+        count="n_orders",
+    )
+    return found.where("n_orders > 0").select("param_id", "n_orders")
+
+
+@query(
+    """WITH p AS (SELECT event_id AS param_id, ts AS since, ts + INTERVAL 20 MINUTE AS until FROM events
+                  WHERE event_type = 'signup')
+       SELECT param_id, event_id, CAST(value AS DOUBLE) AS value
+       FROM p LEFT JOIN events ON ts >= since AND ts < until AND event_type = 'purchase'"""
+)
+def param_sweep_times(spark, sf_dir):
+    """Purchases in the twenty minutes behind every signup; signups without one stay."""
+    events = read(spark, sf_dir, "events")
+    params = events.where("event_type = 'signup'").select(
+        F.col("event_id").alias("param_id"),
+        F.col("ts").alias("since"),
+        F.expr("ts + INTERVAL 20 MINUTES").alias("until"),
     )
-    return matches.groupBy("param_id").agg(F.count("*").alias("n_orders"))
+    purchases = events.where("event_type = 'purchase'").select("event_id", "ts", "value")
+    found = run_batch(purchases, params, between=("ts", "since", "until"), keep_unmatched=True)
+    return found.select("param_id", "event_id", "value")
 
 
 @query(

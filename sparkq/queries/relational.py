@@ -42,8 +42,8 @@ sql_query(
     "q04_range_join",
     "part",
     """SELECT band, count(*) AS n_parts, CAST(sum(CAST(p_retailprice AS DECIMAL(15,2))) AS DOUBLE) AS total
-       FROM part JOIN (VALUES (1, 0, :cut1), (2, :cut1, :cut2), (3, :cut2, 1000000)) AS b(band, lo, hi)
-         ON p_retailprice >= lo AND p_retailprice < hi
+       FROM part JOIN (VALUES (1, NULL, :cut1), (2, :cut1, :cut2), (3, :cut2, NULL)) AS b(band, lo, hi)
+         ON (lo IS NULL OR p_retailprice >= lo) AND (hi IS NULL OR p_retailprice < hi)
        GROUP BY band""",
     {"cut1": 950, "cut2": 1000},
 )
@@ -130,15 +130,33 @@ sql_query(
 sql_query(
     "q11_recursive_turns",
     "conversations",
-    # Each conversation is walked turn by turn from its first one.
-    """WITH RECURSIVE walk(conv_id, turn, chars) AS (
+    # Each conversation from its first turn on, as far as its turns follow one another:
+    # a running sum walks them all at once.
+    """SELECT conv_id, turn, chars FROM
+         (SELECT conv_id, turn, sum(CAST(length(text) AS BIGINT)) OVER w AS chars,
+                 row_number() OVER w - 1 AS place
+          FROM conversations WHERE turn >= 0 WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) AS t
+       WHERE turn = place""",
+    oracle="""WITH RECURSIVE walk(conv_id, turn, chars) AS (
          SELECT conv_id, turn, CAST(length(text) AS BIGINT) FROM conversations WHERE turn = 0
          UNION ALL
          SELECT c.conv_id, c.turn, walk.chars + CAST(length(c.text) AS BIGINT)
-         FROM walk JOIN conversations c ON c.conv_id = walk.conv_id AND c.turn = walk.turn + 1
-         WHERE walk.turn < :m)
+         FROM walk JOIN conversations c ON c.conv_id = walk.conv_id AND c.turn = walk.turn + 1)
        SELECT conv_id, turn, chars FROM walk""",
-    {"m": 50},
+)
+sql_query(
+    "q11_recursive_regions",
+    "region nation customer",
+    # The recursion runs over the hierarchy (a few rows); customers join its result.
+    """WITH RECURSIVE edges AS (
+         SELECT concat('r', r_regionkey) AS node, CAST(NULL AS STRING) AS parent FROM region
+         UNION ALL SELECT concat('n', n_nationkey), concat('r', n_regionkey) FROM nation),
+       tree(node, root, depth) AS (
+         SELECT node, node, 0 FROM edges WHERE parent IS NULL
+         UNION ALL SELECT e.node, tree.root, tree.depth + 1 FROM tree JOIN edges e ON e.parent = tree.node),
+       held AS (SELECT concat('n', c_nationkey) AS node, count(*) AS n FROM customer GROUP BY c_nationkey)
+       SELECT root, depth, count(*) AS n_nodes, CAST(coalesce(sum(held.n), 0) AS BIGINT) AS n_customers
+       FROM tree LEFT JOIN held ON held.node = tree.node GROUP BY root, depth""",
 )
 sql_query(
     "q12_string_functions",

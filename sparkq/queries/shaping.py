@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from sparkq.operators.execute import execute
 from sparkq.operators.params import QuerySpec, run_query
 from sparkq.operators.shape import (
     first_per_key,
-    many,
     resource_contents,
     result_sets,
     row_count_hint,
@@ -32,10 +32,16 @@ def single_per_user(spark, sf_dir):
     return first_per_key(events, ["user_id"], ["ts", "event_id"])
 
 
-@query("SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 1000")
+@query(
+    """SELECT c_custkey, c_name, (SELECT count(*) > 1000 FROM customer) AS truncated
+       FROM customer ORDER BY c_custkey LIMIT 1000"""
+)
 def many_customers(spark, sf_dir):
-    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return many(customers, order=["c_custkey"])
+    """A response with a cap, and the flag that says whether the cap cut it."""
+    register_views(spark, sf_dir, ["customer"])
+    spec = QuerySpec("customers", "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey", (), max_rows=1000)
+    answer = execute(spark, spec)
+    return answer.rows.withColumn("truncated", F.lit(answer.truncated))
 
 
 @query("SELECT count(*) AS n_open FROM orders WHERE o_orderstatus = 'O'")

@@ -7,14 +7,29 @@ from sparkq.plans.staging import new_path
 from sparkq.queries import changes as batch
 from sparkq.queries.registry import CALL_LOG_CTE, query
 from sparkq.sources.views import CALL_LOG_SQL, read
-from sparkq.streaming.changes import apply_once_stream, change_stream, notifications
+from sparkq.streaming.changes import apply_once_batches, change_stream, notifications
 from sparkq.streaming.waiting import await_stream, failure_streak_stream, rollup_stream
 
 
+BATCHES = 3
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a file stream."""
-    schema = read(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """``events`` as a file stream of several micro-batches in time order.
+
+    The table is cut at quantiles of its time and written one part after the other;
+    the source takes one file at a time, oldest first, so state crosses batches.
+    """
+    events = read(spark, sf_dir, "events")
+    folder = new_path(spark, "event-files")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.select(at.cast("double").alias("at")).approxQuantile(
+        "at", [i / BATCHES for i in range(1, BATCHES)], 0.01
+    )
+    part = sum((F.when(at > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    for i in range(BATCHES):
+        events.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def drain(stream: DataFrame, label: str) -> DataFrame:
@@ -84,17 +99,24 @@ def await_stream_signups(spark, sf_dir):
 
 
 @query(
-    """SELECT DISTINCT CAST(user_id AS VARCHAR) AS idempotency_scope_hash,
-              concat(event_type, ':', regexp_extract(props, '([0-9]+)', 1)) AS idempotency_key FROM events"""
+    """SELECT event_id, idempotency_scope_hash, idempotency_key FROM (
+         SELECT event_id, CAST(user_id AS VARCHAR) AS idempotency_scope_hash,
+                concat(event_type, ':', regexp_extract(props, '([0-9]+)', 1)) AS idempotency_key,
+                row_number() OVER (PARTITION BY user_id, event_type, regexp_extract(props, '([0-9]+)', 1)
+                                   ORDER BY ts, event_id) AS rn FROM events) AS t
+       WHERE rn = 1"""
 )
 def idempotent_events_stream(spark, sf_dir):
+    """The first request of every key, whichever micro-batch it comes in."""
     requests = event_stream(spark, sf_dir).select(
-        F.col("ts").cast("timestamp").alias("ts"),
+        "event_id",
+        "ts",
         F.col("user_id").cast("string").alias("idempotency_scope_hash"),
         F.concat("event_type", F.lit(":"), F.regexp_extract("props", "([0-9]+)", 1)).alias("idempotency_key"),
     )
-    applied = drain(apply_once_stream(requests, "ts", "60 days"), "applied")
-    return applied.select("idempotency_scope_hash", "idempotency_key")
+    out = new_path(spark, "applied")
+    apply_once_batches(requests, ["ts", "event_id"], out, new_path(spark, "work")).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "idempotency_scope_hash", "idempotency_key")
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sparkq.operators.txgroup import Step, Store, run_group
+from sparkq.operators.txgroup import Step, run_group
 from sparkq.plans.staging import new_path
 from sparkq.queries.registry import query
 from sparkq.sources.sinks import append, delete_rows, update_rows
@@ -60,15 +60,10 @@ def append_orders(spark, sf_dir):
 def transaction_group_accounts(spark, sf_dir):
     """Insert, update, delete and count in one group; the rows it leaves."""
     customers, suppliers = read(spark, sf_dir, "customer"), read(spark, sf_dir, "supplier")
-    store = Store(spark, new_path(spark, "store"))
-    store.create(
-        "accounts",
-        customers.select(
-            F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"),
-            F.col("c_nationkey").alias("nation"),
-        ),
+    accounts = customers.select(
+        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"),
+        F.col("c_nationkey").alias("nation"),
     )
-    store.create("suppliers", suppliers)
     steps = [
         Step("raise", "update", "accounts", assign={"balance": "balance + :bonus"}, where="nation = :nation"),
         Step(
@@ -79,5 +74,6 @@ def transaction_group_accounts(spark, sf_dir):
         Step("close", "delete", "accounts", where="balance < :floor"),
         Step("left", "query", sql="SELECT count(*) AS n FROM accounts", row_mode="scalar"),
     ]
-    run_group(store, steps, {"bonus": 100, "nation": 7, "floor": 50})
-    return store.read("accounts").select("id", "balance")
+    tables = {"accounts": accounts, "suppliers": suppliers}
+    _, written = run_group(spark, tables, steps, {"bonus": 100, "nation": 7, "floor": 50})
+    return written["accounts"].select("id", "balance")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass, field
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,7 +59,24 @@ def jdbc_url(driver: str, url: str) -> str:
     scheme, colon, rest = bare.partition(":")
     if not colon or scheme.lower() not in SCHEMES[driver]:
         raise ValueError(f"driver {driver!r} needs a URL scheme of {SCHEMES[driver]}")
-    return f"jdbc:{JDBC_SCHEMES[driver]}:{rest}"
+    if driver == "sqlite":
+        # sqlite://rel.db and sqlite:///abs.db: what follows the slashes is the file.
+        return f"jdbc:sqlite:{rest.removeprefix('//')}"
+    return f"jdbc:{JDBC_SCHEMES[driver]}:{_AUTHORITY.sub('//', rest, count=1)}"
+
+
+_AUTHORITY = re.compile(r"^//([^/?#]*)@")
+
+
+def url_credentials(url: str) -> dict[str, str]:
+    """User and password written in a database URL, percent-decoded; the JDBC driver
+    takes them as options only."""
+    found = _AUTHORITY.match(url.removeprefix("jdbc:").partition(":")[2])
+    if not found:
+        return {}
+    user, colon, password = found.group(1).partition(":")
+    given = {"user": unquote(user)} if user else {}
+    return given | ({"password": unquote(password)} if colon else {})
 
 
 def reader_options(spec: JdbcTable) -> dict[str, str]:
@@ -65,6 +84,8 @@ def reader_options(spec: JdbcTable) -> dict[str, str]:
     if (spec.table is None) == (spec.query is None):
         raise ValueError("give either a table or a query")
     options = {"url": jdbc_url(spec.driver, spec.url), "fetchsize": str(spec.fetch_size)}
+    if spec.driver != "sqlite":
+        options |= url_credentials(spec.url)
     if spec.query is not None:
         check_statement(spec.query)
         text = spec.query.strip().removesuffix(";")

@@ -50,7 +50,7 @@ SELECT * FROM (VALUES
 LOG_LINES_SQL = """
 SELECT doc_id,
        concat(text, ' failed to connect to postgres://u', CAST(doc_id AS STRING),
-              ':pw', CAST(doc_id AS STRING), '@db.internal:5432/d, retrying.') AS line
+              ':pw', CAST(doc_id AS STRING), '@db.example:5432/d, retrying.') AS line
 FROM {documents}
 """
 

@@ -10,9 +10,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkq.operators.changes import parse_notifications
+from sparkq.operators.params import apply_once
 from sparkq.plans.ordered import HOT_GROUP_ROWS, Running, scan_in_order
 from sparkq.streaming.fold import Keep, fold_batches
 
@@ -86,10 +88,47 @@ def apply_once_stream(
     scope: str = "idempotency_scope_hash",
     key: str = "idempotency_key",
 ) -> DataFrame:
-    """The first request of each (scope, key); a repeat within ``delay`` is dropped."""
+    """One request of each (scope, key); a repeat within ``delay`` is dropped.
+
+    Of the requests of one micro-batch any may be the one; ``apply_once_batches``
+    takes the first.
+    """
     return requests.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([scope, key])
 
 
+def apply_once_batches(
+    requests: DataFrame,
+    order: Sequence[str],
+    out: str,
+    work: str,
+    scope: str = "idempotency_scope_hash",
+    key: str = "idempotency_key",
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """The first request in ``order`` of each (scope, key) in the micro-batch it first
+    comes in; later repeats are dropped for good.
+
+    What was written below ``out`` is itself the ledger, so nothing is kept beside it.
+    A micro-batch that is run again overwrites its own folder and does not read it.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        ledger = None
+        if batch_id > 0:
+            stored = T.StructType([*requests.schema.fields, T.StructField("batch_id", T.LongType())])
+            ledger = spark.read.schema(stored).parquet(out).where(F.col("batch_id") < batch_id)
+        first = apply_once(batch, list(order), ledger, scope, key)
+        first.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return (
+        requests.writeStream.foreachBatch(run)
+        .option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def notification_source(
     spark: SparkSession, path: str | None = None, kafka: Mapping[str, str] | None = None
 ) -> DataFrame:

@@ -50,11 +50,13 @@ def poll_samples(
                 F.lit(watch).alias("watch"),
                 F.current_timestamp().alias("poll_ts"),
                 F.lit(None).cast("string").alias("cursor"),
-                F.lit(str(error)[:1000]).alias("error"),
+                F.lit(str(error)).alias("error"),
             )
             failed.write.mode("overwrite").parquet(target)
 
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    # A micro-batch needs a row, so there have to be as many rows as polls.
+    rate = -(-1000 // interval_ms)
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", rate).load()
     return (
         ticks.writeStream.foreachBatch(poll)
         .option("checkpointLocation", f"{work}/checkpoint")

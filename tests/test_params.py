@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from sparkq.operators import params as P
@@ -132,10 +133,8 @@ def brute(data, params, test):
     return sorted((d[0], p[0]) for d in left for p in right if test(d, p))
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_batch_sweep_matches_brute_force(spark, sweep, monkeypatch, small):
+def test_batch_sweep_matches_brute_force(spark, sweep):
     data, params = sweep
-    monkeypatch.setattr(P, "is_small", lambda *_: small)
 
     def pairs(df):
         return sorted(map(tuple, df.select("id", "pid").collect()))
@@ -157,13 +156,65 @@ def test_large_range_sweep_joins_on_bins(spark, sweep):
         params.schema,
     )
     every = params.union(odd)
-    swept = P.run_batch(data, every, between=("v", "lo", "hi"), small=False)
+    swept = P.run_batch(data, every, between=("v", "lo", "hi"))
     got = sorted(map(tuple, swept.select("id", "pid").collect()))
     assert got == brute(data, every, lambda d, p: p[2] is not None and p[2] <= d[2] < p[3])
     assert swept.columns == [*data.columns, *params.columns]
     text = swept._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in text and "Cartesian" not in text
-    assert P.run_batch(data, params.limit(0), between=("v", "lo", "hi"), small=False).count() == 0
+    assert P.run_batch(data, params.limit(0), between=("v", "lo", "hi")).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_sweep_over_times(spark, kind):
+    at = f"CAST(timestamp_ntz'2024-03-10' + make_interval(0, 0, 0, CAST(id % 40 AS INT), 0, 0, id / 1000000) AS {kind})"
+    data = spark.range(120).selectExpr("id", f"{at} AS t")
+    params = spark.range(30).selectExpr(
+        "id AS pid", f"{at} AS lo",
+        f"CAST(CAST({at} AS timestamp_ntz) + make_interval(0, 0, 0, CAST(id % 3 AS INT), 0, 0, id / 1000000)"
+        f" AS {kind}) AS hi",
+    )
+    got = P.run_batch(data, params, between=("t", "lo", "hi")).select("id", "pid").collect()
+    ranges = params.collect()
+    assert sorted(map(tuple, got)) == sorted(
+        (d.id, p.pid) for d in data.collect() for p in ranges if p.lo <= d.t < p.hi
+    )
+
+
+def test_sweep_answers_every_parameter_row(spark, sweep):
+    data, params = sweep
+    odd = spark.createDataFrame([(200, 0, None, None), (201, 0, 9.0, 1.0), (201, 0, 9.0, 1.0)], params.schema)
+    every = params.union(odd)
+    got = P.run_batch(data, every, between=("v", "lo", "hi"), keep_unmatched=True)
+    met = {(d, p) for d, p in brute(data, every, lambda d, p: p[2] is not None and p[2] <= d[2] < p[3])}
+    answered = {r.pid for r in got.collect()}
+    assert answered == {r.pid for r in every.collect()}
+    assert {(r.id, r.pid) for r in got.collect() if r.id is not None} == met
+    assert got.where("id IS NULL AND pid = 201").count() == 1
+
+
+@pytest.mark.parametrize("low_open", [False, True])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_sweep_totals(spark, sweep, monkeypatch, low_open, keyed):
+    data, params = sweep
+    odd = [(50, 1, None, 20.0), (51, 1, 20.0, None), (52, 2, None, None), (53, 2, 9.0, 1.0), (54, 7, 0.0, 99.0)]
+    every = params.union(spark.createDataFrame(odd, params.schema))
+    data = data.union(spark.createDataFrame([(900, 1, None), (901, 1, 20.0), (902, 1, 20.0)], data.schema))
+    monkeypatch.setattr(P, "SWEEP_ROWS", 60)
+    got = P.sweep_totals(
+        data, every, between=("v", "lo", "hi"), equal={"k": "pk"} if keyed else None,
+        sums={"total": F.col("id").cast("long")}, low_open=low_open,
+    )
+
+    def inside(d, p):
+        above = p.lo is None or (d.v > p.lo if low_open else d.v >= p.lo)
+        return above and (p.hi is None or d.v < p.hi) and (not keyed or d.k == p.pk)
+
+    rows = [d for d in data.collect() if d.v is not None]
+    for r in got.collect():
+        ids = [d.id for d in rows if inside(d, r)]
+        assert (r.n, r.total) == (len(ids), sum(ids) if ids else None), r
+    assert got.count() == every.count()
 
 
 def test_undeclared_name_is_not_bound(spark, orders):

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sparkq.operators.shape import many
 from sparkq.plans import ordered, sizing, staging
 from sparkq.plans.ordered import Running, row_index, scan_in_order
 from sparkq.queries import QUERIES
@@ -129,12 +130,35 @@ def test_filters_and_columns_reach_the_scan(plans):
     assert "l_tax" not in scan and "l_orderkey" not in scan
 
 
-def test_top_n_does_not_sort_everything(plans):
-    for name in ("keyset_page_orders", "q08_top_orders", "param_orders_by_segment", "many_customers"):
+def test_top_n_does_not_sort_everything(plans, spark, sf_dir):
+    for name in ("keyset_page_orders", "q08_top_orders", "param_orders_by_segment"):
         assert "TakeOrderedAndProject" in plans[name], name
+    capped = many(read(spark, sf_dir, "customer"), 1000, order=["c_custkey"])
+    assert "TakeOrderedAndProject" in capped._jdf.queryExecution().executedPlan().toString()
 
 
 def test_tables_are_listed(spark, sf_dir):
     for name in TABLES:
         assert read(spark, sf_dir, name).columns
     assert ordered.HOT_GROUP_ROWS > 1_000_000
+
+
+def test_ordered_scans_grow_in_proportion_to_their_steps(spark):
+    df = spark.range(4000).selectExpr("id % 2 AS g", "id", "id % 7 AS v")
+    scans, exchanges = [], []
+    for n in (1, 2, 3, 4):
+        steps = [Running(f"s{i}", "sum", F.col("v" if i == 0 else f"s{i - 1}")) for i in range(n)]
+        out = scan_in_order(df, ["g"], ["id"], steps, hot_rows=100)
+        text = out._jdf.queryExecution().executedPlan().toString()
+        scans.append(text.count("FileScan"))
+        exchanges.append(text.count("Exchange "))
+    assert scans[1] - scans[0] >= scans[3] - scans[2] and scans[3] <= scans[0] + 3 * 2
+    assert exchanges[3] - exchanges[2] <= exchanges[1] - exchanges[0] + 1
+
+
+def test_ordered_scans_agree_on_ties(spark):
+    df = spark.range(3000).selectExpr("id % 2 AS g", "id DIV 50 AS at", "id % 11 AS v")
+    step = [Running("s", "sum", F.col("v")), Running("p", "prev", F.col("v"))]
+    one = scan_in_order(df, ["g"], ["at"], step, hot_rows=10**9)
+    many_ = scan_in_order(df, ["g"], ["at"], step, hot_rows=100)
+    assert one.exceptAll(many_).isEmpty() and many_.exceptAll(one).isEmpty()

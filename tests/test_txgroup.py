@@ -1,39 +1,39 @@
 import pytest
 
-from sparkq.operators.txgroup import Step, StepFailed, Store, TransactionClosed, run_group
+from sparkq.operators.txgroup import Step, StepFailed, Transaction, TransactionClosed, run_group
 
 
 @pytest.fixture
-def store(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "store"))
-    store.create("t", spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, s string"))
-    return store
+def tables(spark):
+    return {"t": spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, s string")}
 
 
-def ns(store):
-    return sorted(r["n"] for r in store.read("t").collect())
+def ns(df):
+    return sorted(r["n"] for r in df.collect())
 
 
-def test_group_commits_as_one(store):
-    before = store.version()
-    got = run_group(
-        store,
+def test_steps_see_the_writes_before_them(spark, tables):
+    got, written = run_group(
+        spark,
+        tables,
         [
             Step("insert", "insert", "t", sql="SELECT :n AS n, 'new' AS s", params=("n",)),
             Step("raise", "update", "t", assign={"n": "n + 10"}, where="s = 'a'"),
             Step("drop", "delete", "t", where="s = :gone"),
             Step("count", "query", sql="SELECT count(*) FROM t", row_mode="scalar"),
-            Step("one", "query", sql="SELECT n, s FROM t WHERE n = :n", row_mode="single"),
+            Step("one", "query", sql="WITH x AS (SELECT * FROM t) SELECT n, s FROM x WHERE n = :n;", row_mode="single"),
             Step("none", "query", sql="SELECT n FROM t WHERE n < 0", row_mode="single"),
             Step("all", "query", sql="SELECT n FROM t", row_mode="many"),
+            Step("brace", "query", sql="SELECT '{n}'", row_mode="scalar"),
         ],
         {"n": 42, "gone": "b"},
-    )["steps"]
+    )
     assert got["insert"] == {"rows_affected": 1}
     assert got["raise"] == {"rows_affected": 1} and got["drop"] == {"rows_affected": 1}
     assert got["count"] == 3 and got["one"] == {"n": 42, "s": "new"} and got["none"] is None
-    assert sorted(r["n"] for r in got["all"].collect()) == [3, 11, 42]
-    assert store.version() == before + 1 and ns(store) == [3, 11, 42]
+    assert ns(got["all"]) == [3, 11, 42] == ns(written["t"]) and got["brace"] == "{n}"
+    assert ns(tables["t"]) == [1, 2, 3]
+    assert not [t for t in spark.catalog.listTables() if t.name == "t"]
 
 
 @pytest.mark.parametrize(
@@ -47,57 +47,31 @@ def test_group_commits_as_one(store):
         Step("boom", "merge", "t"),
     ],
 )
-def test_failure_names_the_step_and_keeps_nothing(store, bad, tmp_path):
-    before, folders = store.version(), sorted(p.name for p in (tmp_path / "store" / "t").iterdir())
+def test_failure_names_the_step(spark, tables, bad):
     with pytest.raises(StepFailed, match="boom"):
-        run_group(store, [Step("first", "insert", "t", sql="SELECT 9 AS n, 'x' AS s"), bad], {})
-    assert store.version() == before and ns(store) == [1, 2, 3]
-    assert sorted(p.name for p in (tmp_path / "store" / "t").iterdir()) == folders
+        run_group(spark, tables, [Step("first", "insert", "t", sql="SELECT 9 AS n, 'x' AS s"), bad], {})
+    assert ns(tables["t"]) == [1, 2, 3]
 
 
-def test_null_condition_is_not_a_match(store):
-    with store.begin() as tx:
+def test_null_condition_is_not_a_match(spark, tables):
+    with Transaction(spark, tables) as tx:
         assert tx.update("t", {"n": "0"}, "s <> 'a'") == 1
         assert tx.delete("t", "s <> 'zzz'") == 2
-        tx.commit()
-    assert ns(store) == [3]
+        assert ns(tx.commit()["t"]) == [3]
 
 
-def test_insert_leaves_existing_folders(store):
-    first = store.tables()["t"]["folders"]
-    run_group(store, [Step("i", "insert", "t", sql="SELECT 7 AS n, 'x' AS s")])
-    both = store.tables()["t"]["folders"]
-    assert both[:1] == first and len(both) == 2
-    # A write that touches only the new rows rewrites only their folder.
-    run_group(store, [Step("u", "update", "t", assign={"n": "8"}, where="n = 7")])
-    assert store.tables()["t"]["folders"][:1] == first and ns(store) == [1, 2, 3, 8]
-
-
-def test_closed_and_left_transactions(store):
-    tx = store.begin()
+def test_closed_and_left_transactions(spark, tables):
+    tx = Transaction(spark, tables)
     tx.delete("t")
-    tx.commit()
-    assert tx.is_closed and ns(store) == []
+    assert ns(tx.commit()["t"]) == [] and tx.is_closed
     for call in (tx.commit, tx.rollback, lambda: tx.read("t")):
         with pytest.raises(TransactionClosed):
             call()
-    with store.begin() as left:
-        left.insert("t", store.spark.sql("SELECT 1 AS n, 'x' AS s"))
-    assert left.is_closed and ns(store) == []
-
-
-def test_second_writer_of_a_version_loses(store):
-    a, b = store.begin(), store.begin()
-    a.insert("t", store.spark.sql("SELECT 100 AS n, 'a' AS s"))
-    b.insert("t", store.spark.sql("SELECT 200 AS n, 'b' AS s"))
-    a.commit()
-    with pytest.raises(Exception):
-        b.commit()
-    assert b.is_closed and ns(store) == [1, 2, 3, 100]
+    with Transaction(spark, tables) as left:
+        left.insert("t", spark.sql("SELECT 1 AS n, 'x' AS s"))
+    assert left.is_closed and ns(tables["t"]) == [1, 2, 3]
 
 
-def test_older_versions_stay_readable_until_vacuum(store):
-    old = store.tables()
-    run_group(store, [Step("d", "delete", "t", where="n = 1")])
-    assert store.read("t", old).count() == 3
-    assert store.vacuum() == 1 and ns(store) == [2, 3]
+def test_only_written_tables_come_out(spark, tables):
+    _, written = run_group(spark, {**tables, "other": tables["t"]}, [Step("d", "delete", "t", where="n = 1")])
+    assert set(written) == {"t"} and ns(written["t"]) == [2, 3]
