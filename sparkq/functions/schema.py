@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -173,3 +174,31 @@ def schema_table(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def schema_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """``(table_name, param, type, fragment)``: one row per column of every table.
+
+    ``type`` is the database type name, ``fragment`` the JSON Schema text; it allows
+    null where the data hold a null, or no row at all.
+    """
+    parts = []
+    for name, df in tables.items():
+        fragments = [fragment_for_name(type_name(f.dataType)) for f in df.schema]
+
+        def texts(known_nullable: bool, fragments=fragments):
+            return F.array(*[F.lit(json.dumps(nullable(f, known_nullable))) for f in fragments])
+
+        holds_null = (F.col("n_null") > 0) | (F.col("n_rows") == 0)
+        text = F.when(holds_null, F.get(texts(True), F.col("position"))).otherwise(
+            F.get(texts(False), F.col("position"))
+        )
+        parts.append(
+            null_profile(df).select(
+                F.lit(name).alias("table_name"),
+                F.col("column").alias("param"),
+                F.col("type_name").alias("type"),
+                text.alias("fragment"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)

@@ -76,6 +76,38 @@ def version_stamps(
     return rows.drop("__prev")
 
 
+def versions_at(
+    requests: DataFrame,
+    stamps: DataFrame,
+    watch: str,
+    at: str,
+    stamped_at: str,
+    version: str = "version",
+    out: str = "version",
+    hot_rows: int = HOT_GROUP_ROWS,
+) -> DataFrame:
+    """Every request with the version its watch had then: that of the latest stamp at or
+    before ``at``, 0 before the first one. One ordered pass over both."""
+    row = F.struct(*[F.col(c) for c in requests.columns])
+    kind = requests.select(row.alias("r")).schema["r"].dataType
+    seen = stamps.select(
+        F.col(watch).alias("__w"), F.col(stamped_at).alias("__at"), F.lit(0).alias("__kind"),
+        F.col(version).cast("bigint").alias("__v"), F.lit(None).cast(kind).alias("__r"),
+    ).where("__at IS NOT NULL")
+    asked = requests.select(
+        F.col(watch).alias("__w"), F.col(at).alias("__at"), F.lit(1).alias("__kind"),
+        F.lit(None).cast("bigint").alias("__v"), row.alias("__r"),
+    )
+    # Versions only rise, so the latest is the largest so far.
+    scanned = scan_in_order(
+        seen.unionByName(asked), ["__w"], ["__at", "__kind"], [Running("__now", "max", F.col("__v"))], hot_rows
+    ).where("__kind = 1")
+    return scanned.select(
+        *[F.col("__r")[c].alias(c) for c in requests.columns],
+        F.coalesce("__now", F.lit(0).cast("bigint")).alias(out),
+    )
+
+
 def _text_member(parsed: Column, name: str) -> Column:
     is_text = F.schema_of_variant(parsed[name]) == "STRING"
     return F.when(is_text, F.try_variant_get(parsed[name], "$", "string"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkq.plans.staging import stage
+
 DEFAULT_TTL_SECONDS = 60
 CACHEABLE_MODES = ("single", "many", "scalar", "resource_contents")
 
@@ -55,6 +57,42 @@ def missing_requests(
     return wanted.join(have, _same(fingerprint, "__have"), "left_anti")
 
 
+def answer_requests(
+    requests: DataFrame,
+    fresh: DataFrame,
+    compute: Callable[[DataFrame], DataFrame],
+    fingerprint: str = "fingerprint",
+    body: str = "body",
+) -> tuple[DataFrame, DataFrame]:
+    """Every request with the body that answers it and ``outcome`` (hit or miss), and the
+    new results to append to the store.
+
+    ``fresh`` has one body per fingerprint. ``compute`` gets one row of every request
+    that it does not answer and returns (fingerprint, body); it runs once, as its result
+    is written. Requests of one fingerprint share its body.
+    """
+    kept = F.struct(*[F.col(c) for c in requests.columns])
+    one_each = (
+        requests.groupBy(F.col(fingerprint).alias("__print"))
+        .agg(F.min(kept).alias("__row"))
+        .join(fresh.select(F.col(fingerprint).alias("__have")), _same("__print", "__have"), "left_anti")
+        .select("__row.*")
+    )
+    new = stage(compute(one_each).select(fingerprint, body), "results")
+    known = fresh.select(fingerprint, body, F.lit("hit").alias("__o")).unionByName(
+        new.withColumn("__o", F.lit("miss"))
+    )
+    # Staged, so that Spark may split a fingerprint that very many requests share.
+    known = stage(known, "known").select(
+        F.col(fingerprint).alias("__print"), F.col(body).alias("__body"), "__o"
+    )
+    names = [c for c in requests.columns if c not in (body, "outcome")]
+    answered = requests.join(known, _same(fingerprint, "__print"), "left").select(
+        *names, F.col("__body").alias(body), F.col("__o").alias("outcome")
+    )
+    return answered, new
+
+
 def reuse_outcomes(
     requests: DataFrame,
     fresh: DataFrame,

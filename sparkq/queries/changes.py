@@ -98,13 +98,22 @@ def _framed(expr: str) -> str:
 _PARAMS = f"""concat({_framed("'k'")}, {_framed("CAST(k % 10 AS VARCHAR)")},
                      {_framed("'kind'")}, {_framed("concat('" + '"' + "', status, '" + '"' + "')")})"""
 _VARS = f"""concat({_framed("'driver'")}, {_framed("driver")})"""
-_FINGERPRINT = f"""sha256(concat('sql', {_framed("backend")}, {_framed("'SELECT 1'")},
-  {_framed(_PARAMS)}, {_framed(_VARS)}, {_framed("CAST(k % 2 AS VARCHAR)")}))"""
+
+
+def _fingerprint(version):
+    return f"""sha256(concat('sql', {_framed("backend")}, {_framed("'SELECT 1'")},
+  {_framed(_PARAMS)}, {_framed(_VARS)}, {_framed(f"CAST({version} AS VARCHAR)")}))"""
+
+
+_FINGERPRINT = _fingerprint("k % 2")
 
 
 def fingerprinted(spark, sf_dir):
     """Calls with the fingerprint of an imagined request behind each."""
-    calls = call_log(spark, sf_dir)
+    return with_fingerprint(call_log(spark, sf_dir), (F.col("k") % 2).cast("bigint"))
+
+
+def with_fingerprint(calls, version):
     params = F.array(
         F.struct(
             F.lit("k").alias("name"), (F.col("k") % 10).cast("string").alias("value")
@@ -120,7 +129,7 @@ def fingerprinted(spark, sf_dir):
             F.lit("SELECT 1"),
             params,
             F.create_map(F.lit("driver"), F.col("driver")),
-            (F.col("k") % 2).cast("bigint"),
+            version,
         ),
     )
 
@@ -177,6 +186,58 @@ def reuse_outcomes(spark, sf_dir):
     return reuse.reuse_outcomes(wanted, _stored(calls))
 
 
+# Each backend has a watch whose cursor changes with the week.
+_VERSIONED = f"""{CALL_LOG_CTE}, weeks AS (
+    SELECT *, dense_rank() OVER (PARTITION BY backend ORDER BY date_trunc('week', started_at)) - 1 AS version
+    FROM call_log)"""
+
+
+def versioned(spark, sf_dir):
+    """Calls with the version their backend's watch had when they came in."""
+    calls = call_log(spark, sf_dir)
+    polls = calls.select(
+        F.col("backend").alias("watch"), "started_at", "request_id",
+        F.date_trunc("week", "started_at").cast("date").cast("string").alias("cursor"),
+    )
+    stamps = changes.version_stamps(polls, "watch", ["started_at", "request_id"], "cursor")
+    stamps = stamps.select(F.col("watch").alias("backend"), "started_at", "version")
+    return changes.versions_at(calls, stamps, "backend", "started_at", "started_at")
+
+
+@query(f"WITH {_VERSIONED} SELECT request_id, backend, CAST(version AS BIGINT) AS version FROM weeks")
+def request_versions(spark, sf_dir):
+    return versioned(spark, sf_dir).select("request_id", "backend", "version")
+
+
+def _body():
+    return F.concat_ws("/", "backend", (F.col("k") % 10).cast("string"), F.col("version").cast("string"))
+
+
+@query(
+    f"""WITH {_VERSIONED}, printed AS (SELECT *, {_fingerprint("version")} AS fingerprint FROM weeks),
+       fresh AS (SELECT DISTINCT fingerprint FROM printed
+                 WHERE started_at >= TIMESTAMP '2024-01-10' - INTERVAL 1 DAY
+                   AND started_at < TIMESTAMP '2024-01-10' AND status = 'success')
+       SELECT request_id, concat(backend, '/', k % 10, '/', version) AS body,
+              CASE WHEN fresh.fingerprint IS NULL THEN 'miss' ELSE 'hit' END AS outcome
+       FROM printed LEFT JOIN fresh ON fresh.fingerprint = printed.fingerprint
+       WHERE started_at >= TIMESTAMP '2024-01-10'"""
+)
+def answered_requests(spark, sf_dir):
+    """Stored bodies for the requests they still answer, computed ones for the rest."""
+    calls = with_fingerprint(versioned(spark, sf_dir), F.col("version"))
+    now = datetime(2024, 1, 10, tzinfo=timezone.utc)
+    done = calls.where("status = 'success'").select(
+        "fingerprint", _body().alias("body"), F.col("started_at").alias("computed_at")
+    )
+    fresh = reuse.fresh_results(done, now, ttl_seconds=86_400).select("fingerprint", "body").distinct()
+    wanted = calls.where(F.col("started_at") >= F.lit("2024-01-10").cast("timestamp_ntz"))
+    answered, _ = reuse.answer_requests(
+        wanted, fresh, lambda missing: missing.select("fingerprint", _body().alias("body"))
+    )
+    return answered.select("request_id", "body", "outcome")
+
+
 DAY_MS = 86_400_000
 WAITS_CTE = """triggers AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'signup'),
   checks AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),

@@ -12,7 +12,7 @@ from sparkq.functions.encode import (
     zoned_timestamp_text,
 )
 from sparkq.functions.intervals import interval_iso8601
-from sparkq.functions.schema import schema_table
+from sparkq.functions.schema import schema_rows, schema_table
 from sparkq.queries.registry import query
 from sparkq.sources.views import read
 
@@ -154,3 +154,76 @@ def _profile_oracle(table: str, columns: list[tuple[str, str]]) -> str:
 )
 def null_profile_schema(spark, sf_dir):
     return schema_table({t: read(spark, sf_dir, t) for t in ("customer", "events", "labels")})
+
+
+def _fragment_oracle(table, columns):
+    return " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '{c}' AS param, '{t}' AS type,
+                   CASE WHEN count(*) > 0 AND count(*) = count({c}) THEN '{plain}' ELSE '{open_}' END AS fragment
+            FROM {table}"""
+        for c, t, plain, open_ in columns
+    )
+
+
+_WHOLE = ('{"type": "integer"}', '{"type": ["integer", "null"]}')
+_TEXT = ('{"type": "string"}', '{"type": ["string", "null"]}')
+_REAL = ('{"type": "number"}', '{"type": ["number", "null"]}')
+_TIME = (
+    '{"type": "string", "format": "date-time"}',
+    '{"type": ["string", "null"], "format": "date-time"}',
+)
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _fragment_oracle(
+                "orders",
+                [("o_orderkey", "int8", *_WHOLE), ("o_custkey", "int8", *_WHOLE), ("o_orderstatus", "text", *_TEXT),
+                 ("o_totalprice", "float8", *_REAL), ("o_orderdate", "timestamp", *_TIME),
+                 ("o_orderpriority", "text", *_TEXT)],
+            ),
+            _fragment_oracle("pages", [("page_id", "int8", *_WHOLE), ("url", "text", *_TEXT), ("html", "text", *_TEXT)]),
+            _fragment_oracle("labels", [("doc_id", "int8", *_WHOLE), ("quality", "int4", *_WHOLE), ("toxic", "int4", *_WHOLE)]),
+        ]
+    )
+)
+def schema_fragments(spark, sf_dir):
+    """Input schemas as rows, with nullability measured over the data."""
+    return schema_rows({t: read(spark, sf_dir, t) for t in ("orders", "pages", "labels")})
+
+
+PROFILED = """SELECT event_id, ts, event_type = 'click' AS clicked, floor(value) / 4.0 AS quarter,
+                     CAST(floor(value) AS DECIMAL(12,2)) AS price FROM {events}"""
+
+
+def _profiled(spark, sf_dir, profile):
+    rows = spark.sql(PROFILED, events=read(spark, sf_dir, "events")).select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "clicked",
+        F.col("quarter").cast("double").alias("quarter"), "price",
+    )
+    return row_to_json(rows, profile, keep=["event_id"])
+
+
+@query(
+    f"""WITH v AS ({PROFILED.format(events="events")})
+       SELECT event_id, concat('{{"event_id":', event_id, ',"ts":"', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'),
+              '","clicked":', CAST(clicked AS VARCHAR), ',"quarter":', CAST(CAST(quarter AS DOUBLE) AS VARCHAR),
+              ',"price":"', CAST(price AS VARCHAR), '"}}') AS row FROM v"""
+)
+def row_json_mysql(spark, sf_dir):
+    """The profile whose timestamps have no zone."""
+    return _profiled(spark, sf_dir, "mysql")
+
+
+@query(
+    f"""WITH v AS ({PROFILED.format(events="events")})
+       SELECT event_id, concat('{{"event_id":', event_id, ',"clicked":', CAST(clicked AS INTEGER),
+              ',"quarter":', CAST(CAST(quarter AS DOUBLE) AS VARCHAR),
+              ',"price":', CAST(CAST(price AS DOUBLE) AS VARCHAR), '}}') AS row FROM v"""
+)
+def row_json_sqlite(spark, sf_dir):
+    """The profile without booleans and exact decimals."""
+    events = spark.sql(PROFILED, events=read(spark, sf_dir, "events")).drop("ts")
+    rows = events.withColumn("quarter", F.col("quarter").cast("double"))
+    return row_to_json(rows, "sqlite", keep=["event_id"])
