@@ -108,6 +108,57 @@ def await_match(
     return _outcome(merged, triggers.columns, matched, wait_us, timeout_ms)
 
 
+def await_condition(
+    triggers: DataFrame,
+    checks: DataFrame,
+    key: Sequence[str],
+    trigger_id: str,
+    trigger_ts: str,
+    check_id: str,
+    check_ts: str,
+    condition: str,
+    timeout_ms: int = DEFAULT_TIMEOUT_MS,
+) -> DataFrame:
+    """``await_match`` with a condition over both sides, such as
+    ``check.value >= trigger.minimum``.
+
+    Key and time slices of the length of the timeout make it an equi join, so a
+    trigger meets the checks of its key in two slices only; the first match is taken
+    by an aggregation that combines before any shuffle. Trigger ids are unique.
+    """
+    check_await(min(timeout_ms, DEFAULT_POLL_MS), timeout_ms)
+    names = [f"__k{i}" for i in range(len(key))]
+    keys = [F.col(k).alias(n) for k, n in zip(key, names)]
+    width = timeout_ms * 1000
+    seen = checks.where(F.col(check_ts).isNotNull()).select(
+        *keys, F.struct("*").alias("check"), _micros(F.col(check_ts)).alias("__us")
+    ).withColumn("__slice", F.floor(F.col("__us") / width))
+    rows = triggers.select(F.struct("*").alias("__row"), *keys, F.col(trigger_id).alias("__tid"))
+    begun = rows.withColumn("trigger", F.col("__row")).withColumn("__t", _micros(F.col(f"trigger.{trigger_ts}")))
+    first_slice = F.floor(F.col("__t") / width)
+    sliced = begun.drop("__row").withColumn(
+        "__slice", F.explode(F.array(first_slice, first_slice + 1))
+    )
+    wait_us = F.col("__us") - F.col("__t")
+    met = (
+        sliced.join(seen, [*names, "__slice"])
+        .where((wait_us >= 0) & (wait_us <= width))
+        .where(_as_condition(condition))
+        .groupBy("__tid")
+        .agg(
+            F.min(
+                F.struct(
+                    F.col("__us").alias("us"), F.col(f"check.{check_id}").alias("id"), F.col(f"check.{check_ts}").alias("at")
+                )
+            ).alias("__next")
+        )
+        .withColumnRenamed("__tid", "m__tid")
+    )
+    joined = rows.join(met, F.col("__tid") == F.col("m__tid"), "left")
+    waited = F.col("__next.us") - _micros(F.col(f"__row.{trigger_ts}"))
+    return _outcome(joined, triggers.columns, F.col("__next").isNotNull(), waited, timeout_ms)
+
+
 def _outcome(
     rows: DataFrame, columns: list[str], matched: Column, wait_us: Column, timeout_ms: int
 ) -> DataFrame:

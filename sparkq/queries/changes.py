@@ -337,3 +337,24 @@ def failure_streaks(spark, sf_dir):
         call_log(spark, sf_dir), ["backend"], ["started_at", "request_id"], threshold=3
     )
     return streaks.select("request_id", "backend", "status", "streak", "tripped")
+
+
+@query(
+    """WITH t AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'signup'),
+       pairs AS (SELECT t.event_id, t.user_id, t.ts, c.event_id AS cid, c.ts AS cts,
+                        row_number() OVER (PARTITION BY t.event_id ORDER BY c.ts, c.event_id) AS rn
+                 FROM t LEFT JOIN events c ON c.user_id = t.user_id AND c.event_type = 'purchase'
+                      AND c.value >= t.value AND c.ts >= t.ts AND c.ts <= t.ts + INTERVAL 1 DAY)
+       SELECT event_id, user_id, cid AS matched_id, cts AS matched_at,
+              CASE WHEN cid IS NULL THEN 'timeout' ELSE 'matched' END AS outcome,
+              CASE WHEN cid IS NULL THEN 86400000 ELSE (epoch_us(cts) - epoch_us(ts)) // 1000 END AS wait_ms
+       FROM pairs WHERE rn = 1"""
+)
+def await_larger_purchase(spark, sf_dir):
+    """Signups waiting for a purchase of at least their own value."""
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    found = waiting.await_condition(
+        events.where("event_type = 'signup'"), events, ["user_id"], "event_id", "ts", "event_id", "ts",
+        "check.event_type = 'purchase' AND check.value >= trigger.value", timeout_ms=DAY_MS,
+    )
+    return found.select("event_id", "user_id", "matched_id", "matched_at", "outcome", "wait_ms")

@@ -1,7 +1,9 @@
 """Pages, manifests, signed cursors and listings."""
 
 import hashlib
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkq.functions.cursors import decode_cursor, encode_cursor
@@ -12,6 +14,7 @@ from sparkq.operators.paging import (
     offset_page,
     page_manifest,
     resource_listing,
+    stream_page,
 )
 from sparkq.operators.params import QuerySpec
 from sparkq.queries.registry import query
@@ -165,3 +168,44 @@ def listing_second_page(spark, sf_dir):
     )
     _, cursor = list_page(spark, listing)
     return list_page(spark, listing, cursor)[0]
+
+
+def _paged(name, nullable):
+    key = "CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id END" if nullable else "ts"
+
+    @query(
+        f"""WITH e AS (SELECT {key} AS k, event_id FROM events),
+           placed AS (SELECT *, row_number() OVER (ORDER BY k NULLS FIRST, event_id) - 1 AS i,
+                             count(*) OVER () // 3 + 1 AS size FROM e)
+           SELECT CAST(i // size AS INTEGER) AS page, k, event_id, FALSE AS truncated,
+                  max(event_id) FILTER (i % size = size - 1 OR i = (SELECT count(*) - 1 FROM e))
+                    OVER (PARTITION BY i // size) AS next_event_id
+           FROM placed""",
+        name=name,
+    )
+    def run(spark, sf_dir):
+        """The events page by page to the end, each page resumed with the token before."""
+        events = spark.sql(f"SELECT {key} AS k, event_id FROM {{e}}", e=read(spark, sf_dir, "events"))
+        spec = StreamSpec("events", ("k", "event_id"), SECRET)
+        size, token, pages = events.count() // 3 + 1, None, []
+        while True:
+            page = stream_page(spec, events, token, size)
+            token = page.next_cursor
+            if token is None:
+                break
+            decoded = decode_cursor(F.lit(token), SECRET)
+            pages.append(
+                page.rows.select(
+                    F.lit(len(pages)).alias("page"), "k", "event_id",
+                    F.lit(page.truncated).alias("truncated"),
+                    F.variant_get(F.get(decoded["k"], F.lit(1)), "$", "bigint").alias("next_event_id"),
+                )
+            )
+        empty = events.limit(0).selectExpr("0 AS page", "k", "event_id", "false AS truncated", "0L AS next_event_id")
+        return reduce(DataFrame.unionByName, pages, empty)
+
+    return run
+
+
+_paged("paged_events", nullable=False)
+_paged("paged_events_nullable", nullable=True)
