@@ -140,7 +140,7 @@ def merge_counts(vocabulary: Vocabulary, words: Sequence[bytes]) -> np.ndarray:
 
 
 # White space as the tokenizer's patterns see it.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACES = re.compile(f"[{SPACE}]+")
 # Characters that str.split takes for white space and the patterns do not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"

@@ -16,6 +16,8 @@ ODD = [
     "", "aaaaaaa", "<|endoftext|>hi<|startoftext|> <|endoftext", "it's I'LL don't we'd", "ΣΑΣ ΟΔΟΣ İstanbul ß ﬁ ½ ² 12345",
     "a\x1cb\x1db\x85c\xa0d e", "日本語テキスト 한국어 عربي", "é é ñ", "🙂👍🏽!!??", "\x00\x01", "____ a_b 'S 'sx", "x" * 5000, "  \n\t ",
     "word.word, word; (word) w'ord...",
+    "a\u1680b\u2003c\u200ad\u200be\u2028f\u2029g\u202fh\u205fi\u3000j\ufeffk\u180el",
+    "ǅ ⅷ ₂ ٣ ①x²y ª º ʰ ﬀ Å Ω",
 ]
 
 
