@@ -108,6 +108,14 @@ def await_match(
     return _outcome(merged, triggers.columns, matched, wait_us, timeout_ms)
 
 
+def _same_slice(names: Sequence[str]) -> Column:
+    """The same key, null included, and time slice on both sides of a join."""
+    on = F.col("__slice") == F.col("s__slice")
+    for n in names:
+        on = on & F.col(n).eqNullSafe(F.col(f"s{n}"))
+    return on
+
+
 def await_condition(
     triggers: DataFrame,
     checks: DataFrame,
@@ -133,6 +141,7 @@ def await_condition(
     seen = checks.where(F.col(check_ts).isNotNull()).select(
         *keys, F.struct("*").alias("check"), _micros(F.col(check_ts)).alias("__us")
     ).withColumn("__slice", F.floor(F.col("__us") / width))
+    seen = seen.withColumnsRenamed({n: f"s{n}" for n in [*names, "__slice"]})
     rows = triggers.select(F.struct("*").alias("__row"), *keys, F.col(trigger_id).alias("__tid"))
     begun = rows.withColumn("trigger", F.col("__row")).withColumn("__t", _micros(F.col(f"trigger.{trigger_ts}")))
     first_slice = F.floor(F.col("__t") / width)
@@ -141,7 +150,7 @@ def await_condition(
     )
     wait_us = F.col("__us") - F.col("__t")
     met = (
-        sliced.join(seen, [*names, "__slice"])
+        sliced.join(seen, _same_slice(names))
         .where((wait_us >= 0) & (wait_us <= width))
         .where(_as_condition(condition))
         .groupBy("__tid")
@@ -178,48 +187,69 @@ def _await_ticks(
     triggers, checks, key, trigger_id, trigger_ts, check_id, check_ts,
     condition, poll_ms, timeout_ms, hot_rows,
 ) -> DataFrame:
-    """State per tick: every trigger becomes its ticks, a number fixed by the spec."""
+    """The first poll tick at which the state holds.
+
+    A trigger whose state holds at once waits for nothing. The others look at the
+    stretches of time, begun before their deadline, in which the state holds: the first
+    tick inside a stretch follows from its start, so ticks are never rows.
+    """
     names = [f"__k{i}" for i in range(len(key))]
     keys = [F.col(k).alias(n) for k, n in zip(key, names)]
+    at = _micros(F.col(check_ts))
     states = checks.select(
         *keys,
-        _micros(F.col(check_ts)).alias("__t"),
+        at.alias("__t"),
         F.lit(0).alias("__kind"),
         F.col(check_id).alias("__id"),
-        F.lit(0).cast("bigint").alias("__wait"),
         F.struct(
-            _micros(F.col(check_ts)).alias("us"),
-            F.col(check_id).alias("id"),
-            F.col(check_ts).alias("at"),
-            condition.alias("ok"),
+            at.alias("us"), F.col(check_id).alias("id"), F.col(check_ts).alias("at"), condition.alias("ok")
         ).alias("__state"),
     )
-    big = lambda n: F.lit(n).cast("bigint")
-    waits = F.concat(
-        F.sequence(big(0), big(timeout_ms - 1), big(poll_ms)), F.array(big(timeout_ms))
+    no_state = F.lit(None).cast(states.schema["__state"].dataType).alias("__state")
+    fired = triggers.select(
+        *keys, _micros(F.col(trigger_ts)).alias("__t"), F.lit(1).alias("__kind"), F.col(trigger_id).alias("__id"), no_state
+    )
+    now = scan_in_order(
+        states.unionByName(fired), names, ["__t", "__kind", "__id"], [Running("__now", "max", F.col("__state"))], hot_rows
+    ).where("__kind = 1 AND __t IS NOT NULL")
+    holds = F.coalesce(F.col("__now.ok"), F.lit(False))
+    columns = [*names, "__id", "__t"]
+    at_once = now.where(holds).select(*names, "__id", F.col("__now").alias("__next"), F.lit(0).cast("bigint").alias("__waited"))
+
+    # Every state ends with the next one of its key; the last ends never.
+    never = states.select(*names).distinct().select(
+        *names, F.lit(2**62).alias("__t"), F.lit(0).alias("__kind"),
+        F.lit(None).cast(states.schema["__id"].dataType).alias("__id"), no_state,
     )
-    ticks = triggers.select(
-        *keys,
-        _micros(F.col(trigger_ts)).alias("__t0"),
-        F.lit(1).alias("__kind"),
-        F.col(trigger_id).alias("__id"),
-        F.explode(waits).alias("__wait"),
-        F.lit(None).cast(states.schema["__state"].dataType).alias("__state"),
+    stretches = scan_in_order(
+        states.unionByName(never), names, ["__t", "__id"], [Running("__from", "prev", F.col("__state"))], hot_rows
+    ).where("__from.ok")
+    width = timeout_ms * 1000
+    begun = stretches.select(
+        *[F.col(n).alias(f"s{n}") for n in names], "__from", F.col("__t").alias("__end"), F.floor(F.col("__from.us") / width).alias("s__slice")
     )
-    ticks = ticks.withColumn("__t", F.col("__t0") + F.col("__wait") * 1000).drop("__t0")
-    seen = scan_in_order(
-        states.unionByName(ticks),
-        names,
-        ["__t", "__kind", "__id", "__wait"],
-        [Running("__now", "max", F.col("__state"))],
-        hot_rows,
+    first_slice = F.floor(F.col("__t") / width)
+    waiting = now.where(~holds).select(
+        *columns, F.explode(F.array(first_slice, first_slice + 1)).alias("__slice")
     )
-    first = (
-        seen.where("__kind = 1 AND __now.ok")
+    poll = poll_ms * 1000
+    start = F.col("__from.us") - F.col("__t")
+    tick = F.ceil(start / poll) * poll
+    # The last poll is at the deadline, whatever the interval.
+    wait = F.when(tick < width, tick).otherwise(F.lit(width))
+    inside = (F.col("__t") + wait >= F.col("__from.us")) & (F.col("__t") + wait < F.col("__end"))
+    late = (F.col("__t") + width >= F.col("__from.us")) & (F.col("__t") + width < F.col("__end"))
+    waited = F.when(inside, wait).when(late, F.lit(width))
+    later = (
+        waiting.join(begun, _same_slice(names))
+        .where(start > 0)
+        .withColumn("__us", waited.cast("bigint"))
+        .where("__us IS NOT NULL")
         .groupBy(*names, "__id")
-        .agg(F.min_by("__now", "__wait").alias("__next"), F.min("__wait").alias("__waited"))
-        .withColumnsRenamed({n: f"m{n}" for n in [*names, "__id"]})
+        .agg(F.min_by("__from", F.struct("__us", "__from")).alias("__next"), F.min("__us").alias("__us"))
+        .select(*names, "__id", "__next", div(F.col("__us"), 1000).cast("bigint").alias("__waited"))
     )
+    first = at_once.unionByName(later).withColumnsRenamed({n: f"m{n}" for n in [*names, "__id"]})
     rows = triggers.select(F.struct("*").alias("__row"), *keys, F.col(trigger_id).alias("__tid"))
     on = F.col("__tid") == F.col("m__id")
     for n in names:

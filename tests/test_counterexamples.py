@@ -12,7 +12,7 @@ from sparkq.operators import paging as G
 from sparkq.operators.changes import parse_notifications
 from sparkq.operators.execute import execute
 from sparkq.operators.params import QuerySpec
-from sparkq.operators.waiting import await_match
+from sparkq.operators.waiting import await_condition, await_match
 from sparkq.sources import jdbc
 
 SPEC = G.StreamSpec("b", ("t", "id"), "secret")
@@ -73,6 +73,51 @@ def test_checks_without_a_time(spark):
         assert {r.id: (r.outcome, r.matched_id) for r in got.collect()} == {1: ("matched", 9), 2: ("timeout", None)}
 
 
+@pytest.mark.parametrize("poll_ms, timeout_ms", [(100, 1000), (300, 1000), (700, 700)])
+def test_ticks_by_brute_force(spark, poll_ms, timeout_ms):
+    import random
+
+    rng = random.Random(poll_ms)
+    states = sorted({(rng.choice([None, "a", "b"]), rng.randrange(0, 6000), rng.random() < 0.3) for _ in range(150)}, key=repr)
+    fired = [(i, rng.choice([None, "a", "b"]), rng.randrange(0, 6000)) for i in range(80)]
+    at = "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, ms / 1000)"
+    checks = spark.createDataFrame([(n, *s) for n, s in enumerate(states)], "cid long, k string, ms long, ok boolean")
+    triggers = spark.createDataFrame(fired, "id long, k string, ms long")
+    got = await_match(
+        triggers.selectExpr("id", "k", f"{at} AS t"), checks.selectExpr("cid", "k", f"{at} AS t", "ok"),
+        ["k"], "id", "t", "cid", "t", "ok", poll_ms, timeout_ms, quantise=True,
+    )
+
+    def expected(k, t):
+        for wait in [*range(0, timeout_ms, poll_ms), timeout_ms]:
+            before = [(ms, n, ok) for n, (key, ms, ok) in enumerate(states) if key == k and ms <= t + wait]
+            if before and max(before)[2]:
+                return ("matched", max(before)[1], wait)
+        return ("timeout", None, timeout_ms)
+
+    assert {r.id: (r.outcome, r.matched_id, r.wait_ms) for r in got.collect()} == {
+        i: expected(k, t) for i, k, t in fired
+    }
+
+
+def test_conditions_over_both_sides(spark):
+    triggers = spark.createDataFrame(
+        [(1, "a", 0, 5), (2, "a", 0, 50), (3, None, 0, 1), (4, "b", None, 1)], "id long, k string, ms long, least int"
+    )
+    checks = spark.createDataFrame(
+        [(1, "a", 400, 3), (2, "a", 600, 7), (3, "a", 1500, 99), (4, None, 1000, 2), (5, "b", None, 9)],
+        "cid long, k string, ms long, v int",
+    )
+    at = "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, ms / 1000) AS t"
+    got = await_condition(
+        triggers.selectExpr("id", "k", at, "least"), checks.selectExpr("cid", "k", at, "v"),
+        ["k"], "id", "t", "cid", "t", "check.v >= trigger.least", timeout_ms=1000,
+    )
+    assert {r.id: (r.matched_id, r.wait_ms) for r in got.collect()} == {
+        1: (2, 600), 2: (None, 1000), 3: (4, 1000), 4: (None, 1000)
+    }
+
+
 def test_a_member_that_comes_twice(spark):
     rows = [('{"user_id":"u1","user_id":"u2"}',), ('{"user_id":7}',), ('{"user_id":"a","x":{"b":1,"b":2}}',)]
     got = parse_notifications(spark.createDataFrame(rows, "payload string")).collect()
