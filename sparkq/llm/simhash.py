@@ -296,7 +296,11 @@ def components(docs: DataFrame, threshold: int = 2, code: Code | None = None) ->
     none). Rows of equal fingerprints are one node; repeated rows stay repeated.
     """
     docs = stage(docs, "signatures")
-    roots = connected(links(docs, threshold, code))
+    return grouped(docs, connected(links(docs, threshold, code)))
+
+
+def grouped(docs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``docs`` (staged) with the ``component_id`` that the roots (node, root) of ``fp`` give."""
     ids = stage(
         docs.groupBy("fp").agg(F.min("doc_id").alias("__least"), F.count(F.lit(1)).alias("__n")),
         "fingerprint-ids",
@@ -326,12 +330,13 @@ def near_duplicates(docs: DataFrame, threshold: int = 2, code: Code | None = Non
     return components(signed, threshold, code)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """One row of each component: that of the smallest doc_id (then text hash).
+    ``found`` gives the components, else ``near_duplicates`` does.
 
     Rows that agree in doc_id and text are one document and leave one row.
     """
-    found = near_duplicates(docs)
+    found = near_duplicates(docs) if found is None else found
     # Nulls come first in a struct, so a document without id would win; it comes last.
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
     rep = (

@@ -1,0 +1,73 @@
+"""Near-duplicates of the pipeline against all pairs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpus_pipeline import near_dedup
+from sparkq.llm.similar import similar_documents
+from sparkq.llm.simhash import text_fingerprint
+
+
+def grams(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def components(rows):
+    """Smallest id of the component of every id, by comparing all pairs."""
+    sets = [(i, grams(t)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            small, large = sorted((len(a), len(b)))
+            if small * 5 < large * 4 or root[i] == root[j]:
+                continue
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                low, high = sorted((root[i], root[j]))
+                root = {n: low if r == high else r for n, r in root.items()}
+    return root
+
+
+def edited():
+    """Texts, and copies of them with one to three words changed; all share a long end."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    rows, end = [], rng.choices(words, k=20)
+    for _ in range(40):
+        text = rng.choices(words, k=rng.choice([3, 7, 40, 90])) + end * rng.choice([0, 0, 1])
+        rows.append(text)
+        for edits in (1, 1, 2, 3):
+            copy = list(text)
+            for at in rng.sample(range(len(copy)), edits):
+                copy[at] = "new" + str(rng.random())
+            rows.append(copy)
+    rows = [" ".join(t) for t in rows] + [None, "", " \n", rows[0][0], "Some  words", "some words\n"]
+    return list(enumerate(rows))
+
+
+def test_edited_copies_against_all_pairs(spark):
+    rows = edited()
+    docs = spark.createDataFrame([*rows, *rows[:9]], "doc_id long, text string").withColumn("fp", F.lit("clash"))
+    got = similar_documents(docs).collect()
+    want = components(rows)
+    assert len(got) == len(rows) + 9 and {r.doc_id: r.component_id for r in got} == want
+    assert 20 < len(set(want.values())) < len(rows) - 20
+    assert similar_documents(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("sample", [4000, 10])
+def test_stage_drops_an_edited_copy(spark, monkeypatch, sample):
+    monkeypatch.setattr("sparkq.llm.similar.SAMPLE", sample)
+    text = " ".join(f"word{i}" for i in range(60))
+    copy = text.replace("word30", "other")
+    docs = spark.createDataFrame([(2, copy), (1, text), (3, "quite another text of a few words")], "doc_id long, text string")
+    assert (text_fingerprint(text) ^ text_fingerprint(copy)).bit_count() > 2
+    assert sorted(r.doc_id for r in near_dedup(spark, docs, "").collect()) == [1, 3]
+
+
+def test_components_on_the_tables(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = components([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert {r.doc_id: r.component_id for r in similar_documents(docs).collect()} == want
