@@ -152,13 +152,12 @@ def scores_of(
     best: Best, rows: np.ndarray, scores: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, k: int
 ) -> None:
     floor = best.threshold[rows]
+    other = q_ids[rows][:, None] != ids
     if scores.shape[1] > 4 * k:
-        # One of the k best may be the query itself, so look one further.
-        kth = np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)]
-        floor = np.maximum(floor, kth)
-    r, c = np.nonzero(scores >= floor[:, None])
-    other = q_ids[rows[r]] != ids[c]
-    r, c = r[other], c[other]
+        # Rows of the query's own id, however many, take no place among the k best.
+        others = np.where(other, scores, np.iinfo(np.int64).min)
+        floor = np.maximum(floor, np.partition(others, -k, axis=1)[:, -k])
+    r, c = np.nonzero((scores >= floor[:, None]) & other)
     best.add(rows[r], scores[r, c], ids[c])
 
 
@@ -191,6 +190,10 @@ def _coordinates(best, rows, local, q, q_ids, q_len, vectors, ids, lengths) -> N
             scores_of(best, np.array([row]), scores, q_ids, ids[chosen], best.k)
 
 
+def block(n: int, *columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+
+
 RESULT = "query_id long, vec_id long, score long"
 
 
@@ -209,7 +212,9 @@ def top_k(
     ``is_query`` is a condition on the column vec_id.
     """
     spark = vectors.sparkSession
-    rows = stage(quantised(vectors, vec_id, embedding, scale), "vectors")
+    # Rows of one id are dealt apart by a number that is written with them.
+    salted = quantised(vectors, vec_id, embedding, scale).withColumn("salt", F.monotonically_increasing_id())
+    rows = stage(salted, "vectors")
     asked = stage(
         rows.where(is_query).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("one")).select(
             "vec_id", "one.dim", "one.v"
@@ -220,14 +225,11 @@ def top_k(
     stripes = max(-(-rows.count() // stripe), int(spark.conf.get("spark.sql.shuffle.partitions")))
     groups = max(1, -(-asked.count() // group))
 
-    def block(n: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = asked.withColumn("g", block(groups)).withColumn("s", every(stripes))
-    right = rows.withColumn("s", block(stripes)).withColumn("g", every(groups))
+    left = asked.withColumn("g", block(groups, "vec_id")).withColumn("s", every(stripes))
+    right = rows.withColumn("s", block(stripes, "vec_id", "salt")).drop("salt").withColumn("g", every(groups))
     keys = ["dim", "g", "s"]
 
     def best_of(queries: pa.Table, candidates: pa.Table) -> pa.Table:

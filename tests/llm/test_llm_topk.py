@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkq.llm.topk import retrieve, top_k
+from sparkq.llm.topk import block, retrieve, top_k
 
 
 def brute(rows, k, is_query):
@@ -78,3 +78,21 @@ def test_odd_vectors(spark):
     # An id that comes twice queries once.
     twice = search(spark, [(0, [1.0]), (0, [1.0]), (1, [2.0])])
     assert twice == {(0, 1, 1, 1024 * 2048)}
+
+
+def test_own_rows_take_no_place(spark):
+    rng = np.random.default_rng(8)
+    p = rng.normal(size=(211, 8))
+    p = np.rint(1024 * p / np.linalg.norm(p, axis=1)[:, None]).astype(np.int64)
+    p[200:] = p[0]
+    ids = np.r_[np.arange(200), np.zeros(11, np.int64)]
+    best = retrieve(p[:1], ids[:1], p, ids, 10)
+    want = sorted((-s, j) for j, s in enumerate((p[:200] @ p[0]).tolist()) if j)[:10]
+    assert sorted(zip((-best.score).tolist(), best.id.tolist())) == want
+    rows = [(int(i), v) for i, v in zip(ids, (p / 1024).tolist())]
+    assert search(spark, rows, every=1000) == brute(rows, 10, lambda i: i == 0)
+
+
+def test_rows_of_one_id_are_dealt_apart(spark):
+    rows = spark.range(1000).select(F.lit(7).cast("long").alias("vec_id"), F.col("id").alias("salt"))
+    assert rows.select(block(8, "vec_id", "salt")).distinct().count() == 8
