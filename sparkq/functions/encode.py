@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from sparkq.functions.common import as_column, base64_text
 from sparkq.functions.intervals import interval_iso8601
+from sparkq.functions.jsontext import parse
 
 PROFILES = ("postgres", "mysql", "sqlite")
 INTERVAL_FIELDS = ["months", "days", "micros"]
@@ -66,8 +67,9 @@ def finite_or_null(c: Column | str) -> Column:
 
 
 def inline_json(c: Column | str) -> Column:
-    """Parse JSON text so that it nests instead of being quoted again."""
-    return F.try_parse_json(as_column(c))
+    """Parse JSON text so that it nests instead of being quoted again; null where it is
+    no JSON. The last one of a repeated member counts."""
+    return parse(c)
 
 
 def _is_interval(data_type: T.DataType) -> bool:

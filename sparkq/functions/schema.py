@@ -44,6 +44,28 @@ FRAGMENTS: dict[str, dict] = {
     "bytea": {"type": "string", "contentEncoding": "base64"},
 }
 
+# What stands around a row, or its first value, in each row mode.
+ROW, VALUE = "<row>", "<value>"
+WRAPPERS: dict[str, object] = {
+    "single": ROW,
+    "many": {"type": "array", "items": ROW},
+    "scalar": VALUE,
+    "affected_rows": {
+        "type": "object",
+        "properties": {"rows_affected": {"type": "integer", "minimum": 0}},
+        "required": ["rows_affected"],
+    },
+    "stream": {
+        "type": "object",
+        "additionalProperties": False,
+        "required": ["rows", "next_cursor", "truncated"],
+        "properties": {
+            "rows": {"type": "array", "items": ROW},
+            "next_cursor": {"type": ["string", "null"]},
+            "truncated": {"type": "boolean"},
+        },
+    },
+}
 NO_SCHEMA_MODES = ("resource_contents", "result_sets")
 
 
@@ -107,36 +129,39 @@ def output_schema(
     """Schema of a result with ``(name, type name, nullable or None)`` columns."""
     if not columns or row_mode in NO_SCHEMA_MODES:
         return None
-    if row_mode == "affected_rows":
-        return {
-            "type": "object",
-            "properties": {"rows_affected": {"type": "integer", "minimum": 0}},
-            "required": ["rows_affected"],
-        }
-    if row_mode == "scalar":
-        return nullable(fragment_for_name(columns[0][1]), columns[0][2])
+    if row_mode not in WRAPPERS:
+        raise ValueError(f"unknown row mode {row_mode!r}")
+    fragments = {n: nullable(fragment_for_name(t), maybe) for n, t, maybe in columns}
     row = {
         "type": "object",
         "additionalProperties": False,
         "required": [n for n, _, maybe in columns if maybe is False],
-        "properties": {n: nullable(fragment_for_name(t), maybe) for n, t, maybe in columns},
+        "properties": fragments,
     }
-    if row_mode == "single":
-        return row
-    if row_mode == "many":
-        return {"type": "array", "items": row}
-    if row_mode == "stream":
-        return {
-            "type": "object",
-            "additionalProperties": False,
-            "required": ["rows", "next_cursor", "truncated"],
-            "properties": {
-                "rows": {"type": "array", "items": row},
-                "next_cursor": {"type": ["string", "null"]},
-                "truncated": {"type": "boolean"},
-            },
-        }
-    raise ValueError(f"unknown row mode {row_mode!r}")
+    return _filled(WRAPPERS[row_mode], {ROW: row, VALUE: fragments[columns[0][0]]})
+
+
+def _filled(shape: object, holes: dict[str, dict]) -> object:
+    if isinstance(shape, str):
+        return holes.get(shape, shape)
+    if isinstance(shape, dict):
+        return {k: _filled(v, holes) for k, v in shape.items()}
+    return [_filled(v, holes) for v in shape] if isinstance(shape, list) else shape
+
+
+def output_schemas(tables: dict[str, DataFrame]) -> DataFrame:
+    """``(table_name, row_mode, schema)``: the output schema of every table in every row
+    mode as JSON text, null where a mode has none. Nullability is measured over the data,
+    one aggregation a table."""
+    rows = []
+    for name, df in tables.items():
+        measured = {r["position"]: r["n_null"] > 0 or r["n_rows"] == 0 for r in null_profile(df).collect()}
+        columns = [(f.name, type_name(f.dataType), measured[i]) for i, f in enumerate(df.schema)]
+        for mode in (*WRAPPERS, *NO_SCHEMA_MODES):
+            found = output_schema(columns, mode)
+            rows.append((name, mode, None if found is None else json.dumps(found)))
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(rows, "table_name string, row_mode string, schema string")
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -7,20 +7,19 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkq.functions.common import WHITE_SPACE, as_column
+from sparkq.functions.common import WHITE_SPACE, as_column, bound
 
 # Statements that administer users or rights.
 PRIVILEGED_FIRST = ("GRANT", "REVOKE")
 SCHEMA_VERBS = ("CREATE", "ALTER", "DROP")
 PRIVILEGED_OBJECTS = ("USER", "ROLE", "DATABASE", "GROUP")
 
-# scheme://user:password@; the password ends at the last @ of the authority. A match
-# begins where a word or a run of scheme characters begins, so that every run is
-# read once, however long it is.
-_URL = rf"[A-Za-z][A-Za-z0-9+.\-]*+://[^{WHITE_SPACE}/?#:]*+:"
-_AT_WORD_START = rf"(?<![^{WHITE_SPACE}])({_URL})"
-_ANYWHERE = rf"(?<![A-Za-z0-9+.\-])([0-9+.\-]*+{_URL})"
-_SECRET = rf"[^{WHITE_SPACE}/?#]+@"
+# scheme://user:password@; the password ends at the last @ of the authority. Texts are cut
+# at ://, so that only the last word before each cut and the beginning behind it are
+# matched. Runs are tried from their start only, so each is read once, however long.
+_SCHEME_WORD = rf"(?<![^{WHITE_SPACE}])[A-Za-z][A-Za-z0-9+.\-]*+\z"
+_SCHEME_RUN = r"(?<![A-Za-z0-9+.\-])[0-9+.\-]*+[A-Za-z][A-Za-z0-9+.\-]*+\z"
+_SECRET = rf"^([^{WHITE_SPACE}/?#:]*+:)[^{WHITE_SPACE}/?#]+@"
 # White space beyond ASCII (tested against a wide range first, which is cheap),
 # and ASCII white space that is not one plain space already.
 _WIDE_SPACE = (
@@ -48,8 +47,17 @@ def redact_credentials(
         ascii_only = F.length(c) == F.octet_length(c)
         plain = F.when(ascii_only, c).otherwise(F.regexp_replace(c, _WIDE_SPACE, " "))
         c = F.trim(F.regexp_replace(plain, _UNEVEN_SPACE, " "))
-    url = _ANYWHERE if anywhere else _AT_WORD_START
-    return F.when(c.contains("://"), F.regexp_replace(c, url + _SECRET, "$1***@")).otherwise(c)
+    def joined(parts: Column) -> Column:
+        def hidden(part: Column, i: Column) -> Column:
+            # Behind a cut a word began before the cut, unless there is white space.
+            last = F.concat(F.when(i > 1, "/").otherwise(""), F.get(parts, i - 1))
+            word = F.substring_index(last, " ", -1)
+            named = (i > 0) & part.contains("@") & word.rlike(_SCHEME_RUN if anywhere else _SCHEME_WORD)
+            return F.when(named, F.regexp_replace(part, _SECRET, "$1***@")).otherwise(part)
+
+        return F.array_join(F.transform(parts, hidden), "://")
+
+    return F.when(c.contains("://"), bound(F.split(c, "://", -1), joined)).otherwise(c)
 
 
 def is_multi_statement(sql: Column | str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkq.functions.common import as_column, bound
+from sparkq.functions.jsontext import members
 from sparkq.plans.ordered import HOT_GROUP_ROWS, Running, scan_in_order
 from sparkq.plans.sizing import is_small
 
@@ -123,15 +124,14 @@ def parse_notifications(df: DataFrame, payload: str = "payload") -> DataFrame:
     # Only what can be an object with such a member is parsed; a backslash may
     # spell a member name with escapes.
     named = text.contains("user_id") | text.contains("session_id") | text.contains("\\")
-    candidate = text.rlike(r"^\s*\{") & named
-    members = bound(
-        F.when(candidate, F.from_json(text, "user_id variant, session_id variant")),
+    found = bound(
+        F.when(named, members(text, ["user_id", "session_id"])),
         lambda parsed: F.struct(
             _text_member(parsed, "user_id").alias("user_id"),
             _text_member(parsed, "session_id").alias("session_id"),
         ),
     )
-    return df.withColumn("__members", members).select(
+    return df.withColumn("__members", found).select(
         *df.columns, F.col("__members.user_id"), F.col("__members.session_id")
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkq.functions.common import as_column
+from sparkq.functions.common import WHITE_SPACE, as_column
 from sparkq.plans.sizing import broadcast_if_small
 
 # Billing units, and refund reasons by call status.
@@ -19,6 +19,8 @@ REFUND_REASONS = {
     "invalid_spec": "invalid_spec",
 }
 MICRO = 1_000_000
+# White space of any kind at either end.
+_AROUND = rf"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+\z"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 
@@ -28,7 +30,7 @@ def _finite(c: Column) -> Column:
 
 def parse_amount(text: Column | str) -> Column:
     """A decimal text as a finite, non-negative double; anything else is null."""
-    trimmed = F.trim(as_column(text))
+    trimmed = F.regexp_replace(as_column(text), _AROUND, "")
     value = F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double"))
     return F.when(_finite(value) & (value >= 0), value)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sparkq.functions.common import div, require_column_name, require_identifier
 from sparkq.functions.cursors import cursor_value_text, decode_cursor, encode_cursor
 from sparkq.plans.ordered import row_index
+from sparkq.plans.sizing import broadcast_if_small
 from sparkq.plans.staging import POSITION, settle
 
 MAX_PAGE_SIZE = 1000
@@ -215,6 +216,28 @@ def page_manifest(
     return pages.select(*out)
 
 
+def all_pages(df: DataFrame, spec: StreamSpec, page_size: int) -> DataFrame:
+    """Every row with its ``page`` and the ``next_cursor`` of that page: what paging to
+    the end returns, in one job.
+
+    Rows are numbered in key order over range partitions, so a page of any size is spread
+    like any other rows; of a page only its last key meets in one place. Keys must be
+    unique; nulls in them come first. The last page has a cursor as well, as an empty
+    page ends a stream.
+    """
+    if page_size < 1:
+        raise ValueError(f"page_size must be at least 1, not {page_size}")
+    placed = row_index(df, spec.cursor_columns, "__idx").withColumn("__page", div(F.col("__idx"), page_size))
+    key = F.struct(*[F.col(c) for c in spec.cursor_columns])
+    # Partial aggregation leaves a row for each page and range.
+    last = placed.groupBy(F.col("__page").alias("__of")).agg(F.max(key).alias("__z"))
+    token = encode_cursor(spec.binding, [F.col("__z")[c] for c in spec.cursor_columns], spec.signing_key)
+    tokens = broadcast_if_small(last.select("__of", token.alias("__token")))
+    return placed.join(tokens, F.col("__page") == F.col("__of")).select(
+        F.col("__page").alias("page"), *df.columns, F.col("__token").alias("next_cursor")
+    )
+
+
 def resource_columns(df: DataFrame) -> list[Column]:
     """``uri, name, description, mime_type`` of a listing; what is not text is null."""
     kinds = dict(df.dtypes)

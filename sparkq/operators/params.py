@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from sparkq.functions.common import require_column_name, require_identifier
 from sparkq.functions.text import check_statement
-from sparkq.plans.ordered import Running, scan_in_order
+from sparkq.operators.sweeps import PARAM_ID, common_type, number_params, scan_points
+from sparkq.plans.ordered import Running
 
 # Names that only the engine may bind.
 RESERVED = ("idempotency_key", "idempotency_scope_hash")
@@ -233,7 +234,8 @@ def run_batch(
     The result has the columns of both sides, one row per (parameter row, data
     row) that match. ``equal`` maps data columns to parameter columns. ``between``
     is ``(data column, low, high)``, low inclusive and high exclusive, with the
-    bounds in parameter columns; numbers, dates and timestamps will do. ``where``
+    bounds in parameter columns; numbers, dates and timestamps will do, compared in the
+    type that both sides have in common. ``where``
     is a further condition over both. ``keep_unmatched`` answers every parameter
     row: one without a match stays, with nulls for the data (rows that agree in
     all columns are one call).
@@ -268,9 +270,9 @@ def run_batch(
     return found.unionByName(rest, allowMissingColumns=True)
 
 
-def _axis(df: DataFrame, column: str) -> Column:
-    """A column's place on a line, in its order: days, seconds or the number itself."""
-    kind, c = df.schema[column].dataType, F.col(column)
+def _axis(c: Column, kind: T.DataType) -> Column:
+    """A value's place on a line, in its order: days, seconds or the number itself."""
+    c = c.cast(kind)
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(kind, T.TimestampType):
@@ -291,7 +293,8 @@ def _join_on_bins(
     two bins however wide it is. A data row is repeated once per bin size in use
     (ranges of like width share one).
     """
-    start, end = _axis(params, low), _axis(params, high)
+    kind = common_type(data, value, params, [low, high])
+    start, end = _axis(F.col(low), kind), _axis(F.col(high), kind)
     # Neighbouring instants may have one double, so a width is at least that of a bin
     # that keeps its numbers whole.
     least = F.greatest(F.abs(start), F.abs(end)) * 2.0**-50
@@ -310,7 +313,7 @@ def _join_on_bins(
     )
     placed = data.withColumn(
         "__width", F.explode(F.lit(sizes) if sizes else F.array().cast("array<double>"))
-    ).withColumn("__at", bin_of(_axis(data, value), "__width"))
+    ).withColumn("__at", bin_of(_axis(F.col(value), kind), "__width"))
     same_bin = (F.col("__width") == F.col("__size")) & (F.col("__at") == F.col("__bin"))
     return placed.join(binned, same_bin & matches).drop("__size", "__bin", "__width", "__at")
 
@@ -332,59 +335,28 @@ def sweep_totals(
     """For every parameter row the number of data rows in its range, and sums over them.
 
     ``between`` is ``(data column, low, high)``, low inclusive unless ``low_open``,
-    high exclusive; a null bound is open. Every parameter row is answered, with 0
-    rows and null sums where nothing matches; rows that agree in all columns are one.
+    high exclusive; a null bound is open. Data and bounds are compared in their common
+    type. Every parameter row is answered, with 0 rows and null sums where nothing
+    matches; rows that agree in all columns are one.
 
     Data and bounds are put in one order and counted through once; a range is the
     difference of the running totals at its bounds. No pairs are made.
     """
-    value, low, high = between
     sums = dict(sums or {})
-    keys = [f"__k{i}" for i in range(len(equal or {}))] or ["__k0"]
-    data_keys = [F.col(c) for c in (equal or {})] or [F.lit(0)]
-    param_keys = [F.col(c) for c in (equal or {}).values()] or [F.lit(0)]
-    wanted = params.distinct()
-    kind = data.schema[value].dataType
-
-    def rows(df, group, at, place, tie, sign, one, totals, row):
-        return df.select(
-            *[g.alias(k) for g, k in zip(group, keys)],
-            place.cast("int").alias("__place"),
-            at.cast(kind).alias("__at"),
-            F.lit(tie).alias("__tie"),
-            F.lit(sign).alias("__sign"),
-            F.lit(one).cast("bigint").alias("__one"),
-            *[t.alias(f"__sum{i}") for i, t in enumerate(totals)],
-            row.alias("__row"),
-        )
-
+    wanted = number_params(params)
     kinds = [data.select(t.alias("t")).schema["t"].dataType for t in sums.values()]
     zeros = [F.lit(0).cast(k) for k in kinds]
-    row_type = wanted.select(F.struct("*").alias("r")).schema["r"].dataType
-    points = rows(
-        data.where(F.col(value).isNotNull()), data_keys, F.col(value), F.lit(1), 1, 0, 1,
-        [F.coalesce(t, z) for t, z in zip(sums.values(), zeros)], F.lit(None).cast(row_type),
-    )
-
-    def bound(column: str, sign: int, open_end: int, tie: int) -> DataFrame:
-        place = F.when(F.col(column).isNull(), open_end).otherwise(1)
-        return rows(wanted, param_keys, F.col(column), place, tie, sign, 0, zeros, F.struct("*"))
-
-    # A bound stands before the rows of its own value, an open low one behind them.
-    bounds = bound(low, -1, 0, 2 if low_open else 0).unionByName(bound(high, 1, 2, 0))
-    steps = [Running("__n", "sum", F.col("__one"))]
-    steps += [Running(f"__total{i}", "sum", F.col(f"__sum{i}")) for i in range(len(sums))]
-    scanned = scan_in_order(
-        points.unionByName(bounds), keys, ["__place", "__at", "__tie", "__row", "__sign"], steps, SWEEP_ROWS
-    )
+    steps = [Running("n", "sum", F.when(F.col("sign") == 0, 1).otherwise(0).cast("bigint"))]
+    steps += [Running(f"total{i}", "sum", F.coalesce(F.col(f"v{i}"), z)) for i, z in enumerate(zeros)]
+    scanned = scan_points(data, wanted, between, equal, list(sums.values()), [], low_open, steps, SWEEP_ROWS)
     # Empty ranges may have their bounds the wrong way round.
-    n = F.greatest(F.sum(F.col("__n") * F.col("__sign")), F.lit(0))
-    differences = [F.sum(F.col(f"__total{i}") * F.col("__sign")).alias(name) for i, name in enumerate(sums)]
-    found = scanned.where("__sign <> 0").groupBy("__row").agg(n.alias(count), *differences)
-    return found.select(
-        *[F.col("__row")[c].alias(c) for c in params.columns],
-        count,
-        *[F.when(F.col(count) > 0, F.col(name)).alias(name) for name in sums],
+    n = F.greatest(F.sum(F.col("n") * F.col("sign")), F.lit(0))
+    differences = [F.sum(F.col(f"total{i}") * F.col("sign")).alias(f"__d{i}") for i in range(len(sums))]
+    found = scanned.rows.where("sign <> 0").groupBy(F.col("id").alias(PARAM_ID)).agg(n.alias("__n"), *differences)
+    return wanted.join(found, PARAM_ID).select(
+        *params.columns,
+        F.col("__n").alias(count),
+        *[F.when(F.col("__n") > 0, F.col(f"__d{i}")).alias(name) for i, name in enumerate(sums)],
     )
 
 
@@ -460,13 +432,34 @@ def complete_variable(
     return values.where(F.col(f"`{first}`").isNotNull()) if kind == "string" else values.limit(0)
 
 
+# Parts in which the values of one prefix are ranked.
+RANK_PARTS = 64
+
+
+def first_per_group(
+    rows: DataFrame, group: Sequence[str], order: Sequence[str], n: int, parts: int = RANK_PARTS
+) -> DataFrame:
+    """The first ``n`` rows of each group in ``order``.
+
+    Rows are ranked in parts of their group first, dealt by a hash of the order columns,
+    and the winners of the parts among each other; so of a group of any size a task gets
+    a part, or ``n`` rows of each part. Rows that tie in ``order`` are taken by no rule.
+    """
+    dealt = rows.withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(parts)))
+    for keys in ([*group, "__part"], list(group)):
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+        dealt = dealt.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+    return dealt.drop("__part")
+
+
 def complete_prefixes(
     df: DataFrame, column: str, prefixes: DataFrame, prefix: str = "prefix", max_results: int | None = None
 ) -> DataFrame:
     """``complete_prefix`` for a whole table of prefixes: ``(prefix, value)`` rows.
 
     Values are made distinct first, then meet prefixes of their own first
-    characters in an equi join, one candidate per prefix length in use.
+    characters in an equi join, one candidate per prefix length in use. A short prefix
+    that very many values share is ranked in parts.
     """
     wanted = prefixes.select(F.col(prefix).alias("prefix")).where("prefix IS NOT NULL").distinct()
     # Distinct lengths only: as many numbers as the longest prefix has characters.
@@ -481,5 +474,4 @@ def complete_prefixes(
     found = candidates.join(wanted, "prefix").select("prefix", "value")
     if max_results is None:
         return found
-    rank = F.row_number().over(W.partitionBy("prefix").orderBy("value"))
-    return found.withColumn("__rank", rank).where(F.col("__rank") <= max_results).drop("__rank")
+    return first_per_group(found, ["prefix"], ["value"], max_results)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkq.functions.common import as_column, bound
+from sparkq.functions.jsontext import is_json, members
 from sparkq.plans.ordered import row_index
+from sparkq.plans.staging import stage
 
 # Rows up to here come through one sorted limit; a longer cut uses a row index.
 LIMIT_ROWS = 100_000
@@ -158,31 +160,47 @@ def result_sets(
     return ResultSets(tuple(rows), tuple(kept), total > max_rows)
 
 
+def run_result_sets(
+    sets: Iterable[tuple[DataFrame, Sequence[str]]], max_rows: int
+) -> ResultSets:
+    """``result_sets`` of statements that run once, one after the other.
+
+    Of each set no more is run than the budget has left and one row more, which tells
+    whether there are further ones; what was run is written and read from there.
+    """
+    left, rows, kept, truncated = max_rows, [], [], False
+    for df, order in sets:
+        found = stage(_first_rows(df, order, left + 1), "result-set")
+        n = found.count()
+        if n == 0:
+            continue
+        keep = min(n, left)
+        truncated = truncated or n > left
+        left -= keep
+        kept.append(keep)
+        rows.append(found if keep == n else found.limit(0) if keep == 0 else _first_rows(found, order, keep))
+    return ResultSets(tuple(rows), tuple(kept), truncated)
+
+
 def row_count_hint(payload: Column | str) -> Column:
     """Number of rows a JSON response stands for, read off its shape.
 
     Array: its length. Object: ``rows_affected`` if a number, else the length of
     an array ``contents``, else 1. Anything else, null included: null.
     """
-    return bound(F.try_parse_json(as_column(payload)), _rows_of)
-
-
-def _rows_of(value: Column) -> Column:
-    kind = F.schema_of_variant(value)
-
-    def length(path: str) -> Column:
-        return F.size(F.try_variant_get(value, path, "array<variant>")).cast("bigint")
+    text = as_column(payload)
+    of_array = F.when(is_json(text), F.json_array_length(text).cast("bigint"))
+    found = members(text, {"rows_affected": "variant", "contents": "array<string>"})
+    return F.when(text.rlike(r"^[ \t\r\n]*\["), of_array).otherwise(bound(found, _rows_of))
 
-    def kind_of(path: str) -> Column:
-        member = F.try_variant_get(value, path, "variant")
-        return F.coalesce(F.schema_of_variant(member), F.lit(""))
 
-    affected = kind_of("$.rows_affected")
-    whole = F.try_variant_get(value, "$.rows_affected", "bigint")
+def _rows_of(found: Column) -> Column:
+    affected = F.coalesce(F.schema_of_variant(found["rows_affected"]), F.lit(""))
+    whole = F.try_variant_get(found["rows_affected"], "$", "bigint")
     number = affected.isin("BIGINT", "DOUBLE", "FLOAT") | affected.startswith("DECIMAL")
-    of_object = (
+    return F.when(
+        found.isNotNull(),
         F.when(number, F.when((affected == "BIGINT") & (whole >= 0), whole))
-        .when(kind_of("$.contents").startswith("ARRAY"), length("$.contents"))
-        .otherwise(F.lit(1).cast("bigint"))
+        .when(found["contents"].isNotNull(), F.size(found["contents"]).cast("bigint"))
+        .otherwise(F.lit(1).cast("bigint")),
     )
-    return F.when(kind.startswith("ARRAY"), length("$")).when(kind.startswith("OBJECT"), of_object)

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkq.functions.common import as_column, div
+from sparkq.operators.params import run_batch
 
 # Error kinds by status, and codes of statements gone stale.
 STATUS_OF_ERROR = {
@@ -75,6 +76,66 @@ def call_rollup(
     )
 
 
+# Size of a quantile sketch, and the rank error that it keeps with great certainty.
+SKETCH_K = 800
+RANK_ERROR = 0.01
+
+
+def call_sketches(
+    calls: DataFrame,
+    labels: Sequence[str],
+    measures: Sequence[str] = ("duration_ms", "n_rows"),
+    k: int = SKETCH_K,
+) -> DataFrame:
+    """Per label the calls and a quantile sketch of each measure (``<measure>_sketch``).
+
+    Sketches are a few KB whatever the number of calls and can be stored; they are made
+    in each task and merged, so no label's calls meet. Nulls take no part. Works on a
+    stream as ``call_rollup`` does.
+    """
+    sketches = [F.kll_sketch_agg_bigint(F.col(m).cast("bigint"), F.lit(k)).alias(f"{m}_sketch") for m in measures]
+    return calls.groupBy(*labels).agg(F.count("*").alias("calls"), *sketches)
+
+
+def merge_sketches(
+    sketches: DataFrame,
+    labels: Sequence[str],
+    measures: Sequence[str] = ("duration_ms", "n_rows"),
+    k: int = SKETCH_K,
+) -> DataFrame:
+    """Sketches of finer labels as those of coarser ones, such as hours as days."""
+    merged = [F.kll_merge_agg_bigint(f"{m}_sketch", F.lit(k)).alias(f"{m}_sketch") for m in measures]
+    return sketches.groupBy(*labels).agg(F.sum("calls").alias("calls"), *merged)
+
+
+def sketch_quantiles(
+    sketches: DataFrame,
+    quantiles: Sequence[float],
+    measures: Sequence[str] = ("duration_ms", "n_rows"),
+) -> DataFrame:
+    """A row for each label, measure and quantile: ``measure``, ``quantile``, ``value``.
+
+    The rank of a value is within ``RANK_ERROR`` of its quantile. A measure without
+    values has no rows.
+    """
+    keep = [c for c in sketches.columns if not c.endswith("_sketch")]
+    wanted = F.array(*[F.lit(float(q)) for q in quantiles])
+
+    def pairs(measure: str) -> Column:
+        sketch = F.col(f"{measure}_sketch")
+        some = F.kll_sketch_get_n_bigint(sketch) > 0
+        values = F.when(some, F.kll_sketch_get_quantile_bigint(sketch, wanted))
+        return F.coalesce(
+            F.transform(
+                values,
+                lambda v, i: F.struct(F.lit(measure).alias("measure"), F.get(wanted, i).alias("quantile"), v.alias("value")),
+            ),
+            F.array().cast("array<struct<measure:string,quantile:double,value:bigint>>"),
+        )
+
+    return sketches.select(*keep, F.inline(F.concat(*[pairs(m) for m in measures])))
+
+
 def prepare_retries(
     attempts: DataFrame,
     labels: Sequence[str] = ("backend", "driver"),
@@ -166,6 +227,33 @@ def running_at(
     ).withColumn("age_ms", div(age_us, 1000))
 
 
+def running_at_each(
+    calls: DataFrame,
+    instants: DataFrame,
+    at: str = "at",
+    start: str = "started_at",
+    duration: str = "duration_ms",
+) -> DataFrame:
+    """Calls in flight at each of many instants, with their age then: a row for each
+    instant and call that runs at it.
+
+    A call is an interval that takes one or two bins of about its own length, and an
+    instant looks up one bin of each length in use; so instants meet calls by equal
+    keys, whatever the numbers of both. A call without a duration is still running at
+    the last instant.
+    """
+    begun = F.col(start).cast("timestamp")
+    end = F.timestamp_micros(F.unix_micros(begun) + F.col(duration) * 1000)
+    last = instants.agg(F.max(F.col(at).cast("timestamp"))).scalar()
+    open_end = F.greatest(last, begun) + F.make_dt_interval(secs=F.lit(1))
+    names = {c: f"__c{i}" for i, c in enumerate(calls.columns)}
+    intervals = calls.withColumns({"__begun": begun, "__ended": F.coalesce(end, open_end)}).withColumnsRenamed(names)
+    points = instants.select(F.col(at).alias("__kept"), F.col(at).cast("timestamp").alias("__moment")).distinct()
+    met = run_batch(points, intervals, between=("__moment", "__begun", "__ended"))
+    age = div(F.unix_micros("__moment") - F.unix_micros("__begun"), 1000)
+    return met.select(F.col("__kept").alias(at), *[F.col(n).alias(c) for c, n in names.items()], age.alias("age_ms"))
+
+
 def cache_counts(
     calls: DataFrame,
     labels: Sequence[str] = ("backend", "driver"),

@@ -4,6 +4,10 @@ A group takes tables as DataFrames and never changes them: a write step makes a
 DataFrame of its table, later steps see it, and ``commit`` hands the final DataFrames
 to the caller, who stores them with whatever table format is in use. A group that
 fails or is left has nothing to undo.
+
+Every write step runs once: its rows are staged and counted as they are written, so
+that later steps read them instead of running the steps before again, and what was
+counted is what is kept.
 """
 
 from __future__ import annotations
@@ -12,14 +16,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from sparkq.functions.common import require_column_name
 from sparkq.functions.text import check_statement
 from sparkq.operators.params import MissingParameter, bind_value
+from sparkq.plans.staging import stage
 
 ROW_MODES = ("affected_rows", "many", "single", "scalar")
 KINDS = ("query", "insert", "update", "delete")
+_HIT = "__hit"
 
 
 class StepFailed(RuntimeError):
@@ -90,6 +97,12 @@ class Transaction:
         self._check_open()
         return self._tables[table]
 
+    def _stage(self, rows: DataFrame, hit: Column) -> tuple[DataFrame, int]:
+        """Rows as written, and for how many ``hit`` held, counted in the same run."""
+        seen = Observation()
+        written = stage(rows.observe(seen, F.count_if(hit).alias("n")).drop(_HIT), "step")
+        return written, seen.get.get("n") or 0
+
     def _put(self, table: str, df: DataFrame) -> None:
         self._tables[table] = df
         self._written.add(table)
@@ -97,20 +110,14 @@ class Transaction:
     def insert(self, table: str, rows: DataFrame) -> int:
         """Append rows, matched by name; returns how many."""
         old = self.read(table)
-        shaped = old.limit(0).unionByName(rows)
-        n = shaped.count()
-        self._put(table, old.unionByName(shaped))
+        new, n = self._stage(old.limit(0).unionByName(rows), F.lit(True))
+        self._put(table, old.unionByName(new))
         return n
 
-    def _matching(self, table: str, where: str, args: Mapping[str, Any]) -> int:
-        sql = f"SELECT count(*) AS n FROM {{t}} WHERE {where}"
-        return self.spark.sql(sql, args=dict(args), t=self.read(table)).first()["n"]
-
     def update(
         self, table: str, assign: Mapping[str, str], where: str = "true", args: Mapping[str, Any] = {}
     ) -> int:
         """Set columns where a condition holds; returns the rows affected."""
-        n = self._matching(table, where, args)
         columns = ", ".join(
             f"CAST(CASE WHEN {where} THEN {assign[f.name]} ELSE {f.name} END"
             f" AS {f.dataType.simpleString()}) AS {f.name}"
@@ -118,17 +125,19 @@ class Transaction:
             else f.name
             for f in self.read(table).schema
         )
-        rows = self.spark.sql(f"SELECT {columns} FROM {{t}}", args=dict(args), t=self.read(table))
+        # A null condition is not a match, so the row stays as it is.
+        sql = f"SELECT {columns}, coalesce({where}, false) AS {_HIT} FROM {{t}}"
+        rows, n = self._stage(self.spark.sql(sql, args=dict(args), t=self.read(table)), F.col(_HIT))
         self._put(table, rows)
         return n
 
     def delete(self, table: str, where: str = "true", args: Mapping[str, Any] = {}) -> int:
         """Remove rows where a condition holds; returns the rows affected."""
-        n = self._matching(table, where, args)
-        # A null condition is not a match, so the row stays.
-        sql = f"SELECT * FROM {{t}} WHERE NOT coalesce({where}, false)"
-        self._put(table, self.spark.sql(sql, args=dict(args), t=self.read(table)))
-        return n
+        old, seen = self.read(table), Observation()
+        sql = f"SELECT *, coalesce({where}, false) AS {_HIT} FROM {{t}}"
+        judged = self.spark.sql(sql, args=dict(args), t=old).observe(seen, F.count_if(F.col(_HIT)).alias("n"))
+        self._put(table, stage(judged.where(~F.col(_HIT)).select(*old.columns), "step"))
+        return seen.get.get("n") or 0
 
     def query(self, sql: str, args: Mapping[str, Any] = {}) -> DataFrame:
         """A SELECT over the tables with the writes of earlier steps; the session's own

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkq.functions.common import div
 from sparkq.plans.ordered import HOT_GROUP_ROWS, Running, scan_in_order
+from sparkq.plans.staging import stage
 
 MIN_POLL_MS = 100
 DEFAULT_POLL_MS = 1000
@@ -28,6 +29,11 @@ def check_await(poll_ms: int = DEFAULT_POLL_MS, timeout_ms: int = DEFAULT_TIMEOU
         raise ValueError(f"a timeout of {timeout_ms} ms ends before the first poll at {poll_ms} ms")
 
 
+def check_threshold(threshold: int) -> None:
+    if threshold < 1:
+        raise ValueError("threshold must be at least 1")
+
+
 def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
@@ -132,7 +138,8 @@ def await_condition(
 
     Key and time slices of the length of the timeout make it an equi join, so a
     trigger meets the checks of its key in two slices only; the first match is taken
-    by an aggregation that combines before any shuffle. Trigger ids are unique.
+    by an aggregation that combines before any shuffle. Triggers are numbered first, so
+    each has an answer of its own, whatever its id.
     """
     check_await(min(timeout_ms, DEFAULT_POLL_MS), timeout_ms)
     names = [f"__k{i}" for i in range(len(key))]
@@ -142,7 +149,7 @@ def await_condition(
         *keys, F.struct("*").alias("check"), _micros(F.col(check_ts)).alias("__us")
     ).withColumn("__slice", F.floor(F.col("__us") / width))
     seen = seen.withColumnsRenamed({n: f"s{n}" for n in [*names, "__slice"]})
-    rows = triggers.select(F.struct("*").alias("__row"), *keys, F.col(trigger_id).alias("__tid"))
+    rows = stage(_numbered(triggers, keys), "triggers")
     begun = rows.withColumn("trigger", F.col("__row")).withColumn("__t", _micros(F.col(f"trigger.{trigger_ts}")))
     first_slice = F.floor(F.col("__t") / width)
     sliced = begun.drop("__row").withColumn(
@@ -168,6 +175,11 @@ def await_condition(
     return _outcome(joined, triggers.columns, F.col("__next").isNotNull(), waited, timeout_ms)
 
 
+def _numbered(triggers: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """Triggers as a struct with their keys and a number; to be written before use."""
+    return triggers.select(F.struct("*").alias("__row"), *keys).withColumn("__tid", F.monotonically_increasing_id())
+
+
 def _outcome(
     rows: DataFrame, columns: list[str], matched: Column, wait_us: Column, timeout_ms: int
 ) -> DataFrame:
@@ -196,30 +208,38 @@ def _await_ticks(
     names = [f"__k{i}" for i in range(len(key))]
     keys = [F.col(k).alias(n) for k, n in zip(key, names)]
     at = _micros(F.col(check_ts))
+    no_trigger = F.lit(None).cast("long").alias("__tid")
     states = checks.select(
         *keys,
         at.alias("__t"),
         F.lit(0).alias("__kind"),
         F.col(check_id).alias("__id"),
+        no_trigger,
         F.struct(
             at.alias("us"), F.col(check_id).alias("id"), F.col(check_ts).alias("at"), condition.alias("ok")
         ).alias("__state"),
     )
     no_state = F.lit(None).cast(states.schema["__state"].dataType).alias("__state")
-    fired = triggers.select(
-        *keys, _micros(F.col(trigger_ts)).alias("__t"), F.lit(1).alias("__kind"), F.col(trigger_id).alias("__id"), no_state
+    rows = stage(_numbered(triggers, keys), "triggers")
+    fired = rows.select(
+        *names,
+        _micros(F.col(f"__row.{trigger_ts}")).alias("__t"),
+        F.lit(1).alias("__kind"),
+        F.col(f"__row.{trigger_id}").alias("__id"),
+        "__tid",
+        no_state,
     )
     now = scan_in_order(
         states.unionByName(fired), names, ["__t", "__kind", "__id"], [Running("__now", "max", F.col("__state"))], hot_rows
     ).where("__kind = 1 AND __t IS NOT NULL")
     holds = F.coalesce(F.col("__now.ok"), F.lit(False))
-    columns = [*names, "__id", "__t"]
-    at_once = now.where(holds).select(*names, "__id", F.col("__now").alias("__next"), F.lit(0).cast("bigint").alias("__waited"))
+    columns = [*names, "__tid", "__t"]
+    at_once = now.where(holds).select("__tid", F.col("__now").alias("__next"), F.lit(0).cast("bigint").alias("__waited"))
 
     # Every state ends with the next one of its key; the last ends never.
     never = states.select(*names).distinct().select(
         *names, F.lit(2**62).alias("__t"), F.lit(0).alias("__kind"),
-        F.lit(None).cast(states.schema["__id"].dataType).alias("__id"), no_state,
+        F.lit(None).cast(states.schema["__id"].dataType).alias("__id"), no_trigger, no_state,
     )
     stretches = scan_in_order(
         states.unionByName(never), names, ["__t", "__id"], [Running("__from", "prev", F.col("__state"))], hot_rows
@@ -245,17 +265,13 @@ def _await_ticks(
         .where(start > 0)
         .withColumn("__us", waited.cast("bigint"))
         .where("__us IS NOT NULL")
-        .groupBy(*names, "__id")
+        .groupBy("__tid")
         .agg(F.min_by("__from", F.struct("__us", "__from")).alias("__next"), F.min("__us").alias("__us"))
-        .select(*names, "__id", "__next", div(F.col("__us"), 1000).cast("bigint").alias("__waited"))
+        .select("__tid", "__next", div(F.col("__us"), 1000).cast("bigint").alias("__waited"))
     )
-    first = at_once.unionByName(later).withColumnsRenamed({n: f"m{n}" for n in [*names, "__id"]})
-    rows = triggers.select(F.struct("*").alias("__row"), *keys, F.col(trigger_id).alias("__tid"))
-    on = F.col("__tid") == F.col("m__id")
-    for n in names:
-        on = on & F.col(n).eqNullSafe(F.col(f"m{n}"))
+    first = at_once.unionByName(later).withColumnRenamed("__tid", "m__tid")
     return _outcome(
-        rows.join(first, on, "left"),
+        rows.join(first, F.col("__tid") == F.col("m__tid"), "left"),
         triggers.columns,
         F.col("__waited").isNotNull(),
         F.col("__waited") * 1000,
@@ -301,9 +317,9 @@ def failure_streaks(
     Only timeouts and transport errors are failures; any other outcome sets the
     streak back to 0. ``tripped`` marks the call that reaches the threshold.
     """
-    if threshold < 1:
-        raise ValueError("threshold must be at least 1")
-    failed = F.col(status).isin(*FAILURES)
+    check_threshold(threshold)
+    # A call without a status is no failure.
+    failed = F.coalesce(F.col(status).isin(*FAILURES), F.lit(False))
     rows = scan_in_order(
         calls,
         service,

@@ -47,11 +47,12 @@ class Running:
     expr: Column
 
 
-def _hashable(kind: T.DataType) -> bool:
+def hashable(kind: T.DataType) -> bool:
+    """Whether values of a type have a hash and an order; maps and variants have neither."""
     if isinstance(kind, T.StructType):
-        return all(_hashable(f.dataType) for f in kind)
+        return all(hashable(f.dataType) for f in kind)
     if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
+        return hashable(kind.elementType)
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
@@ -133,7 +134,7 @@ def scan_in_order(
     the one before it once for its values and once for its carries.
     """
     group, order, columns = list(group), [*order, _TIE], df.columns
-    told_apart = [F.col(f.name) for f in df.schema if _hashable(f.dataType)]
+    told_apart = [F.col(f.name) for f in df.schema if hashable(f.dataType)]
     df = stage(df.withColumn(_TIE, F.xxhash64(*told_apart)), "scan")
 
     def plain(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from sparkq.operators import cost, telemetry
+from sparkq.plans.staging import stage
 from sparkq.queries.registry import CALL_LOG_CTE, query
 from sparkq.sources.views import PRICE_SPEC_SQL, call_log, price_spec, read
 
@@ -152,6 +153,57 @@ def call_rollup(spark, sf_dir):
     return telemetry.call_rollup(call_log(spark, sf_dir))
 
 
+_QUANTILES = (0.1, 0.5, 0.9, 0.99)
+
+
+@query(
+    f"""WITH {CALL_LOG_CTE}, days AS (SELECT DISTINCT CAST(started_at AS DATE) AS day FROM call_log)
+       SELECT day, measure, quantile, calls, true AS within
+       FROM days JOIN (SELECT CAST(started_at AS DATE) AS day, count(*) AS calls FROM call_log GROUP BY 1) USING (day),
+            (VALUES ('duration_ms'), ('n_rows')) AS m(measure),
+            (VALUES {", ".join(f"({q}::DOUBLE)" for q in _QUANTILES)}) AS q(quantile)"""
+)
+def call_quantiles(spark, sf_dir):
+    """Hourly sketches merged by day: whether each quantile's rank is within the stated error."""
+    calls = call_log(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "started_at"))
+    hourly = stage(telemetry.call_sketches(calls, ["hour"]), "sketches")
+    daily = telemetry.merge_sketches(hourly.withColumn("day", F.col("hour").cast("date")), ["day"])
+    values = stage(telemetry.sketch_quantiles(daily, _QUANTILES), "quantiles")
+    # A few rows a day beside the log.
+    of_day = calls.select(
+        F.col("started_at").cast("date").alias("d"),
+        F.inline(
+            F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).cast("bigint").alias("x")) for m in ("duration_ms", "n_rows")])
+        ),
+    )
+    met = values.join(of_day, (F.col("day") == F.col("d")) & (F.col("measure") == F.col("m")))
+    ranked = met.groupBy("day", "measure", "quantile", "calls", "value").agg(
+        (F.count_if(F.col("x") < F.col("value")) / F.count("*")).alias("below"),
+        (F.count_if(F.col("x") <= F.col("value")) / F.count("*")).alias("upto"),
+    )
+    error = telemetry.RANK_ERROR
+    within = (F.col("below") <= F.col("quantile") + error) & (F.col("upto") >= F.col("quantile") - error)
+    return ranked.select("day", "measure", "quantile", "calls", within.alias("within"))
+
+
+@query(
+    f"""WITH {CALL_LOG_CTE}, hours AS (SELECT DISTINCT date_trunc('hour', started_at) AS hour FROM call_log),
+       lasting AS (SELECT *, CASE WHEN request_id % 50 > 0 THEN duration_ms * 60 END AS lasts FROM call_log)
+       SELECT hour, request_id, driver, (epoch_us(hour) - epoch_us(started_at)) // 1000 AS age_ms
+       FROM hours JOIN lasting ON started_at <= hour
+        AND (lasts IS NULL OR epoch_us(started_at) + lasts * 1000 > epoch_us(hour))"""
+)
+def running_calls_hourly(spark, sf_dir):
+    """Calls in flight at every hour of the log; some of them never end."""
+    calls = call_log(spark, sf_dir)
+    hours = calls.select(F.date_trunc("hour", "started_at").cast("timestamp_ntz").alias("hour")).distinct()
+    lasts = F.when(F.col("request_id") % 50 > 0, F.col("duration_ms") * 60)
+    running = telemetry.running_at_each(
+        calls.select("request_id", "driver", "started_at", lasts.alias("lasts")), hours, "hour", duration="lasts"
+    )
+    return running.select("hour", "request_id", "driver", "age_ms")
+
+
 ATTEMPTS = """SELECT event_id, concat('b', CAST(user_id % 5 AS STRING)) AS backend,
     CASE user_id % 3 WHEN 0 THEN 'postgres' WHEN 1 THEN 'mysql' ELSE 'sqlite' END AS driver,
     CASE event_id % 9 WHEN 0 THEN 'pool_timeout' WHEN 1 THEN 'connect' WHEN 2 THEN 'prepare'

@@ -5,8 +5,10 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from sparkq.functions.common import json_value
+from sparkq.functions.encode import inline_json
 from sparkq.functions.fingerprints import request_fingerprint
 from sparkq.operators import changes, reuse, telemetry, waiting
+from sparkq.operators.shape import row_count_hint
 from sparkq.queries.registry import CALL_LOG_CTE, query
 from sparkq.sources.views import call_log, read
 
@@ -72,6 +74,45 @@ def notify_parse(spark, sf_dir):
     return notifications(spark, sf_dir)
 
 
+# Payloads that a lenient reader takes for others; {{u}} is a user.
+STRICT_PAYLOADS = """SELECT event_id, user_id, replace(CASE event_id % 11
+    WHEN 0 THEN '{{"user_id":"U"}} junk'
+    WHEN 1 THEN '{{''user_id'':''U''}}'
+    WHEN 2 THEN '{{"user_id":"U","x":NaN}}'
+    WHEN 3 THEN '{{"user_id":"U"}}{{"user_id":"other"}}'
+    WHEN 4 THEN '{{"user_id":"first","user_id":"U"}}'
+    WHEN 5 THEN '{{"x":{{"a":1,"a":2}},"session_id":"U"}}'
+    WHEN 6 THEN '{{"user_id":"U"}},{{"user_id":"other"}}'
+    WHEN 7 THEN '{{"user_id":"U"}}],["x"'
+    WHEN 8 THEN '{{"user_id":"U","user_id":7}}'
+    WHEN 9 THEN '{{"rows_affected":3,"rows_affected":4,"user_id":"U"}}'
+    ELSE ' {{"a":1,"a":2,"user_id":"U"}} ' END, 'U', concat('u-', user_id)) AS payload
+  FROM {events}"""
+
+
+@query(
+    f"""WITH p AS ({STRICT_PAYLOADS.format(events="events")})
+       SELECT event_id, CASE WHEN event_id % 11 IN (4, 9, 10) THEN concat('u-', user_id) END AS user_id,
+              CASE WHEN event_id % 11 = 5 THEN concat('u-', user_id) END AS session_id,
+              CAST(CASE WHEN event_id % 11 = 9 THEN 4 WHEN event_id % 11 IN (4, 5, 8, 10) THEN 1 END AS BIGINT) AS n_rows,
+              CASE WHEN event_id % 11 IN (4, 9, 10) THEN concat('u-', user_id)
+                   WHEN event_id % 11 = 8 THEN '7' END AS inlined
+       FROM p"""
+)
+def strict_json(spark, sf_dir):
+    """Notifications, row counts and inlined members of payloads that are no JSON, or
+    have repeated members."""
+    payloads = spark.sql(STRICT_PAYLOADS, events=read(spark, sf_dir, "events")).select("event_id", "payload")
+    parsed = changes.parse_notifications(payloads)
+    return parsed.select(
+        "event_id",
+        "user_id",
+        "session_id",
+        row_count_hint("payload").alias("n_rows"),
+        F.try_variant_get(inline_json("payload"), "$.user_id", "string").alias("inlined"),
+    )
+
+
 @query(
     f"""WITH {NOTIFICATIONS_CTE},
        subs AS (SELECT DISTINCT concat('u-', user_id) AS user_id, event_type AS topic FROM events)
@@ -183,7 +224,47 @@ def missing_requests(spark, sf_dir):
 def reuse_outcomes(spark, sf_dir):
     calls = fingerprinted(spark, sf_dir)
     wanted = calls.where(F.col("started_at") >= F.lit("2024-01-10").cast("timestamp_ntz"))
-    return reuse.reuse_outcomes(wanted, _stored(calls))
+    # Within the batch results do not expire.
+    return reuse.reuse_outcomes(wanted, _stored(calls), ttl_seconds=0)
+
+
+# A third of all calls ask for the same.
+_ASKED = "CASE WHEN request_id % 3 = 0 THEN 'hot' ELSE concat(backend, '/', k % 10) END"
+
+
+@query(
+    f"""WITH RECURSIVE {CALL_LOG_CTE}, asked AS (SELECT *, {_ASKED} AS fingerprint FROM call_log),
+       puts AS (SELECT fingerprint, max(started_at) AS t FROM asked
+                WHERE started_at < TIMESTAMP '2024-01-04' AND status = 'success' GROUP BY fingerprint),
+       log AS (SELECT * FROM asked WHERE started_at >= TIMESTAMP '2024-01-04'),
+       writes AS (
+         SELECT fingerprint, t FROM puts
+         UNION ALL
+         SELECT fingerprint, min(started_at) FROM log
+         WHERE status = 'success' AND fingerprint NOT IN (SELECT fingerprint FROM puts) GROUP BY fingerprint
+         UNION ALL
+         SELECT fingerprint, t FROM (
+           SELECT w.fingerprint, (SELECT min(l.started_at) FROM log l WHERE l.fingerprint = w.fingerprint
+               AND l.status = 'success' AND l.started_at > w.t + INTERVAL 6 HOUR) AS t FROM writes w) AS n
+         WHERE t IS NOT NULL),
+       judged AS (SELECT l.request_id, l.started_at, l.status, max(w.t) AS last
+                  FROM log l LEFT JOIN writes w ON w.fingerprint = l.fingerprint AND w.t <= l.started_at
+                  GROUP BY l.request_id, l.started_at, l.status)
+       SELECT request_id, CASE WHEN last <> started_at AND last >= started_at - INTERVAL 6 HOUR THEN 'hit' ELSE 'miss' END AS outcome,
+              coalesce(last = started_at, false) AS written,
+              CASE WHEN last >= started_at - INTERVAL 6 HOUR THEN last END AS stored_at
+       FROM judged"""
+)
+def reuse_within_ttl(spark, sf_dir):
+    """The call log against a store filled by its first days, results living six hours."""
+    calls = call_log(spark, sf_dir).withColumn("fingerprint", F.expr(_ASKED))
+    start = F.lit("2024-01-04").cast("timestamp_ntz")
+    ok = F.col("status") == "success"
+    stored = calls.where(ok & (F.col("started_at") < start)).groupBy("fingerprint").agg(F.max("started_at").alias("computed_at"))
+    replayed = reuse.reuse_within_ttl(
+        calls.where(F.col("started_at") >= start), ok, "started_at", ["request_id"], 6 * 3600, stored
+    )
+    return replayed.select("request_id", "outcome", "written", "stored_at")
 
 
 # Each backend has a watch whose cursor changes with the week.
@@ -238,6 +319,34 @@ def answered_requests(spark, sf_dir):
     return answered.select("request_id", "body", "outcome")
 
 
+@query(
+    f"""WITH {_PRINTED},
+       wanted AS (SELECT * FROM printed WHERE started_at >= TIMESTAMP '2024-01-10')
+       SELECT request_id, CASE WHEN fresh.fingerprint IS NULL THEN concat('computed/', backend, '/', k % 10)
+                               ELSE concat('stored/', substr(w.fingerprint, 1, 8)) END AS body,
+              CASE WHEN fresh.fingerprint IS NULL THEN k % 10 > 7 ELSE substr(w.fingerprint, 1, 1) < '8' END AS truncated,
+              CASE WHEN fresh.fingerprint IS NULL THEN 'miss' ELSE 'hit' END AS outcome
+       FROM wanted w LEFT JOIN fresh ON fresh.fingerprint = w.fingerprint"""
+)
+def answered_with_flag(spark, sf_dir):
+    """Stored bodies differ from computed ones, and each keeps the flag it was stored with.
+
+    The requests carry a map, as session variables are one."""
+    calls = fingerprinted(spark, sf_dir).withColumn("vars", F.create_map(F.lit("driver"), F.col("driver")))
+    fresh = _stored(calls).select("fingerprint").distinct()
+    fresh = fresh.withColumn("body", F.concat(F.lit("stored/"), F.substring("fingerprint", 1, 8))).withColumn(
+        "truncated", F.substring("fingerprint", 1, 1) < "8"
+    )
+
+    def compute(missing):
+        body = F.concat(F.lit("computed/"), "backend", F.lit("/"), (F.col("k") % 10).cast("string"))
+        return missing.select("fingerprint", body.alias("body"), (F.col("k") % 10 > 7).alias("truncated"))
+
+    wanted = calls.where(F.col("started_at") >= F.lit("2024-01-10").cast("timestamp_ntz"))
+    answered, _ = reuse.answer_requests(wanted, fresh, compute, stored_with=["truncated"])
+    return answered.select("request_id", "body", "truncated", "outcome")
+
+
 DAY_MS = 86_400_000
 WAITS_CTE = """triggers AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'signup'),
   checks AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),

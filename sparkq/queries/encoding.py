@@ -12,7 +12,7 @@ from sparkq.functions.encode import (
     zoned_timestamp_text,
 )
 from sparkq.functions.intervals import interval_iso8601
-from sparkq.functions.schema import schema_rows, schema_table
+from sparkq.functions.schema import output_schemas, schema_rows, schema_table
 from sparkq.queries.registry import query
 from sparkq.sources.views import read
 
@@ -227,3 +227,37 @@ def row_json_sqlite(spark, sf_dir):
     events = spark.sql(PROFILED, events=read(spark, sf_dir, "events")).drop("ts")
     rows = events.withColumn("quarter", F.col("quarter").cast("double"))
     return row_to_json(rows, "sqlite", keep=["event_id"])
+
+
+_ROW = (
+    '{"type": "object", "additionalProperties": false, "required": [%s], "properties": '
+    '{"k": {"type": "integer"}, "v": {"type": %s}}}'
+)
+_OUTPUT = f"""SELECT t, n_null, CASE WHEN n_null = 0 THEN '{_ROW % ('"k", "v"', '"number"')}'
+                              ELSE '{_ROW % ('"k"', '["number", "null"]')}' END AS r FROM profile"""
+
+
+@query(
+    f"""WITH profile AS (
+         SELECT 'customer' AS t, count(*) FILTER (c_acctbal < 0) AS n_null FROM customer
+         UNION ALL SELECT 'orders', 0),
+       shapes AS ({_OUTPUT})
+       SELECT t AS table_name, 'single' AS row_mode, r AS schema FROM shapes
+       UNION ALL SELECT t, 'many', concat('{{"type": "array", "items": ', r, '}}') FROM shapes
+       UNION ALL SELECT t, 'scalar', '{{"type": "integer"}}' FROM shapes
+       UNION ALL SELECT t, 'affected_rows', concat('{{"type": "object", "properties": {{"rows_affected": ',
+         '{{"type": "integer", "minimum": 0}}}}, "required": ["rows_affected"]}}') FROM shapes
+       UNION ALL SELECT t, 'stream', concat('{{"type": "object", "additionalProperties": false, "required": ',
+         '["rows", "next_cursor", "truncated"], "properties": {{"rows": {{"type": "array", "items": ', r,
+         '}}, "next_cursor": {{"type": ["string", "null"]}}, "truncated": {{"type": "boolean"}}}}}}') FROM shapes
+       UNION ALL SELECT t, m, NULL FROM shapes, (VALUES ('resource_contents'), ('result_sets')) AS none(m)"""
+)
+def output_schema_modes(spark, sf_dir):
+    """Output schemas in all row modes; negative balances count as null."""
+    balance = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("v")
+    return output_schemas(
+        {
+            "customer": read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), balance),
+            "orders": read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v")),
+        }
+    )

@@ -1,20 +1,18 @@
 """Pages, manifests, signed cursors and listings."""
 
 import hashlib
-from functools import reduce
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkq.functions.cursors import decode_cursor, encode_cursor
 from sparkq.operators.execute import ListQuery, execute, list_page
 from sparkq.operators.paging import (
     StreamSpec,
+    all_pages,
     keyset_page,
     offset_page,
     page_manifest,
     resource_listing,
-    stream_page,
 )
 from sparkq.operators.params import QuerySpec
 from sparkq.queries.registry import query
@@ -184,25 +182,15 @@ def _paged(name, nullable):
         name=name,
     )
     def run(spark, sf_dir):
-        """The events page by page to the end, each page resumed with the token before."""
+        """The events page by page to the end, with the key that each page's token holds."""
         events = spark.sql(f"SELECT {key} AS k, event_id FROM {{e}}", e=read(spark, sf_dir, "events"))
         spec = StreamSpec("events", ("k", "event_id"), SECRET)
-        size, token, pages = events.count() // 3 + 1, None, []
-        while True:
-            page = stream_page(spec, events, token, size)
-            token = page.next_cursor
-            if token is None:
-                break
-            decoded = decode_cursor(F.lit(token), SECRET)
-            pages.append(
-                page.rows.select(
-                    F.lit(len(pages)).alias("page"), "k", "event_id",
-                    F.lit(page.truncated).alias("truncated"),
-                    F.variant_get(F.get(decoded["k"], F.lit(1)), "$", "bigint").alias("next_event_id"),
-                )
-            )
-        empty = events.limit(0).selectExpr("0 AS page", "k", "event_id", "false AS truncated", "0L AS next_event_id")
-        return reduce(DataFrame.unionByName, pages, empty)
+        pages = all_pages(events, spec, events.count() // 3 + 1)
+        decoded = decode_cursor(F.col("next_cursor"), SECRET)
+        return pages.select(
+            F.col("page").cast("int").alias("page"), "k", "event_id", F.lit(False).alias("truncated"),
+            F.variant_get(F.get(decoded["k"], F.lit(1)), "$", "bigint").alias("next_event_id"),
+        )
 
     return run
 

@@ -18,6 +18,7 @@ from sparkq.operators.params import (
     run_query,
     sweep_totals,
 )
+from sparkq.operators.sweeps import sweep_extremes, sweep_rows
 from sparkq.queries.registry import query
 from sparkq.sources.sqltext import spec_from_file
 from sparkq.sources.views import read, register_views
@@ -208,6 +209,126 @@ def param_sweep_times(spark, sf_dir):
     return found.select("param_id", "event_id", "value")
 
 
+# Half hours before every signup; whole days as dates, and odd bounds as fractions.
+_SPANS = """SELECT event_id AS param_id, ts - INTERVAL 30 MINUTE AS since, ts AS until FROM events
+            WHERE event_type = 'signup'"""
+
+
+@query(
+    f"""WITH p AS ({_SPANS})
+       SELECT param_id, min(value) AS least, max(value) AS most, max(ts) AS latest, min(event_type) AS first_type
+       FROM p LEFT JOIN events ON ts >= since AND ts < until GROUP BY param_id"""
+)
+def param_sweep_extremes(spark, sf_dir):
+    """Least and greatest values in the half hour before every signup."""
+    events = read(spark, sf_dir, "events")
+    found = sweep_extremes(
+        events,
+        spark.sql(_SPANS.replace("FROM events", "FROM {events}"), events=events),
+        between=("ts", "since", "until"),
+        minima={"least": F.col("value"), "first_type": F.col("event_type")},
+        maxima={"most": F.col("value"), "latest": F.col("ts")},
+    )
+    return found.select("param_id", "least", "most", "latest", "first_type")
+
+
+@query(
+    """WITH p AS (SELECT o_orderkey AS param_id, o_custkey, o_totalprice / 2 AS low FROM orders),
+       met AS (SELECT param_id, p.o_custkey, max(o.o_totalprice) AS most, min(o.o_orderdate) AS earliest
+               FROM p JOIN orders o ON o.o_custkey = p.o_custkey AND o.o_totalprice > low
+                    AND o.o_totalprice < 2 * low GROUP BY param_id, p.o_custkey)
+       SELECT p.param_id, most, earliest FROM p LEFT JOIN met USING (param_id)"""
+)
+def param_sweep_keyed_extremes(spark, sf_dir):
+    """Among orders of the same customer, those over half and below the whole of each price."""
+    orders = read(spark, sf_dir, "orders")
+    params = orders.select(
+        F.col("o_orderkey").alias("param_id"),
+        F.col("o_custkey").alias("customer"),
+        (F.col("o_totalprice") / 2).alias("low"),
+        (F.col("o_totalprice") / 2 * 2).alias("high"),
+    )
+    found = sweep_extremes(
+        orders.select("o_custkey", "o_totalprice", "o_orderdate"),
+        params,
+        between=("o_totalprice", "low", "high"),
+        equal={"o_custkey": "customer"},
+        low_open=True,
+        minima={"earliest": F.col("o_orderdate")},
+        maxima={"most": F.col("o_totalprice")},
+    )
+    return found.select("param_id", "most", "earliest")
+
+
+@query(
+    f"""WITH p AS ({_SPANS}),
+       met AS (SELECT param_id, event_id, value, row_number() OVER (PARTITION BY param_id ORDER BY ts, event_id) AS row_no,
+                      count(*) OVER (PARTITION BY param_id) > 5 AS truncated
+               FROM p JOIN events ON ts >= since AND ts < until)
+       SELECT p.param_id, coalesce(row_no, 0) AS row_no, coalesce(truncated, false) AS truncated, event_id, value
+       FROM p LEFT JOIN met USING (param_id) WHERE coalesce(row_no, 0) <= 5"""
+)
+def param_sweep_capped_rows(spark, sf_dir):
+    """The first five events of the half hour before every signup, and whether there were more."""
+    events = read(spark, sf_dir, "events")
+    params = spark.sql(_SPANS.replace("FROM events", "FROM {events}"), events=events)
+    found = sweep_rows(
+        events.select("event_id", "ts", "value"), params, between=("ts", "since", "until"), order=["event_id"], max_rows=5
+    )
+    return found.select("param_id", "row_no", "truncated", "event_id", "value")
+
+
+@query(
+    f"""WITH p AS ({_SPANS}),
+       met AS (SELECT param_id, event_id, value, event_type, row_number() OVER (PARTITION BY param_id ORDER BY ts, event_id) AS rn
+               FROM p JOIN events ON ts >= since AND ts < until)
+       SELECT 'single' AS mode, p.param_id, event_id, value FROM p LEFT JOIN met ON met.param_id = p.param_id AND rn = 1
+       UNION ALL
+       SELECT 'scalar', p.param_id, event_id, NULL FROM p LEFT JOIN met ON met.param_id = p.param_id AND rn = 1"""
+)
+def param_sweep_first_rows(spark, sf_dir):
+    """The first event of the half hour before every signup, as a row and as a scalar."""
+    events = read(spark, sf_dir, "events")
+    params = spark.sql(_SPANS.replace("FROM events", "FROM {events}"), events=events)
+    rows, of = events.select("event_id", "ts", "value"), {"between": ("ts", "since", "until"), "order": ["event_id"]}
+    single = sweep_rows(rows, params, row_mode="single", **of)
+    scalar = sweep_rows(rows, params, row_mode="scalar", **of)
+    return single.select(F.lit("single").alias("mode"), "param_id", "event_id", "value").unionByName(
+        scalar.select(F.lit("scalar").alias("mode"), "param_id", F.col("value").alias("event_id")), allowMissingColumns=True
+    )
+
+
+@query(
+    """WITH p AS (SELECT s_suppkey AS param_id, s_suppkey + 0.5 AS low, s_suppkey * 1.5 + 10.25 AS high,
+                         DATE '2024-01-01' + CAST(s_suppkey % 30 AS INTEGER) AS day FROM supplier)
+       SELECT param_id, (SELECT count(*) FROM events WHERE user_id >= low AND user_id < high) AS users,
+              (SELECT count(*) FROM events WHERE ts >= day AND ts < day + INTERVAL 12 HOUR) AS mornings,
+              (SELECT count(*) FROM events WHERE CAST(ts AS DATE) >= day + INTERVAL 12 HOUR
+                                             AND CAST(ts AS DATE) < day + INTERVAL 60 HOUR) AS days
+       FROM p"""
+)
+def param_sweep_mixed_types(spark, sf_dir):
+    """Fractions as bounds of whole numbers, days of instants, and instants of days."""
+    events = read(spark, sf_dir, "events").select("user_id", "ts", F.col("ts").cast("date").alias("day"))
+    supplier = F.col("param_id")
+    params = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("param_id"))
+    start = F.date_add(F.lit("2024-01-01").cast("date"), (supplier % 30).cast("int"))
+
+    def hours(n):
+        return start.cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(n))
+
+    asked = (
+        ("users", "user_id", supplier + F.lit(0.5), supplier * F.lit(1.5) + 10.25),
+        ("mornings", "ts", start, hours(12)),
+        ("days", "day", hours(12), hours(60)),
+    )
+    out = params
+    for name, column, low, high in asked:
+        ranges = params.withColumns({"low": low, "high": high})
+        out = out.join(sweep_totals(events, ranges, between=(column, "low", "high"), count=name).select("param_id", name), "param_id")
+    return out
+
+
 @query(
     """WITH names AS (SELECT DISTINCT c_name AS value FROM customer),
        prefixes AS (SELECT DISTINCT substr(s_name, 1, 1) AS p FROM supplier
@@ -226,6 +347,25 @@ def prefix_sweep_customers(spark, sf_dir):
     return complete_prefixes(customers, "c_name", prefixes, max_results=20)
 
 
+_WORDS = r"[A-Za-z]+"
+
+
+@query(
+    rf"""WITH words AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{_WORDS}'))) AS value FROM documents),
+       prefixes AS (SELECT DISTINCT substr(value, 1, n) AS p FROM words, (VALUES (0), (1), (2)) AS l(n)),
+       ranked AS (SELECT p AS prefix, value, row_number() OVER (PARTITION BY p ORDER BY value) AS rn
+                  FROM prefixes JOIN words ON starts_with(value, p))
+       SELECT prefix, value FROM ranked WHERE rn <= 1200"""
+)
+def prefix_sweep_words(spark, sf_dir):
+    """Completions of every short prefix, the empty one too, over all words of all documents."""
+    words = read(spark, sf_dir, "documents").select(
+        F.explode(F.regexp_extract_all("text", F.lit(_WORDS), 0)).alias("word")
+    ).select(F.lower("word").alias("word"))
+    prefixes = words.select(F.explode(F.array(*[F.substring("word", 1, n) for n in (0, 1, 2)])).alias("prefix"))
+    return complete_prefixes(words, "word", prefixes, max_results=1200)
+
+
 @query(
     """SELECT s_suppkey, s_name, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' AND s_acctbal > 1000"""

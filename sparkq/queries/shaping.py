@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sparkq.operators.execute import execute
 from sparkq.operators.params import QuerySpec, run_query
+from sparkq.operators.procedures import Procedures
 from sparkq.operators.shape import (
     first_per_key,
     resource_contents,
@@ -103,6 +104,37 @@ def result_sets_budget(spark, sf_dir):
     return result_sets(sets, max_rows=1000).rows()
 
 
+def _overview(spark, sf_dir, region, floor):
+    """Statements of a procedure: its nations, what nobody has, suppliers and customers."""
+    nations = read(spark, sf_dir, "nation").where(F.col("n_regionkey") == region)
+    yield nations.select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name")), ["k"]
+    yield nations.where("n_nationkey < 0").select(F.col("n_nationkey").alias("k"), F.lit("nobody").alias("name")), ["k"]
+    for table, key, at, name, balance in (
+        ("supplier", "s_suppkey", "s_nationkey", "s_name", "s_acctbal"),
+        ("customer", "c_custkey", "c_nationkey", "c_name", "c_acctbal"),
+    ):
+        rows = read(spark, sf_dir, table).where(F.col(balance) >= floor).join(nations, F.col(at) == F.col("n_nationkey"), "left_semi")
+        yield rows.select(F.col(key).alias("k"), F.col(name).alias("name")), ["k"]
+
+
+@query(
+    """WITH here AS (SELECT * FROM nation WHERE n_regionkey = 2),
+       sets AS (SELECT 0 AS set_no, n_nationkey AS k, n_name AS name FROM here
+         UNION ALL SELECT 1, s_suppkey, s_name FROM supplier JOIN here ON s_nationkey = n_nationkey WHERE s_acctbal >= 0
+         UNION ALL SELECT 2, c_custkey, c_name FROM customer JOIN here ON c_nationkey = n_nationkey WHERE c_acctbal >= 0),
+       numbered AS (SELECT *, row_number() OVER (ORDER BY set_no, k) AS rn, count(*) OVER () > 100 AS truncated FROM sets)
+       SELECT set_no, k, name, truncated FROM numbered WHERE rn <= 100"""
+)
+def procedure_result_sets(spark, sf_dir):
+    """A procedure of four statements, one of them without rows, under one budget."""
+    procedures = Procedures()
+    procedures.define(
+        "overview", ["region", "floor"], lambda spark, region, floor: _overview(spark, sf_dir, region, floor)
+    )
+    answer = procedures.call(spark, "overview", {"region": 2, "floor": 0}, max_rows=100)
+    return answer.rows().withColumn("truncated", F.lit(answer.truncated))
+
+
 PAYLOADS = """SELECT event_id,
   CASE event_id % 8
     WHEN 0 THEN concat('[', event_id, ',', user_id, ',', props, ']')

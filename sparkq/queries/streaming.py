@@ -7,18 +7,27 @@ from sparkq.plans.staging import new_path
 from sparkq.queries import changes as batch
 from sparkq.queries.registry import CALL_LOG_CTE, query
 from sparkq.sources.views import CALL_LOG_SQL, read
-from sparkq.streaming.changes import apply_once_batches, change_stream, notifications
+from sparkq.streaming.changes import (
+    apply_once_batches,
+    apply_once_stream,
+    change_stream,
+    fan_out_stream,
+    notification_source,
+    notifications,
+)
 from sparkq.streaming.waiting import await_stream, failure_streak_stream, rollup_stream
 
 
 BATCHES = 3
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, closing: bool = False) -> DataFrame:
     """``events`` as a file stream of several micro-batches in time order.
 
     The table is cut at quantiles of its time and written one part after the other;
-    the source takes one file at a time, oldest first, so state crosses batches.
+    the source takes one file at a time, oldest first, so state crosses batches. With
+    ``closing`` two rows of another type follow, weeks later, which move the watermark
+    past all that the events leave open.
     """
     events = read(spark, sf_dir, "events")
     folder = new_path(spark, "event-files")
@@ -29,6 +38,14 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = sum((F.when(at > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
     for i in range(BATCHES):
         events.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+    for weeks in (1, 2) if closing else ():
+        last = events.agg(F.max("ts").alias("ts")).select(
+            *[
+                (F.col("ts") + F.make_dt_interval(days=F.lit(7 * weeks)) if f.name == "ts" else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in events.schema
+            ]
+        )
+        last.withColumn("event_type", F.lit("closing")).coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
@@ -87,13 +104,15 @@ def failure_streaks_stream(spark, sf_dir):
 )
 def await_stream_signups(spark, sf_dir):
     """Waits whose answer is final at the end of the input."""
-    events = event_stream(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
+    events = event_stream(spark, sf_dir, closing=True).select("event_id", "user_id", "ts", "event_type")
     out = new_path(spark, "waits")
     await_stream(
         events, F.col("event_type") == "signup", F.col("event_type") == "purchase",
         ["user_id"], "event_id", "ts", out, new_path(spark, "work"), timeout_ms=batch.DAY_MS,
     ).awaitTermination()
-    return spark.read.parquet(out).select(
+    newest = read(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+    final = F.coalesce("matched_at", F.expr("ts + INTERVAL 1 DAY")) < newest
+    return spark.read.parquet(out).where(final).select(
         "event_id", "user_id", "matched_id", "matched_at", "outcome", "wait_ms"
     )
 
@@ -119,6 +138,45 @@ def idempotent_events_stream(spark, sf_dir):
     return spark.read.parquet(out).select("event_id", "idempotency_scope_hash", "idempotency_key")
 
 
+@query(
+    """SELECT DISTINCT CAST(user_id AS VARCHAR) AS idempotency_scope_hash,
+              concat(event_type, ':', regexp_extract(props, '([0-9]+)', 1)) AS idempotency_key FROM events"""
+)
+def idempotent_keys_stream(spark, sf_dir):
+    """Keys that pass Spark's own de-duplication, repeats being dropped for a year."""
+    requests = event_stream(spark, sf_dir).select(
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("user_id").cast("string").alias("idempotency_scope_hash"),
+        F.concat("event_type", F.lit(":"), F.regexp_extract("props", "([0-9]+)", 1)).alias("idempotency_key"),
+    )
+    applied = drain(apply_once_stream(requests, "ts", "365 days"), "keys")
+    return applied.select("idempotency_scope_hash", "idempotency_key")
+
+
+@query(
+    f"""WITH {batch.NOTIFICATIONS_CTE},
+       subs AS (SELECT DISTINCT concat('u-', user_id) AS user_id, event_type AS topic FROM events)
+       SELECT 'user' AS audience, payload, n.user_id, n.session_id, topic
+       FROM n JOIN p ON p.event_id = n.event_id JOIN subs ON n.user_id = subs.user_id
+       UNION ALL SELECT 'all', payload, user_id, session_id, NULL
+       FROM n JOIN p ON p.event_id = n.event_id WHERE user_id IS NULL"""
+)
+def notify_fan_out_stream(spark, sf_dir):
+    """Payloads arriving as lines of text files, delivered to the subscribers of their time."""
+    events = read(spark, sf_dir, "events")
+    folder, out = new_path(spark, "payload-files"), new_path(spark, "deliveries")
+    payloads = spark.sql(batch.PAYLOADS, events=events).select("payload")
+    payloads.repartition(BATCHES).write.text(folder)
+    user = F.concat(F.lit("u-"), F.col("user_id").cast("string")).alias("user_id")
+
+    def subscriptions():
+        return read(spark, sf_dir, "events").select(user, F.col("event_type").alias("topic")).distinct()
+
+    arriving = notifications(notification_source(spark, folder))
+    fan_out_stream(arriving, subscriptions, out, new_path(spark, "work")).awaitTermination()
+    return spark.read.parquet(out).select("audience", "payload", "user_id", "session_id", "topic")
+
+
 @query(
     f"""WITH {CALL_LOG_CTE}, mark AS (SELECT max(ts) - INTERVAL 1 HOUR AS newest FROM events),
        w AS (SELECT *, time_bucket(INTERVAL 1 DAY, started_at) AS window_start FROM call_log)

@@ -1,22 +1,15 @@
-"""Change detection, notifications and idempotent apply on streams.
-
-Rows of a key are taken in the order of ``order`` inside a micro-batch, and
-micro-batches in arrival order.
-"""
+"""Change detection, notifications and idempotent apply on streams."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkq.operators.changes import parse_notifications
-from sparkq.operators.params import apply_once
-from sparkq.plans.ordered import HOT_GROUP_ROWS, Running, scan_in_order
-from sparkq.streaming.fold import Keep, fold_batches
+from sparkq.operators.changes import fan_out, parse_notifications
+from sparkq.streaming.state import first_of_key, keyed, write_parquet
 
 
 def notifications(stream: DataFrame, payload: str = "payload") -> DataFrame:
@@ -24,6 +17,36 @@ def notifications(stream: DataFrame, payload: str = "payload") -> DataFrame:
     return parse_notifications(stream, payload)
 
 
+def changed_samples(
+    samples: DataFrame,
+    watch: str,
+    order: Sequence[str],
+    cursor: str,
+    error: str | None = None,
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """Change events of a stream of samples, with ``previous`` and ``version``.
+
+    State is the last cursor and the version of each watch. With ``ttl_ms`` a watch whose
+    state has not changed for so long starts anew, with a silent baseline.
+    """
+    good = samples if error is None else samples.where(F.col(error).isNull())
+    kind = samples.schema[cursor].dataType.simpleString()
+
+    def step(state, row):
+        now = row[cursor]
+        if state is None:
+            return (now, 0), None
+        previous, version = state
+        if previous is None or previous == now:
+            return (now, version), None
+        return (now, version + 1), (previous, version + 1)
+
+    return keyed(
+        good, [watch], order, step, f"cursor {kind}, version bigint", f"previous {kind}, version bigint", ttl_ms
+    )
+
+
 def change_stream(
     samples: DataFrame,
     watch: str,
@@ -33,52 +56,13 @@ def change_stream(
     work: str,
     error: str | None = None,
     trigger: Mapping[str, object] | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
+    ttl_ms: int | None = None,
 ) -> StreamingQuery:
-    """Change events with ``previous`` and ``version``, as samples arrive.
+    """Append change events to the table ``out`` as samples arrive.
 
     The last cursor and version of every watch survive restarts in ``work``.
     """
-    kinds = {f.name: f.dataType.simpleString() for f in samples.schema}
-    columns = samples.columns
-
-    def step(batch: DataFrame, state: dict[str, DataFrame], keep: Keep):
-        good = batch if error is None else batch.where(F.col(error).isNull())
-        missing = [c for c in columns if c not in (watch, cursor)]
-        last = state["last"].select(
-            watch,
-            F.col(cursor),
-            *[F.lit(None).cast(kinds[c]).alias(c) for c in missing],
-            F.lit(0).alias("__new"),
-            F.col("version").alias("__start"),
-        )
-        rows = last.unionByName(
-            good.withColumn("__new", F.lit(1)).withColumn("__start", F.lit(0).cast("bigint"))
-        )
-        changed = F.col("__prev").isNotNull() & ~F.col("__prev").eqNullSafe(F.col(cursor))
-        scanned = keep(
-            scan_in_order(
-                rows,
-                [watch],
-                ["__new", *order],
-                [
-                    Running("__prev", "prev", F.col(cursor)),
-                    Running("version", "sum", F.when(changed, 1).otherwise(0) + F.col("__start")),
-                ],
-                hot_rows,
-            )
-        )
-        events = scanned.where((F.col("__new") == 1) & changed).select(
-            *columns, F.col("__prev").alias("previous"), "version"
-        )
-        newest = F.struct("__new", *order)
-        after = scanned.groupBy(watch).agg(
-            F.max_by(cursor, newest).alias(cursor), F.max("version").alias("version")
-        )
-        return events, {"last": after}
-
-    schema = f"`{watch}` {kinds[watch]}, `{cursor}` {kinds[cursor]}, version bigint"
-    return fold_batches(samples, step, {"last": schema}, out, work, trigger)
+    return write_parquet(changed_samples(samples, watch, order, cursor, error, ttl_ms), out, work, trigger)
 
 
 def apply_once_stream(
@@ -104,25 +88,37 @@ def apply_once_batches(
     scope: str = "idempotency_scope_hash",
     key: str = "idempotency_key",
     trigger: Mapping[str, object] | None = None,
+    ttl_ms: int | None = None,
 ) -> StreamingQuery:
     """The first request in ``order`` of each (scope, key) in the micro-batch it first
-    comes in; later repeats are dropped for good.
+    comes in; later repeats are dropped for good, or for ``ttl_ms``.
+
+    The ledger is a mark in the state store for each (scope, key). A micro-batch looks up
+    the keys it meets, whatever has been applied before, and reads no output.
+    """
+    return write_parquet(first_of_key(requests, [scope, key], order, ttl_ms), out, work, trigger)
+
+
+def fan_out_stream(
+    notifications: DataFrame,
+    subscriptions: Callable[[], DataFrame],
+    out: str,
+    work: str,
+    user: str = "user_id",
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Deliveries of a stream of parsed notifications, as ``fan_out`` makes them.
 
-    What was written below ``out`` is itself the ledger, so nothing is kept beside it.
-    A micro-batch that is run again overwrites its own folder and does not read it.
+    ``subscriptions`` is called for each micro-batch, so that the subscribers are those
+    of its time; broadcasts take no part in the join. A micro-batch that is run again
+    overwrites its own folder of ``out``.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        ledger = None
-        if batch_id > 0:
-            stored = T.StructType([*requests.schema.fields, T.StructField("batch_id", T.LongType())])
-            ledger = spark.read.schema(stored).parquet(out).where(F.col("batch_id") < batch_id)
-        first = apply_once(batch, list(order), ledger, scope, key)
-        first.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        fan_out(batch, subscriptions(), user).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (
-        requests.writeStream.foreachBatch(run)
+        notifications.writeStream.foreachBatch(run)
         .option("checkpointLocation", f"{work}/checkpoint")
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -8,15 +8,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sparkq.functions.common import div
 from sparkq.operators.telemetry import call_rollup
 from sparkq.operators.waiting import (
+    DEFAULT_POLL_MS,
     DEFAULT_TIMEOUT_MS,
     FAILURE_THRESHOLD,
     FAILURES,
-    await_match,
+    check_await,
+    check_threshold,
 )
-from sparkq.plans.ordered import HOT_GROUP_ROWS, Running, scan_in_order
-from sparkq.streaming.fold import Keep, fold_batches
+from sparkq.streaming.state import keyed, use_state_store, write_parquet
+
+
+def awaited(
+    events: DataFrame,
+    is_trigger: Column,
+    is_check: Column,
+    key: Sequence[str],
+    event_id: str,
+    event_ts: str,
+    delay_ms: int = 0,
+    timeout_ms: int = DEFAULT_TIMEOUT_MS,
+) -> DataFrame:
+    """``await_match`` over a stream of triggers and checks, as a stream.
+
+    Triggers and checks meet in a left outer join over their key and the interval of the
+    wait; the first match of a trigger is a minimum by its own time. Spark keeps both
+    sides until the watermark (the newest event time minus ``delay_ms``, older arrivals
+    are dropped) is past the interval, and writes a wait when the deadline of all
+    triggers of its instant is behind it. Triggers that agree in all columns are one.
+    """
+    check_await(min(timeout_ms, DEFAULT_POLL_MS), timeout_ms)
+    at = F.col(event_ts).cast("timestamp")
+
+    def side(condition: Column, time: str) -> DataFrame:
+        marked = events.withColumn(time, at).withWatermark(time, f"{delay_ms} milliseconds")
+        # The time in the filter keeps it behind the watermark, which follows all events.
+        return marked.where(F.when(condition, F.col(time)).isNotNull())
+
+    triggers = side(is_trigger, "__t")
+    checks = side(is_check, "__c").select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)],
+        F.col(event_id).alias("__id"),
+        F.col(event_ts).alias("__at"),
+        "__c",
+    )
+    on = (F.col("__c") >= F.col("__t")) & (F.col("__c") <= F.col("__t") + F.expr(f"INTERVAL {int(timeout_ms)} MILLISECONDS"))
+    for i, k in enumerate(key):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    hit = F.when(
+        F.col("__c").isNotNull(),
+        F.struct(F.unix_micros("__c").alias("us"), F.col("__id").alias("id"), F.col("__at").alias("at")),
+    )
+    first = triggers.join(checks, on, "left").select(*events.columns, "__t", hit.alias("__hit"))
+    first = first.groupBy(*events.columns, "__t").agg(F.min("__hit").alias("__hit"))
+    matched = F.col("__hit").isNotNull()
+    waited = div(F.col("__hit.us") - F.unix_micros("__t"), 1000)
+    return first.select(
+        *events.columns,
+        F.col("__hit.id").alias("matched_id"),
+        F.col("__hit.at").alias("matched_at"),
+        F.when(matched, "matched").otherwise("timeout").alias("outcome"),
+        F.when(matched, waited).otherwise(F.lit(timeout_ms)).cast("bigint").alias("wait_ms"),
+    )
 
 
 def await_stream(
@@ -31,47 +86,29 @@ def await_stream(
     delay_ms: int = 0,
     timeout_ms: int = DEFAULT_TIMEOUT_MS,
     trigger: Mapping[str, object] | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> StreamingQuery:
-    """``await_match`` over one stream of triggers and checks.
+    """Append the waits of ``awaited`` to the table ``out``."""
+    use_state_store(events.sparkSession)
+    waits = awaited(events, is_trigger, is_check, key, event_id, event_ts, delay_ms, timeout_ms)
+    return write_parquet(waits, out, work, trigger)
 
-    The watermark is the newest event time minus ``delay_ms``; older arrivals are
-    dropped. A wait is written once its answer cannot change: the matching check,
-    or the deadline, is behind the watermark. State is the open triggers and the
-    checks ahead of the watermark.
-    """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema)
-
-    def step(batch: DataFrame, state: dict[str, DataFrame], keep: Keep):
-        at = F.unix_micros(F.col(event_ts).cast("timestamp"))
-        earliest = F.lit(-(2**62))
-        old = F.coalesce(state["mark"].agg(F.max("us")).scalar(), earliest)
-        reached = batch.agg(F.max(at) - delay_ms * 1000).scalar()
-        mark = keep(
-            batch.sparkSession.range(1).select(
-                old.alias("old"), F.greatest(old, F.coalesce(reached, earliest)).alias("us")
-            )
-        )
-        newest = mark.select("us").scalar()
-        fresh = batch.where(at >= mark.select("old").scalar())
-        triggers = state["open"].unionByName(fresh.where(is_trigger))
-        checks = state["ahead"].unionByName(fresh.where(is_check))
-        waits = await_match(
-            triggers, checks, key, event_id, event_ts, event_id, event_ts,
-            timeout_ms=timeout_ms, poll_ms=min(1000, timeout_ms), hot_rows=hot_rows,
-        )
-        decided_at = F.when(
-            F.col("outcome") == "matched", F.unix_micros(F.col("matched_at").cast("timestamp"))
-        ).otherwise(at + timeout_ms * 1000)
-        waits = keep(waits.withColumn("__final", decided_at < newest))
-        return waits.where("__final").drop("__final"), {
-            "open": waits.where("NOT __final").select(*events.columns),
-            "ahead": checks.where(at >= newest),
-            "mark": mark.select("us"),
-        }
-
-    tables = {"open": schema, "ahead": schema, "mark": "us bigint"}
-    return fold_batches(events, step, tables, out, work, trigger)
+
+def streaks(
+    calls: DataFrame,
+    service: str,
+    order: Sequence[str],
+    status: str = "status",
+    threshold: int = FAILURE_THRESHOLD,
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """Calls of a stream with ``streak`` and ``tripped``; state is a service's streak."""
+    failures = FAILURES
+
+    def step(state, row):
+        streak = (state[0] if state else 0) + 1 if row[status] in failures else 0
+        return (streak,), (streak, streak == threshold)
+
+    return keyed(calls, [service], order, step, "streak bigint", "streak bigint, tripped boolean", ttl_ms)
 
 
 def failure_streak_stream(
@@ -83,46 +120,11 @@ def failure_streak_stream(
     status: str = "status",
     threshold: int = FAILURE_THRESHOLD,
     trigger: Mapping[str, object] | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
+    ttl_ms: int | None = None,
 ) -> StreamingQuery:
     """Calls with ``streak`` and ``tripped``; streaks run on across micro-batches."""
-    kinds = {f.name: f.dataType.simpleString() for f in calls.schema}
-    columns = calls.columns
-
-    def step(batch: DataFrame, state: dict[str, DataFrame], keep: Keep):
-        carried = state["streaks"].select(
-            service,
-            *[F.lit(None).cast(kinds[c]).alias(c) for c in columns if c != service],
-            F.lit(0).alias("__new"),
-            F.col("streak").alias("__start"),
-        )
-        rows = carried.unionByName(
-            batch.withColumn("__new", F.lit(1)).withColumn("__start", F.lit(0).cast("bigint"))
-        )
-        failed = F.col(status).isin(*FAILURES)
-        succeeded = (F.col("__new") == 1) & ~F.coalesce(failed, F.lit(False))
-        scanned = scan_in_order(
-            rows,
-            [service],
-            ["__new", *order],
-            [
-                Running("__sum", "sum", F.when(failed, 1).otherwise(0) + F.col("__start")),
-                Running("__reset", "max", F.when(succeeded, F.col("__sum"))),
-            ],
-            hot_rows,
-        )
-        streak = F.col("__sum") - F.coalesce(F.col("__reset"), F.lit(0))
-        scanned = keep(scanned.withColumn("streak", streak))
-        result = scanned.where("__new = 1").select(
-            *columns, "streak", (F.col("streak") == threshold).alias("tripped")
-        )
-        after = scanned.groupBy(service).agg(
-            F.max_by("streak", F.struct("__new", *order)).alias("streak")
-        )
-        return result, {"streaks": after}
-
-    schema = f"`{service}` {kinds[service]}, streak bigint"
-    return fold_batches(calls, step, {"streaks": schema}, out, work, trigger)
+    check_threshold(threshold)
+    return write_parquet(streaks(calls, service, order, status, threshold, ttl_ms), out, work, trigger)
 
 
 def rollup_stream(

@@ -7,7 +7,14 @@ import pytest
 from sparkq.operators import changes as C
 from sparkq.operators import reuse as R
 from sparkq.plans import staging
-from sparkq.streaming.changes import apply_once_stream, change_stream, notification_source, notifications
+from sparkq.streaming.changes import (
+    apply_once_batches,
+    apply_once_stream,
+    change_stream,
+    fan_out_stream,
+    notification_source,
+    notifications,
+)
 
 T0 = datetime(2024, 1, 1)
 
@@ -75,22 +82,69 @@ def write_parts(spark, data, schema, path, parts):
     return spark.readStream.schema(chunk.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 20])
-def test_stream_equals_batch(spark, rows, tmp_path, hot_rows):
+def test_stream_equals_batch(spark, rows, tmp_path):
     data = sample_rows(120)
     events, _ = brute(data)
     stream = write_parts(spark, data, SCHEMA, str(tmp_path / "in"), 3)
-    options = dict(error="error", hot_rows=hot_rows)
     staged_before = staged_folders(spark)
     query = change_stream(
-        stream, "watch", ["ts", "id"], "cursor", str(tmp_path / "out"), str(tmp_path / "work"), **options
+        stream, "watch", ["ts", "id"], "cursor", str(tmp_path / "out"), str(tmp_path / "work"), error="error"
     )
     query.awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
-    assert got.select("batch_id").distinct().count() == 3
-    assert staged_folders(spark) == staged_before  # micro-batches clean up
-    assert not (tmp_path / "work" / "state" / "0").exists()
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == 3
+    assert staged_folders(spark) == staged_before  # micro-batches stage nothing
+    assert rows(got.select("id", "previous", "version")) == sorted(events, key=repr)
+
+
+def test_change_stream_goes_on_after_a_restart(spark, rows, tmp_path):
+    """Cursor and version are those of before the restart; state holds a row for each watch."""
+    data = sample_rows(120)
+    events, _ = brute(data)
+    for part in (data[:50], data[50:]):
+        stream = write_parts(spark, part, SCHEMA, str(tmp_path / "in"), 2)
+        query = change_stream(
+            stream, "watch", ["ts", "id"], "cursor", str(tmp_path / "out"), str(tmp_path / "work"), error="error"
+        )
+        query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
     assert rows(got.select("id", "previous", "version")) == sorted(events, key=repr)
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == len({w for _, w, *_ in data})
+
+
+def test_fan_out_follows_the_subscriptions(spark, rows, tmp_path):
+    (tmp_path / "in").mkdir()
+    lists = [[("a", "s1")], [("a", "s2"), ("b", "s3")]]
+    for i, subs in enumerate(lists):
+        (tmp_path / "in" / f"{i}.txt").write_text('{"user_id":"a"}\nall of you\n{"user_id":"b"}\n')
+        query = fan_out_stream(
+            notifications(notification_source(spark, str(tmp_path / "in"))),
+            lambda subs=subs: spark.createDataFrame(subs, "user_id string, sub string"),
+            str(tmp_path / "out"), str(tmp_path / "work"),
+        )
+        query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).select("batch_id", "audience", "user_id", "sub")
+    assert rows(got) == sorted(
+        [(0, "all", None, None), (0, "user", "a", "s1"), (1, "all", None, None), (1, "user", "a", "s2"), (1, "user", "b", "s3")],
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_first_request_of_a_key_wins_across_batches(spark, rows, tmp_path, parts):
+    data = [(i, (i * 7) % 60, "s" if i % 5 else None, f"k{i % 11}") for i in range(60)]
+    stream = write_parts(spark, data, "id int, seq int, idempotency_scope_hash string, idempotency_key string", str(tmp_path / "in"), parts)
+    query = apply_once_batches(stream, ["seq"], str(tmp_path / "out"), str(tmp_path / "work"))
+    query.awaitTermination()
+    size, first = 60 // parts, {}
+    for p in range(parts):
+        batch = sorted(data[p * size : (p + 1) * size], key=lambda r: r[1])
+        for i, _, scope, key in batch:
+            first.setdefault((scope, key), (i, size * p))
+        # Within a micro-batch the least order wins, and an earlier micro-batch before a later one.
+    got = spark.read.parquet(str(tmp_path / "out")).select("id")
+    assert rows(got) == sorted(((i,) for i, _ in first.values()), key=repr)
 
 
 PAYLOADS = {

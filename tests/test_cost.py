@@ -125,3 +125,9 @@ def test_audit_fields(spec):
         "db.cost.source": "0.01", "db.cost.max_per_call": "0.5",
     }
     assert "db.cost.max_per_call" not in got["flat"]
+
+
+def test_amounts_between_white_space_of_any_kind(spark):
+    texts = {"\t1.5\n": 1.5, "\u2003 2 \u3000": 2.0, "\x0b3\x0c\r": 3.0, "1 2": None, "\t": None, "\x1c1": None, "4": 4.0}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.a for r in df.select("t", M.parse_amount("t").alias("a")).collect()} == texts

@@ -177,3 +177,24 @@ def test_listing_counts_skipped_rows(spark):
 def test_cursor_value_text(spark):
     df = spark.createDataFrame([(5, "x", True, None)], "i int, s string, b boolean, n string")
     assert list(df.select(*[cursor_value_text(c) for c in df.columns]).first()) == ["5", "x", "true", ""]
+
+
+@pytest.mark.parametrize("size", [1, 7, 40, 1000])
+def test_all_pages_equal_paging_to_the_end(spark, size):
+    data = spark.createDataFrame([(None if i % 4 == 0 else i % 3, i) for i in range(40)], "k int, u int").repartition(5)
+    spec = G.StreamSpec("b", ("k", "u"), "secret")
+    token, number, want = None, 0, []
+    while size > 1:
+        page = G.stream_page(spec, data, token, size)
+        token = page.next_cursor
+        if token is None:
+            break
+        want += [(number, r.k, r.u, token) for r in page.rows.collect()]
+        number += 1
+    got = sorted(map(tuple, G.all_pages(data, spec, size).collect()), key=repr)
+    if size == 1:
+        assert len({r[0] for r in got}) == len({r[3] for r in got}) == 40
+    else:
+        assert got == sorted(want, key=repr)
+    with pytest.raises(ValueError):
+        G.all_pages(data, spec, 0)

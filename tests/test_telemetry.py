@@ -148,3 +148,48 @@ def test_polling_keeps_going_after_an_error(spark, tmp_path):
     assert "connection lost" in got[1]["error"] and got[0]["error"] is None
     with pytest.raises(ValueError):
         poll_samples(spark, "w", tracking, "x", "y", 50)
+
+
+def test_running_at_each_instant_matches_a_loop(spark):
+    """Calls of very different lengths, some open, some empty, at many instants."""
+    rng = random.Random(8)
+    calls = [
+        (i, T0 + timedelta(milliseconds=rng.randrange(10_000_000)), rng.choice([0, 1, 999, 60_000, 5_000_000, None]))
+        for i in range(200)
+    ] + [(900, None, 5)]
+    instants = [T0 + timedelta(seconds=37 * i) for i in range(300)]
+    got = T.running_at_each(
+        spark.createDataFrame(calls, "id int, started_at timestamp_ntz, duration_ms bigint"),
+        spark.createDataFrame([(t,) for t in [*instants, instants[0]]], "at timestamp_ntz"),
+    )
+    assert got.columns == ["at", "id", "started_at", "duration_ms", "age_ms"]
+    want = {
+        (t, i, (t - s) // timedelta(milliseconds=1))
+        for t in instants
+        for i, s, d in calls
+        if s is not None and s <= t and (d is None or s + timedelta(milliseconds=d) > t)
+    }
+    rows = [(r["at"], r.id, r.age_ms) for r in got.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_sketches_merge_within_the_stated_error(spark):
+    import bisect
+
+    rng = random.Random(3)
+    rows = [(i % 48, int(rng.expovariate(1 / 500)), None if i % 3 else i) for i in range(40_000)] + [(99, None, None)]
+    calls = spark.createDataFrame(rows, "hour int, duration_ms bigint, n_rows bigint").repartition(7)
+    hourly = T.call_sketches(calls, ["hour"])
+    assert hourly.columns == ["hour", "calls", "duration_ms_sketch", "n_rows_sketch"]
+    daily = T.merge_sketches(hourly.withColumn("day", (F.col("hour") / 24).cast("int")), ["day"])
+    quantiles = [0.01, 0.25, 0.5, 0.9, 0.99]
+    got = T.sketch_quantiles(daily, quantiles).collect()
+    for r in got:
+        position = 1 if r.measure == "duration_ms" else 2
+        values = sorted(x[position] for x in rows if x[0] // 24 == r.day and x[position] is not None)
+        low, high = (f(values, r.value) / len(values) for f in (bisect.bisect_left, bisect.bisect_right))
+        assert low - T.RANK_ERROR <= r["quantile"] <= high + T.RANK_ERROR, r
+    assert len(got) == 2 * 2 * len(quantiles)
+    assert {r.day: r.calls for r in daily.collect()} == {0: 20_008, 1: 19_992, 4: 1}

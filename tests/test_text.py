@@ -79,3 +79,31 @@ def test_identifiers(spark):
     columns = {"id": True, "1a": True, "a.b": False, "": False, "a-b": False}
     df = spark.createDataFrame([(k,) for k in columns], "n string")
     assert {r[0]: r[1] for r in df.select("n", X.is_safe_column_name("n")).collect()} == columns
+
+
+REDACTED = {
+    "postgres://u:p@h": ("postgres://u:***@h", "postgres://u:***@h"),
+    "xpostgres://u:p@h a://b:c@d://e:f@g": ("xpostgres://u:***@h a://b:***@d://e:f@g", "xpostgres://u:***@h a://b:***@d://e:***@g"),
+    "(a://u:p@h)": ("(a://u:p@h)", "(a://u:***@h)"),
+    "9a://u:p@h 9://u:p@h +a://u:p@h": ("9a://u:p@h 9://u:p@h +a://u:p@h", "9a://u:***@h 9://u:p@h +a://u:***@h"),
+    "://u:p@h a://u@h a://u:@h a://:p@h a://u:p@q@h": (
+        "://u:p@h a://u@h a://u:@h a://:***@h a://u:***@h", "://u:p@h a://u@h a://u:@h a://:***@h a://u:***@h"
+    ),
+    "a://u:p/x@h b\u2003c://u:p@h": ("a://u:p/x@h b c://u:***@h", "a://u:p/x@h b c://u:***@h"),
+    "a://b://u:p@h a://u:p#@h": ("a://b://u:p@h a://u:p#@h", "a://b://u:***@h a://u:p#@h"),
+}
+
+
+def test_redaction_at_cuts(spark):
+    df = spark.createDataFrame([(t,) for t in REDACTED], "t string")
+    got = df.select("t", X.redact_credentials("t").alias("w"), X.redact_credentials("t", anywhere=True).alias("a")).collect()
+    assert {r.t: (r.w, r.a) for r in got} == REDACTED
+
+
+def test_redaction_of_long_runs_is_linear(spark):
+    """Runs of scheme characters without an end in sight, many cuts, long passwords."""
+    texts = ["a" * 400_000 + "!://u:p@h", "a://" * 50_000, "a://u:" + "p" * 400_000, " a://u:p@h" * 20_000, "x" * 300_000 + "://u:" + "p" * 300_000 + "@h"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.t for r in df.select("i", X.redact_credentials("t", anywhere=True).alias("t")).collect()}
+    assert got[0] == texts[0] and got[1] == texts[1] and got[2] == texts[2]
+    assert got[3] == (" a://u:***@h" * 20_000).strip() and got[4].endswith("://u:***@h")

@@ -75,3 +75,21 @@ def test_closed_and_left_transactions(spark, tables):
 def test_only_written_tables_come_out(spark, tables):
     _, written = run_group(spark, {**tables, "other": tables["t"]}, [Step("d", "delete", "t", where="n = 1")])
     assert set(written) == {"t"} and ns(written["t"]) == [2, 3]
+
+
+def test_every_write_runs_once(spark):
+    """Counts are of the rows kept, and later steps do not run earlier ones again."""
+    runs = spark.sparkContext.accumulator(0)
+    source = spark.sparkContext.parallelize([(i, "x") for i in range(10)], 2).map(lambda r: (runs.add(1), r)[1])
+    tables = {"t": spark.createDataFrame([(1, "a")], "n int, s string"), "new": spark.createDataFrame(source, "n int, s string")}
+    with Transaction(spark, tables) as tx:
+        assert tx.insert("t", tx.query("SELECT n, s FROM new WHERE rand() < 0.5 OR n = 0")) == tx.read("t").count() - 1
+        before = runs.value
+        assert before == 10
+        n = tx.read("t").count()
+        assert tx.update("t", {"s": "'y'"}, "s = 'x'") == n - 1
+        assert tx.delete("t", "n >= 0 AND s = 'y'") == n - 1
+        assert tx.insert("t", tx.query("SELECT 1 AS n, 'z' AS s WHERE false")) == 0
+        assert tx.delete("t", "false") == 0
+        assert sorted(map(tuple, tx.commit()["t"].collect())) == [(1, "a")]
+    assert runs.value == before

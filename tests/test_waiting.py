@@ -102,18 +102,20 @@ def test_await_limits():
             W.check_await(poll, timeout)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 15])
-def test_await_stream_equals_batch(spark, rows, tmp_path, hot_rows):
+def test_await_stream_equals_batch(spark, rows, tmp_path):
     data = event_rows(120)
+    data = [(i, None if key == "k0" else key, *rest) for i, key, *rest in data]
     closing = [(900 + i, "end", T0 + timedelta(hours=1), "other") for i in range(30)]
     stream = write_parts(spark, data + closing, SCHEMA, str(tmp_path / "in"), 4)
     query = await_stream(
         stream, F.col("kind") == "go", F.col("kind") == "done", ["key"], "id", "ts",
-        str(tmp_path / "out"), str(tmp_path / "work"), delay_ms=2000, timeout_ms=4000, hot_rows=hot_rows,
+        str(tmp_path / "out"), str(tmp_path / "work"), delay_ms=2000, timeout_ms=4000,
     )
     query.awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert rows(got.select("id", "matched_id", "outcome")) == brute(data, timedelta(seconds=4))
+    # What the watermark has closed is gone from the state.
+    assert sum(s["numRowsTotal"] for s in query.lastProgress["stateOperators"]) < 40
 
 
 STATUSES = ["success", "timeout", "transport_error", "timeout", "invalid_spec"]
@@ -153,6 +155,37 @@ def test_streak_stream_equals_batch(spark, rows, tmp_path):
     assert rows(got.select("seq", "streak", "tripped")) == streaks(data)
 
 
+def test_a_missing_status_resets_the_streak(spark, rows, tmp_path):
+    data = [(i, "b", s) for i, s in enumerate(["timeout", "timeout", None, "timeout", "timeout", "timeout", "success"])]
+    want = [(0, 1, False), (1, 2, False), (2, 0, False), (3, 1, False), (4, 2, False), (5, 3, True), (6, 0, False)]
+    df = spark.createDataFrame(data, CALLS)
+    got = W.failure_streaks(df, ["backend"], ["seq"], threshold=3)
+    assert sorted(map(tuple, got.select("seq", "streak", "tripped").collect())) == want
+    stream = write_parts(spark, data, CALLS, str(tmp_path / "in"), 2)
+    failure_streak_stream(
+        stream, "backend", ["seq"], str(tmp_path / "out"), str(tmp_path / "work"), threshold=3
+    ).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(tuple, got.select("seq", "streak", "tripped").collect())) == want
+
+
+@pytest.mark.parametrize("quantise", [False, True])
+def test_triggers_without_or_with_equal_ids(spark, rows, quantise):
+    """Every trigger has an answer of its own, in both operators."""
+    triggers = [(None, "k", T0), (1, "k", T0), (1, "k", T0 + timedelta(seconds=20)), (2, None, T0)]
+    checks = [(10, "k", T0 + timedelta(seconds=2), "done"), (11, "k", T0 + timedelta(seconds=21), "done"), (12, None, T0, "done")]
+    left = spark.createDataFrame(triggers, "id int, key string, ts timestamp_ntz")
+    right = spark.createDataFrame(checks, SCHEMA)
+    args = (left, right, ["key"], "id", "ts", "id", "ts")
+    match = W.await_match(*args, "kind = 'done'", timeout_ms=5000, quantise=quantise)
+    # At its ticks the later trigger sees the state that is left of the first match.
+    want = sorted([(None, 10), (1, 10), (1, 10 if quantise else 11), (2, 12)], key=repr)
+    assert rows(match.select("id", "matched_id")) == want
+    if not quantise:
+        both = W.await_condition(*args, "check.kind = 'done' AND check.ts >= trigger.ts", timeout_ms=5000)
+        assert rows(both.select("id", "matched_id")) == want
+
+
 def test_threshold_must_be_positive(spark):
     with pytest.raises(ValueError):
         W.failure_streaks(spark.createDataFrame([], CALLS), ["backend"], ["seq"], threshold=0)
