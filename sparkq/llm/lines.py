@@ -55,15 +55,17 @@ def normalise(unit: str) -> bytes:
     return b" ".join(words).strip(_EDGE.encode())
 
 
-UNITS = "doc_id long, key long, start int, end int, n_words int, digest binary"
+UNITS = "doc_id {}, key long, start int, end int, n_words int, digest binary"
 
 
 def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per unit of at least MIN_WORDS words; ``key`` is a hash of the text."""
+    """One row per unit of at least MIN_WORDS words; ``key`` is a hash of the text. Ids
+    keep their type."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
+            kind = batch.column(0).type
             out: list[list] = [[], [], [], [], [], []]
             for i, key, whole in zip(*(c.to_pylist() for c in batch.columns)):
                 for start, end in cut(whole):
@@ -73,18 +75,19 @@ def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
                         for column, value in zip(out, (i, key, start, end, n, digest(unit))):
                             column.append(value)
                 if len(out[0]) > 200_000:
-                    yield _batch(out)
+                    yield _batch(out, kind)
                     out = [[], [], [], [], [], []]
-            yield _batch(out)
+            yield _batch(out, kind)
 
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("text")
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("text")
     )
-    return rows.where("text IS NOT NULL").mapInArrow(find, UNITS)
+    schema = UNITS.format(rows.schema["doc_id"].dataType.simpleString())
+    return rows.where("text IS NOT NULL").mapInArrow(find, schema)
 
 
-def _batch(out: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+def _batch(out: list[list], id_kind: pa.DataType) -> pa.RecordBatch:
+    kinds = (id_kind, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
     names = ("doc_id", "key", "start", "end", "n_words", "digest")
     return pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], list(names))
 
@@ -147,24 +150,27 @@ def without(text: Column, spans: Column) -> Column:
     return rest(text, spans)
 
 
-def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with repeated units taken out of ``text``, and ``removed`` (start, end
-    of each in the original text; null if there are none). A column ``removed`` is
-    replaced. Documents stay, also those of which nothing is left."""
+def remove_repeated(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = "removed"
+) -> DataFrame:
+    """``docs`` with repeated units taken out of ``text``, and in the column ``removed``
+    (start, end of each in the original text; null if there are none). A column of that
+    name is replaced; with None there is no such column and all others stay. Documents
+    stay, also those of which nothing is left."""
     spans = (
         repeated_units(docs, doc_id, text)
         .select("doc_id", "key", F.struct("start", "end").alias("span"))
         # Repeated rows of one document find the same units.
         .dropDuplicates(["doc_id", "key", "span"])
-        .groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__of"))
+        .groupBy(F.col("doc_id").alias("id"), F.col("key").alias("of"))
         # The units of one document: bounded by its text.
-        .agg(F.array_sort(F.collect_list("span")).alias("__spans"))
+        .agg(F.array_sort(F.collect_list("span")).alias("spans"))
     )
-    names = [c for c in docs.columns if c != "removed"]
-    keyed = docs.select(*names, F.xxhash64(text).alias("__key"))
-    on = keyed[doc_id].cast("long").eqNullSafe(spans["__id"]) & (keyed["__key"] == spans["__of"])
+    # The row travels as one value, so that none of its names meets those used here.
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(text).alias("key"))
+    on = F.col("row")[doc_id].eqNullSafe(F.col("id")) & (F.col("key") == F.col("of"))
     joined = keyed.join(spans, on, "left")
-    return joined.select(
-        *[without(F.col(text), F.col("__spans")).alias(c) if c == text else F.col(c) for c in names],
-        F.col("__spans").alias("removed"),
-    )
+    rest = without(F.col("row")[text], F.col("spans"))
+    names = [c for c in docs.columns if c != removed]
+    kept = [(rest if c == text else F.col("row")[c]).alias(c) for c in names]
+    return joined.select(*kept, *([F.col("spans").alias(removed)] if removed else []))

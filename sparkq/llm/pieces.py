@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,8 +108,30 @@ def uniforms(keys: np.ndarray, positions: np.ndarray) -> np.ndarray:
 WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 # Characters of text whose words are sampled together, and characters of distinct
 # words whose lattices a worker keeps.
-SLICE = 500_000
-MEMO = 1_000_000
+SLICE = 200_000
+MEMO = 400_000
+
+
+class Arcs:
+    """Arrays that grow in place, so that no second copy of all arcs is made."""
+
+    KINDS = (np.int64, np.int32, np.int32)
+
+    def __init__(self):
+        self.size = 0
+        self.held = [np.empty(1 << 16, kind) for kind in self.KINDS]
+
+    def add(self, *arrays: np.ndarray) -> None:
+        end = self.size + len(arrays[0])
+        if end > len(self.held[0]):
+            for one in self.held:
+                one.resize(end + end // 2, refcheck=False)
+        for one, more in zip(self.held, arrays):
+            one[self.size : end] = more
+        self.size = end
+
+    def views(self) -> tuple[np.ndarray, ...]:
+        return tuple(one[: self.size] for one in self.held)
 
 
 class Lattices:
@@ -121,10 +144,9 @@ class Lattices:
     def clear(self) -> None:
         self.base: dict[str, int] = {}
         self.nodes = 0
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.arcs = Arcs()
         self.spelled: dict[str, int] = {}
         self.unknown: list[tuple[int, ...]] = []
-        self.joined: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def add(self, words: Sequence[str]) -> None:
         """Filter the lattices of new words, all positions of one number together."""
@@ -193,8 +215,7 @@ class Lattices:
         rising = np.rint(share * (1 << BITS)).astype(np.int64)
         rising[group + size - 1] = 1 << BITS
         rising += end << BITS
-        self.parts.append((rising, start.astype(np.int32), piece.astype(np.int32)))
-        self.joined = None
+        self.arcs.add(rising, start, piece)
 
     def spell(self, char: str) -> int:
         """The byte id of a character without piece, or for several bytes a number
@@ -213,12 +234,6 @@ class Lattices:
         extra = [BYTE_WEIGHT * len(ids) for ids in self.unknown]
         return np.concatenate([self.pieces.weights, extra])[piece]
 
-    def arcs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if self.joined is None:
-            self.joined = tuple(np.concatenate(x) for x in zip(*self.parts))
-            self.parts = [self.joined]
-        return self.joined
-
 
 class Encoder:
     def __init__(self, pieces: Pieces, seed: int, theta: float):
@@ -240,7 +255,7 @@ class Encoder:
             lattices.clear()
             new = list(dict.fromkeys(flat))
         lattices.add(new)
-        rising, start, piece = lattices.arcs()
+        rising, start, piece = lattices.arcs.views()
         sizes = np.fromiter(map(len, flat), np.int64, len(flat))
         base = np.fromiter(map(lattices.base.__getitem__, flat), np.int64, len(flat))
         row = np.repeat(np.arange(len(texts)), [len(one) for one in words])
@@ -286,21 +301,27 @@ class Encoder:
         return out, counts
 
     def batch(self, texts: Sequence[str | None], keys: np.ndarray) -> pa.Array:
-        ids, counts, at = [], [], 0
+        """Ids of all texts as one array of lists."""
+        parts = [ids for _, ids in self.slices(pa.array(texts, pa.string()), keys)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+    def slices(self, texts: pa.Array, keys: np.ndarray) -> Iterator[tuple[list[str | None], pa.Array]]:
+        """The texts in slices of about ``SLICE`` characters, with the ids of each."""
+        sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
+        at = 0
         while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < SLICE):
-                size += len(texts[end] or "")
-                end += 1
-            got = self.encode([t or "" for t in texts[at:end]], keys[at:end])
-            ids.append(got[0].astype(np.int32))
-            counts.append(got[1])
+            before = sizes[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(sizes, before + SLICE, side="right")))
+            part = texts.slice(at, end - at).to_pylist()
+            ids, counts = self.encode([t or "" for t in part], keys[at:end])
+            offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+            missing = pa.array([t is None for t in part], pa.bool_())
+            yield part, pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)), mask=missing)
             at = end
-        counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-        offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
-        values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-        missing = pa.array([t is None for t in texts], pa.bool_())
-        return pa.ListArray.from_arrays(offsets, values, mask=missing)
+
+
+def _key_numbers(keys: pa.Array) -> np.ndarray:
+    return keys.to_numpy(zero_copy_only=False).view(np.uint64)
 
 
 def encode(
@@ -314,11 +335,42 @@ def encode(
     def sample(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         encoder = Encoder(shared.value, seed, theta)
         for texts, keys in batches:
-            yield encoder.batch(texts.to_pylist(), keys.to_numpy(zero_copy_only=False).view(np.uint64))
+            for _, ids in encoder.slices(texts, _key_numbers(keys)):
+                yield ids
+
+    return sample(text, F.xxhash64(key))
+
+
+def encode_checked(
+    spark: SparkSession, text: Column, key: Column, path: str, seed: int = 0, theta: float = 1.0
+) -> Column:
+    """``encode`` with the way back: a struct of ``ids`` and ``lossless``, whether decoding
+    gives back the text. One pass and one worker do both."""
+    shared = spark.sparkContext.broadcast(Pieces.load(path))
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("lossless", pa.bool_())])
+
+    @F.arrow_udf("struct<ids:array<int>,lossless:boolean>")
+    def sample(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        encoder = Encoder(shared.value, seed, theta)
+        for texts, keys in batches:
+            for part, ids in encoder.slices(texts, _key_numbers(keys)):
+                same = [a == b for a, b in zip(decoded(ids, shared.value.spelling), part)]
+                yield pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], fields=list(kind))
 
     return sample(text, F.xxhash64(key))
 
 
+def decoded(rows: pa.Array, spelling: Sequence[bytes]) -> Iterator[str | None]:
+    """The text of each list of ids."""
+    for one in rows:
+        if not one.is_valid:
+            yield None
+            continue
+        values = one.values.to_numpy(zero_copy_only=False).tolist()
+        text = b"".join([spelling[i] for i in values]).decode("utf-8", "replace")
+        yield text[1:] if text.startswith(" ") else text
+
+
 def decode(spark: SparkSession, ids: Column, path: str) -> Column:
     """The text of piece ids; exact for ids that ``encode`` made. Bytes that form no
     text (in ids from elsewhere) become replacement characters."""
@@ -326,16 +378,7 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        spelling = shared.value
         for rows in batches:
-            out = []
-            for one in rows:
-                if not one.is_valid:
-                    out.append(None)
-                    continue
-                values = one.values.to_numpy(zero_copy_only=False).tolist()
-                text = b"".join([spelling[i] for i in values]).decode("utf-8", "replace")
-                out.append(text[1:] if text.startswith(" ") else text)
-            yield pa.array(out, pa.string())
+            yield pa.array(decoded(rows, shared.value), pa.string())
 
     return read(ids)

@@ -41,12 +41,12 @@ from sparkq.sources.views import read
     ), p AS (
         SELECT d.doc_id, d.size, t.source_size, t.target, t.spans, floor(t.target + 0.5) AS goal,
                sum(d.size) OVER (PARTITION BY d.source ORDER BY d.hash, d.size
-                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS at
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS ahead
         FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
     ), r AS (
-        SELECT *, CAST(greatest(least(goal - at, size), 0) AS BIGINT) AS first_use,
-               CAST(greatest(least(goal - source_size - at, size), 0) AS BIGINT) AS second_use,
-               at / goal AS part,
+        SELECT *, CAST(greatest(least(goal - ahead, size), 0) AS BIGINT) AS first_use,
+               CAST(greatest(least(goal - source_size - ahead, size), 0) AS BIGINT) AS second_use,
+               ahead / goal AS part,
                spans[1] / list_sum(spans) AS one, (spans[1] + spans[2]) / list_sum(spans) AS two
         FROM p
     )

@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from sparkq.llm.common import join_unique
 from sparkq.plans.staging import stage
 
-SHINGLE = 3
+# Words of a shingle, and bits in which linked fingerprints may differ.
+SHINGLE, BITS = 3, 2
 # Hashes held at a time; longer texts are summed in slices.
 SLICE = 1 << 18
 
@@ -215,16 +216,19 @@ def code_for(n: int) -> Code:
     return TWO_GOLAY if n <= MANY else TWO_GOLAY_HAMMING
 
 
-# Fingerprints replicated at a time.
-CHUNK = 4096
+# Fingerprints replicated at a time, and by one task.
+CHUNK, TASK = 4096, 16_384
 
 
-def links(fingerprints: DataFrame, threshold: int = 2, code: Code | None = None) -> DataFrame:
+def links(fingerprints: DataFrame, threshold: int = BITS, code: Code | None = None) -> DataFrame:
     """Pairs (a, b), a < b, of the distinct values of column ``fp`` that differ in at
     most ``threshold`` bits. Nulls take no part."""
     distinct = stage(fingerprints.select("fp").dropna().distinct(), "fingerprints")
-    used = code or code_for(distinct.count())
+    n = distinct.count()
+    used = code or code_for(n)
     reach = used.radius + threshold
+    # Eight bytes a row here, but many times the rows behind it.
+    spread = distinct.repartition(-(-n // TASK) or 1)
 
     def at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,7 +245,7 @@ def links(fingerprints: DataFrame, threshold: int = 2, code: Code | None = None)
                 yield pa.record_batch([anchors.view(np.int64), part[at]], ["anchor", "b"])
 
     homes = distinct.mapInArrow(at_home, "anchor long, a long")
-    replicas = distinct.mapInArrow(replicated, "anchor long, b long")
+    replicas = spread.mapInArrow(replicated, "anchor long, b long")
     return (
         replicas.join(homes, "anchor")
         .where(
@@ -289,7 +293,7 @@ def connected(pairs: DataFrame) -> DataFrame:
             return labels
 
 
-def components(docs: DataFrame, threshold: int = 2, code: Code | None = None) -> DataFrame:
+def components(docs: DataFrame, threshold: int = BITS, code: Code | None = None) -> DataFrame:
     """Component of every row of ``docs`` (columns doc_id and fp, others are kept).
 
     Adds ``component_id``, the smallest doc_id of the component (null ids count for
@@ -322,7 +326,7 @@ def grouped(docs: DataFrame, roots: DataFrame) -> DataFrame:
     return join_unique(docs, stage(verdict, "components"), "fp", "__n")
 
 
-def near_duplicates(docs: DataFrame, threshold: int = 2, code: Code | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = BITS, code: Code | None = None) -> DataFrame:
     """doc_id, fp, key (hash of the text) and component_id of every row of ``docs``."""
     signed = docs.select(
         F.col("doc_id"), fingerprint(F.col("text")).alias("fp"), F.xxhash64("text").alias("key")

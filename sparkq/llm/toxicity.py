@@ -5,10 +5,11 @@ reported speech. Small transducers rewrite that tag sequence: the negation
 transducer marks hits in its scope as denied, the reported-speech transducer
 marks hits behind a reporting verb as quoted, the target transducer notes whom
 the clause speaks to, and the insult and threat transducer turns marked hits
-into the name of the matched clause. ``compose`` folds them into one machine, so
-a clause is read once. A document is scored by its matched clauses (how many of
-each name), never by isolated words: the weights of the clause names are fitted
-on labelled documents.
+into the name of the matched clause. Arcs have weights, and ``compose`` folds the
+machines into one whose weights add up, so a clause is read once and the weight of
+its way through the machine is its score. A document is scored by its matched
+clauses, never by isolated words: the weights are fitted on labelled documents and
+stand on the arcs that end a clause.
 
 The lexicon has a fixed part and a part learned from labels: words and word
 beginnings that mark labelled documents, picked by greedy covering.
@@ -128,8 +129,9 @@ def target_transducer() -> Transducer:
     )
 
 
-def clause_transducer() -> Transducer:
-    """Insults and threats: the strongest hit of a clause names the clause at its end.
+def clause_transducer(weights: Mapping[str, float]) -> Transducer:
+    """Insults and threats: the strongest hit of a clause names the clause at its end,
+    on an arc with the weight of that name.
 
     A threat needs a target; an unaimed threat word is no match. Weak hits (learned
     entries that also occur elsewhere) name a clause only if nothing else does.
@@ -147,7 +149,7 @@ def clause_transducer() -> Transducer:
                 name = "weak" if best == "weak" else ""
             else:
                 name = f"{best}_aimed" if aimed and best in HITS else best
-            arcs[best, end] = ("none", name, CLAUSES.get(name, 0.0))
+            arcs[best, end] = ("none", name, weights.get(name, 0.0))
     return Transducer("none", arcs)
 
 
@@ -166,11 +168,13 @@ NAMES = tuple(CLAUSES)
 INTERCEPT = -3.0
 # Counts above this are one: a document is not more toxic for being longer.
 MOST = 3
+# What the first, second and third clause of a name add of its weight.
+SHARES = tuple(math.log2(1 + n) - math.log2(n) for n in range(1, MOST + 1))
 
 
-def grammar() -> Transducer:
+def grammar(weights: Mapping[str, float] = CLAUSES) -> Transducer:
     machine = negation_transducer()
-    for nxt in (report_transducer(), target_transducer(), clause_transducer()):
+    for nxt in (report_transducer(), target_transducer(), clause_transducer(weights)):
         machine = compose(machine, nxt, TAGS)
     return machine
 
@@ -222,30 +226,32 @@ class Model:
     weights: tuple[float, ...] = tuple(CLAUSES.values())
     intercept: float = INTERCEPT
 
-    def score(self, counts: Sequence[int]) -> float:
-        z = self.intercept + sum(
-            w * math.log1p(min(c, MOST)) / math.log(2) for w, c in zip(self.weights, counts)
-        )
-        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
+    def machine(self) -> Transducer:
+        """The grammar with the fitted weights on its arcs."""
+        return grammar(dict(zip(NAMES, self.weights)))
+
+    def score(self, matched: float) -> float:
+        """0 to 1 for the weight of all matched clauses."""
+        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.intercept + matched))))
 
 
 class Reader:
-    """Clause counts of texts. Only clauses that hold a hit word are read word by word."""
+    """Matched clauses of texts. Only clauses that hold a hit word are read word by word."""
 
-    def __init__(self, lexicon: Lexicon):
+    def __init__(self, lexicon: Lexicon, machine: Transducer | None = None):
         self.lexicon = lexicon
-        self.machine = grammar()
+        self.machine = machine or grammar()
         self.finder = ahocorasick.Automaton()
         hits = [w for w, tag in lexicon.words.items() if tag in HITS]
         for entry in [*hits, *lexicon.beginnings, *lexicon.weak]:
             self.finder.add_word(entry, len(entry))
         self.finder.make_automaton()
 
-    def counts(self, text: str | None) -> tuple[int, ...]:
+    def matches(self, text: str | None) -> Iterator[tuple[str, float]]:
+        """Name and weight of each matched clause, in the order of the text."""
         if not text or not len(self.finder):
-            return (0,) * len(NAMES)
+            return
         low = text.lower()
-        found: Counter[str] = Counter()
         done = -1
         for last, size in self.finder.iter(low):
             first = last - size + 1
@@ -256,16 +262,36 @@ class Reader:
                 begin = end.end()
             stop = CLAUSE_END.search(low, last + 1)
             done = stop.start() if stop else len(low)
-            name = self.clause(low[begin:done])
+            name, weight = self.read(low[begin:done])
             if name:
-                found[name] += 1
+                yield name, weight
+
+    def counts(self, text: str | None) -> tuple[int, ...]:
+        found = Counter(name for name, _ in self.matches(text))
         return tuple(found[n] for n in NAMES)
 
-    def clause(self, clause: str) -> str:
-        state, tag = self.machine.start, self.lexicon.tag
+    def weight(self, text: str | None) -> float:
+        """Weights of the matched clauses; of clauses of one name the second and third
+        add less, and further ones nothing."""
+        seen: Counter[str] = Counter()
+        total = 0.0
+        for name, weight in self.matches(text):
+            if seen[name] < MOST:
+                total += weight * SHARES[seen[name]]
+            seen[name] += 1
+        return total
+
+    def read(self, clause: str) -> tuple[str, float]:
+        """What the machine makes of a clause: its name and the weights on the way."""
+        state, tag, total = self.machine.start, self.lexicon.tag, 0.0
         for word in WORD.findall(clause):
-            state = self.machine.step(state, tag(word))[0]
-        return self.machine.step(state, "end")[1]
+            state, _, weight = self.machine.step(state, tag(word))
+            total += weight
+        _, name, weight = self.machine.step(state, "end")
+        return name, total + weight
+
+    def clause(self, clause: str) -> str:
+        return self.read(clause)[0]
 
 
 def toxicity_score(model: Model, text: Column) -> Column:
@@ -273,16 +299,9 @@ def toxicity_score(model: Model, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        reader = Reader(model.lexicon)
-        known: dict[tuple[int, ...], float] = {}
+        reader = Reader(model.lexicon, model.machine())
         for texts in batches:
-            out = np.empty(len(texts))
-            for i, t in enumerate(texts):
-                c = reader.counts(t)
-                if c not in known:
-                    known[c] = model.score(c)
-                out[i] = known[c]
-            yield pd.Series(out)
+            yield pd.Series([model.score(reader.weight(t)) for t in texts], dtype=float)
 
     return score(text)
 
@@ -290,8 +309,6 @@ def toxicity_score(model: Model, text: Column) -> Column:
 # Bound of the training sample: labelled texts taken of each label.
 SAMPLE_PER_LABEL = 3000
 BEGINNINGS = range(4, 10)
-# Entries that take part in the covering: those in the most toxic texts.
-MOST_ENTRIES = 4000
 
 
 def _sample(texts: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
@@ -371,9 +388,7 @@ def fit(texts: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
             (F.col("n_toxic") >= support)
             & ((F.col("n_toxic") + 0.5) * (taken[0] + 1) > 5 * (F.col("n_other") + 0.5) * (taken[1] + 1))
         )
-        # Only the widest entries can win the covering below; the rest is noise.
-        .orderBy(F.col("n_other") - F.col("n_toxic"), "entry")
-        .limit(MOST_ENTRIES)
+        # Entries of the bounded sample that many of its texts share.
         .collect()
     )
     others = {r["entry"]: r["n_other"] for r in marks}

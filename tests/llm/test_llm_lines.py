@@ -80,3 +80,20 @@ def test_hot_passage_in_most_documents(spark):
     rows = [(i, f"a line all of them share here\nown words number {i} of this document") for i in range(3000)]
     got = repeated_units(documents(spark, rows))
     assert got.count() == 2999 and got.where("first_doc_id <> 0").isEmpty()
+
+
+def test_names_and_ids_of_the_caller(spark):
+    """Columns of any name pass unchanged; ids keep their type."""
+    rows = [(i, f"line of number {i} is its own\n{PASSAGE}") for i in ("b", "a", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    names = ["removed", "spans", "__spans", "__id", "__of", "__key", "id", "of", "key", "row"]
+    clashing = docs.select("*", *[F.lit(n).alias(n) for n in names])
+    clean = remove_repeated(clashing, removed=None)
+    assert clean.columns == clashing.columns
+    by_id = {r.doc_id: r for r in clean.collect()}
+    assert all(r[n] == n for r in by_id.values() for n in names)
+    assert PASSAGE in by_id[None].text and "small boat" not in by_id["a"].text + by_id["b"].text
+    found = repeated_units(docs).collect()
+    assert {(r.doc_id, r.first_doc_id) for r in found} == {("a", None), ("b", None)}
+    spans = remove_repeated(clashing).where("doc_id = 'a'").first()
+    assert [tuple(s) for s in spans.removed] == [(r.start, r.end) for r in sorted(found, key=lambda r: r.start) if r.doc_id == "a"]

@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sparkq.llm.q_toxicity import held_out, op1_toxicity
-from sparkq.llm.toxicity import Lexicon, Model, Reader, compose, fit, toxicity_score, Transducer
+from sparkq.llm.q_toxicity import held_out, model_of, op1_toxicity
+from sparkq.llm.toxicity import NAMES, Lexicon, Model, Reader, Transducer, compose, fit, grammar, toxicity_score
 
 READER = Reader(Lexicon.seed())
 
@@ -44,6 +44,66 @@ def test_compose_feeds_one_into_the_other():
     assert both.step(both.start, "a") == ((1, "y"), "c", 1.5)
 
 
+def four_machines(words, tags, weights):
+    """The four machines one after the other, each as a plain loop over the whole clause."""
+    hits = ("insult", "weak", "threat")
+    tagged = [tags(w) for w in words]
+    denied, since = [], 99
+    for tag in tagged:
+        denied.append(f"denied_{tag}" if tag in hits and since < 3 else tag)
+        since = 0 if tag == "negation" else since + 1
+    quoted, quoting = [], False
+    for tag in denied:
+        quoting = quoting or tag == "report"
+        plain = tag.removeprefix("denied_")
+        quoted.append(f"quoted_{plain}" if quoting and plain in hits else tag)
+    aimed = "target" in quoted
+    order = [f"{how}{hit}" for hit in ("weak", "threat", "insult") for how in ("quoted_", "denied_")]
+    order += ["weak", "threat", "insult"]
+    found = [t for t in quoted if t in order]
+    best = max(found, key=order.index, default="")
+    if not best or (best.endswith("threat") and not aimed) or (best.endswith("weak") and best != "weak"):
+        return "", 0.0
+    name = f"{best}_aimed" if aimed and best in ("insult", "threat") else best
+    return name, weights.get(name, 0.0)
+
+
+def plain_score(model, text):
+    """A document's score by splitting it into clauses and reading every one of them."""
+    import math
+    import re
+
+    weights, times, z = dict(zip(NAMES, model.weights)), {}, model.intercept
+    for clause in re.split(r"[.!?;\n]+", (text or "").lower()):
+        name, weight = four_machines(re.findall(r"[^\W\d_]+", clause), model.lexicon.tag, weights)
+        if name:
+            times[name] = times.get(name, 0) + 1
+    z += sum(weights[n] * math.log2(1 + min(c, 3)) for n, c in times.items())
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+
+def test_machine_equals_four_plain_loops():
+    import random
+
+    rng = random.Random(4)
+    vocabulary = "you idiot moron kill burn not never said wrote the house glorb flimsy, and".split()
+    lexicon = Lexicon.seed().learned(["glor"], ["=flimsy"])
+    weights = {name: 1.5 * i - 2 for i, name in enumerate(NAMES)}
+    reader = Reader(lexicon, grammar(weights))
+    for _ in range(4000):
+        words = rng.choices(vocabulary, k=rng.randrange(9))
+        clause = " ".join(words)
+        assert reader.read(clause) == four_machines([w.strip(",") for w in words], lexicon.tag, weights), clause
+
+
+def test_scores_equal_plain_ones_on_the_tables(spark, sf_dir):
+    model = model_of(spark, sf_dir)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
+    odd = docs.union(spark.createDataFrame([(None,), ("",), ("You idiot! " * 9,), ("she said you idiot\nnot an idiot",)], "text string"))
+    for text, score in odd.select("text", toxicity_score(model, F.col("text"))).collect():
+        assert score == pytest.approx(plain_score(model, text)), text
+
+
 def test_learned_entries_and_scores(spark):
     rows = [(i, f"word{i % 7} gruntlau{'xyz'[i % 3]} some text", 1) for i in range(40)]
     rows += [(100 + i, f"word{i % 7} some other text {i}", 0) for i in range(200)]
