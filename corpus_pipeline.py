@@ -13,23 +13,30 @@ from sparkq.llm.lines import remove_repeated
 from sparkq.llm.q_packing import pack_documents
 from sparkq.llm.q_toxicity import THRESHOLD, model_of
 from sparkq.llm.secrets import forest_of, redact
-from sparkq.llm.similar import similar_documents
-from sparkq.llm.simhash import keep_one
+from sparkq.llm.simhash import BITS, keep_one, near_duplicates
 from sparkq.llm.toxicity import toxicity_score
 from sparkq.plans.staging import stage
 from sparkq.sources.views import read
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold."""
+    """Documents that score below the threshold.
+
+    Null and empty texts have a score like any other and stay; repeated rows and other
+    columns pass unchanged.
+    """
     score = toxicity_score(model_of(spark, sf_dir), F.col("text"))
     return docs.where(score < THRESHOLD)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, Jaccard 0.8
-    or more), that of the smallest id."""
-    return keep_one(docs, similar_documents(docs))
+    """One document of each SimHash component (three-word shingles, at most two bits, as
+    in query 2), that of the smallest id.
+
+    Texts without words have one fingerprint, so one of them stays; null ids come last;
+    rows that agree in id and text leave one row. Other columns pass unchanged.
+    """
+    return keep_one(docs, near_duplicates(docs, BITS))
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -38,17 +45,29 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines and sentences an earlier one has."""
-    return measured(remove_repeated(docs).select(*docs.columns))
+    """All documents, without the lines and sentences an earlier one has.
+
+    Null and empty texts stay as they are, as do ids of any type; of rows that agree in
+    id and text the units are cut alike. Other columns pass unchanged, whatever their names.
+    """
+    return measured(remove_repeated(docs, removed=None))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked."""
+    """All documents, with secrets masked.
+
+    Null and empty texts stay as they are; repeated rows are masked alike; other columns
+    pass unchanged, whatever their names.
+    """
     return measured(redact(docs, forest_of(docs, "text", F.col("source"))))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-budget batches of all documents: one row per sequence."""
+    """Token-budget batches of all documents: one row per sequence.
+
+    Null and empty texts are sequences of no tokens; repeated rows are sequences of
+    their own; other columns are not kept.
+    """
     return pack_documents(spark, docs)
 
 
