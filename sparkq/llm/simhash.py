@@ -309,20 +309,14 @@ def grouped(docs: DataFrame, roots: DataFrame) -> DataFrame:
         docs.groupBy("fp").agg(F.min("doc_id").alias("__least"), F.count(F.lit(1)).alias("__n")),
         "fingerprint-ids",
     )
-    ids = ids.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "__least", "__n", F.coalesce("root", "fp").alias("__root")
-    )
-    ids = stage(ids, "fingerprint-ids")
-    linked = ids.where(F.col("fp") != F.col("__root")).select("__root").distinct()
-    # Only fingerprints of linked components need the smallest id of all.
-    least = (
-        ids.join(linked, "__root", "left_semi")
-        .groupBy("__root")
-        .agg(F.min("__least").alias("__all"))
-    )
-    verdict = ids.join(least, "__root", "left").select(
-        "fp", F.coalesce("__all", "__least").alias("component_id"), "__n"
-    )
+    ids = stage(ids.join(roots, F.col("fp") == F.col("node"), "left"), "fingerprint-ids")
+    # Fingerprints without links are components of their own; the others meet by root,
+    # where the smallest id is found by an aggregation that combines before the shuffle.
+    alone = ids.where(F.col("root").isNull()).select("fp", F.col("__least").alias("component_id"), "__n")
+    linked = ids.where(F.col("root").isNotNull()).select("fp", "root", "__n", "__least")
+    least = linked.groupBy("root").agg(F.min("__least").alias("component_id"), F.count(F.lit(1)).alias("__of"))
+    linked = join_unique(linked.drop("__least"), stage(least, "components"), "root", "__of")
+    verdict = alone.unionByName(linked.select("fp", "component_id", "__n"))
     return join_unique(docs, stage(verdict, "components"), "fp", "__n")
 
 
