@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sparkq.functions.common import WHITE_SPACE, as_column
+from sparkq.functions.common import WHITE_SPACE, as_column, bound
 from sparkq.plans.sizing import broadcast_if_small
 
 # Billing units, and refund reasons by call status.
@@ -66,16 +67,20 @@ def check_prices(spec: DataFrame) -> DataFrame:
     return spec.withColumn("error", error)
 
 
-def _base(key: str, expressions: Mapping[str, str] | None) -> Column:
+def _base(priced: DataFrame, key: str, expressions: Mapping[str, str] | None) -> Column:
     """Base rate: the amount, or the expression of the backend over the call's columns.
 
     An expression may give a number or a text that reads as one.
     """
-    base = parse_amount("__amount")
+    base = F.col("__amount")
     for backend, expression in (expressions or {}).items():
-        text = F.expr(expression).cast("string")
-        value = F.when(F.trim(text).rlike(_NUMBER), F.trim(text).try_cast("double"))
-        base = F.when(F.col(key) == backend, value).otherwise(base)
+        value = F.expr(expression)
+        if isinstance(priced.select(value.alias("e")).schema["e"].dataType, T.NumericType):
+            number = bound(value.cast("double"), lambda v: F.when(_finite(v), v))
+        else:
+            text = F.trim(value.cast("string"))
+            number = bound(text, lambda t: F.when(t.rlike(_NUMBER), t.try_cast("double")))
+        base = F.when(F.col(key) == backend, number).otherwise(base)
     return base
 
 
@@ -89,9 +94,9 @@ def _priced(calls: DataFrame, spec: DataFrame, key: str) -> DataFrame:
     def text(name: str) -> Column:
         return F.col(name) if name in spec.columns else F.lit(None).cast("string")
 
-    price = F.struct(
-        "unit", text("amount").alias("__amount"), "currency", text("max_per_call").alias("__cap")
-    )
+    # Amounts are read here, once for each price.
+    amount, cap = parse_amount(text("amount")), parse_amount(text("max_per_call"))
+    price = F.struct("unit", amount.alias("__amount"), "currency", cap.alias("__cap"))
     checked = check_prices(spec).groupBy(F.col(key).alias("__backend")).agg(
         F.min(price).alias("p"), F.count("*").alias("n"), F.max("error").alias("error")
     )
@@ -125,23 +130,26 @@ def charges(
 def _with_charge(
     priced: DataFrame, key: str, expressions: Mapping[str, str] | None, rows: str, payload_bytes: str
 ) -> DataFrame:
-    base = _base(key, expressions)
+    base = _base(priced, key, expressions)
     total = (
         F.when(F.col("unit") == "per_row", base * F.col(rows))
         .when(F.col("unit") == "per_byte", base * F.col(payload_bytes))
         .otherwise(base)
     )
-    cap = parse_amount("__cap")
-    reason = (
-        F.when(F.col("__total").isNull(), F.lit("not_a_number"))
-        .when(~_finite(F.col("__total")) | (F.col("__total") < 0), F.lit("not_payable"))
-        .when(F.coalesce(F.col("__total") > cap, F.lit(False)), F.lit("over_cap"))
-    )
+
+    def judged(total: Column) -> Column:
+        reason = (
+            F.when(total.isNull(), F.lit("not_a_number"))
+            .when(~_finite(total) | (total < 0), F.lit("not_payable"))
+            .when(F.coalesce(total > F.col("__cap"), F.lit(False)), F.lit("over_cap"))
+        )
+        return F.struct(reason.alias("reason"), F.when(reason.isNull(), total).alias("charge"))
+
     return (
-        priced.withColumn("__total", total)
-        .withColumn("refused_reason", reason)
-        .withColumn("charge", F.when(F.col("refused_reason").isNull(), F.col("__total")))
-        .drop("__total")
+        priced.withColumn("__judged", bound(total, judged))
+        .withColumn("refused_reason", F.col("__judged.reason"))
+        .withColumn("charge", F.col("__judged.charge"))
+        .drop("__judged")
     )
 
 
@@ -174,7 +182,7 @@ def _with_refund(
     priced: DataFrame, key: str, expressions: Mapping[str, str] | None, status: str
 ) -> DataFrame:
     reasons = F.create_map(*[F.lit(x) for pair in REFUND_REASONS.items() for x in pair])
-    base = _base(key, expressions)
+    base = _base(priced, key, expressions)
     payable = F.when(_finite(base) & (base >= 0), base)
     amount = F.when(F.col("unit").isin(*FLAT_UNITS), payable)
     return priced.withColumn("amount", F.coalesce(amount, F.lit(0.0))).withColumn(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from sparkq.functions.encode import (
     binary_struct,
     decode_or_null,
+    derived_value_text,
     encoded,
     finite_or_null,
     naive_timestamp_text,
@@ -261,3 +262,25 @@ def output_schema_modes(spark, sf_dir):
             "orders": read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v")),
         }
     )
+
+
+@query(
+    """SELECT event_id, CAST(event_id * 2 AS VARCHAR) AS whole, to_base64(encode(event_type)) AS bytes,
+              concat('{"', event_id, '":', user_id, ',"', event_id + 1, '":null}') AS keyed,
+              concat('["', event_type, '",null]') AS listed, NULL AS missing
+       FROM events"""
+)
+def derived_value_texts(spark, sf_dir):
+    """Derived values at the edge to JSON: bytes, maps of whole numbers, lists, null."""
+    derived = read(spark, sf_dir, "events").select(
+        "event_id",
+        (F.col("event_id") * 2).alias("whole"),
+        F.col("event_type").cast("binary").alias("bytes"),
+        F.create_map("event_id", "user_id", F.col("event_id") + 1, F.lit(None).cast("bigint")).alias("keyed"),
+        F.array("event_type", F.lit(None)).alias("listed"),
+        F.lit(None).cast("string").alias("missing"),
+    )
+    return derived.select(
+        "event_id",
+        *[derived_value_text(F.col(f.name), f.dataType).alias(f.name) for f in derived.schema.fields[1:]],
+    )

@@ -122,6 +122,17 @@ def policy_unset_variable(spark, sf_dir):
     ).select("c_custkey")
 
 
+@query(
+    """SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'"""
+)
+def policy_partly_unset(spark, sf_dir):
+    """Of a policy with a variable that has no value, the part that does not need it."""
+    policy = "c_nationkey = :app_nation OR c_mktsegment = :app_segment"
+    return apply_policy(
+        read(spark, sf_dir, "customer"), policy, {"app.segment": "BUILDING"}, declared=["app.nation"]
+    ).select("c_custkey", "c_mktsegment")
+
+
 REQUESTS = """SELECT event_id, ts, CAST(user_id AS STRING) AS idempotency_scope_hash,
                      concat(event_type, ':', regexp_extract(props, '([0-9]+)', 1)) AS idempotency_key
               FROM {events}"""
