@@ -19,4 +19,6 @@ def pack_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 @query()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per sequence. Null and empty texts are sequences of no tokens; a text over
+    the budget is several; repeated rows are sequences of their own."""
     return pack_documents(spark, read(spark, sf_dir, "documents"))

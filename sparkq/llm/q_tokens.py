@@ -13,6 +13,7 @@ LIMIT = 2048
 
 @query()
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document; null and empty texts have no bytes and no tokens."""
     path = public_tokenizers.path("word_bpe_49k.json")
     text = F.coalesce("text", F.lit(""))
     counted = read(spark, sf_dir, "documents").select(

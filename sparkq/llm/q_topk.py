@@ -27,4 +27,6 @@ QUALIFY rank <= 10
 
 @query(ORACLE)
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to ten rows per query. A query's own row is every row with its id, so that a
+    repeated id is no candidate of its own; other repeated rows take one place."""
     return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

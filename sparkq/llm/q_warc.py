@@ -22,9 +22,14 @@ FROM payloads p LEFT JOIN firsts f ON p.html = f.html
 
 @query(ORACLE)
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per page. Sizes of responses are those of the payloads read back; a revisit
+    has no payload, so its header tells."""
+    size = F.when(header("WARC-Type") == "response", F.octet_length("payload")).otherwise(
+        header("Page-Payload-Length").cast("long")
+    )
     return round_trip(spark, read(spark, sf_dir, "pages")).select(
         header("Page-Id").cast("long").alias("page_id"),
-        header("Page-Payload-Length").cast("long").alias("payload_bytes"),
+        size.cast("long").alias("payload_bytes"),
         "payload_digest",
         header("WARC-Type").alias("record_type"),
         header("Refers-To-Page-Id").cast("long").alias("refers_to"),

@@ -38,6 +38,19 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def check_normalizer(normalizer: dict | None, path: str) -> None:
+    """Refuse a file whose texts are prepared in another way than ``Counter.words`` does:
+    NFC, white space collapsed, lower case."""
+    steps = (normalizer or {}).get("normalizers", [normalizer or {}])
+    kinds = [s.get("type") for s in steps]
+    if kinds != ["NFC", "Replace", "Lowercase"] or steps[1] != {
+        "type": "Replace",
+        "pattern": {"Regex": r"\s+"},
+        "content": " ",
+    }:
+        raise ValueError(f"{path}: texts are to be prepared by {kinds}, which is not supported")
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Arrays of a tokenizer file: symbols of single bytes (inside and at the end of a
@@ -56,6 +69,7 @@ class Vocabulary:
     def load(path: str) -> Vocabulary:
         with open(path, encoding="utf-8") as file:
             whole = json.load(file)
+        check_normalizer(whole.get("normalizer"), path)
         model = whole["model"]
         ids, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         letters = byte_letters()

@@ -5,10 +5,11 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparkq.llm.pieces import MARK, Encoder, Pieces, decode, encode
+from sparkq.llm.pieces import MARK, SLICE, Encoder, Pieces, decode, encode
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["", " ", "  a  b\n c ▁d\t́e", "日本語🙂👍🏽\n\n", "x" * 3000, "   lead", "a\x00b", "▁▁ ▁", "trail  "]
@@ -95,3 +96,20 @@ def test_documents_come_back(spark, sf_dir):
     rows = op5_sentencepiece(spark, sf_dir)
     assert rows.where("NOT lossless").count() == 0
     assert rows.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_memory_is_bounded_by_slices_and_memo(pieces):
+    """Many new words: arcs and slices stay within their bounds, whatever the batch."""
+    import random
+    import tracemalloc
+
+    rng = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randrange(3, 12))) for _ in range(400)) for _ in range(900)]
+    encoder = Encoder(pieces, 1, 1.0)
+    tracemalloc.start()
+    for part, ids in encoder.slices(pa.array(texts), keys(len(texts))):
+        assert sum(map(len, part)) <= SLICE and len(ids) == len(part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 2_500_000 and peak < 250_000_000

@@ -54,3 +54,8 @@ def test_column(spark, sf_dir):
     odd = spark.createDataFrame([(None,), ("",), ("a b",), ("a b",)], "text string")
     assert sorted(r[0] for r in odd.select(token_count(spark, F.col("text"), PATH)).collect()) == [0, 0, 2, 2]
     assert odd.limit(0).select(token_count(spark, F.col("text"), PATH)).count() == 0
+
+
+def test_other_preparation_is_refused():
+    with pytest.raises(ValueError, match="not supported"):
+        Vocabulary.load(public_tokenizers.path("byte_bpe_50k.json"))
