@@ -13,6 +13,7 @@ what is sorted.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
@@ -21,14 +22,28 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_state_store(spark: SparkSession) -> None:
-    """Keep streaming state of this session in RocksDB, which keyed state needs."""
-    if spark.conf.get(PROVIDER, None) != ROCKSDB:
-        spark.conf.set(PROVIDER, ROCKSDB)
+# State in RocksDB, committed as changes instead of snapshots, all of a join in one store.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+
+
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """The settings of ``STATE_STORE`` for a query that is started inside; a running query
+    keeps the settings it was started with, and the session gets back its own."""
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def in_order(names: Sequence[str]) -> Callable[[Row], tuple]:
@@ -94,8 +109,8 @@ class First(StatefulProcessor):
 def with_state(
     stream: DataFrame, key: Sequence[str], processor: StatefulProcessor, schema: T.StructType, ttl_ms: int | None
 ) -> DataFrame:
-    """Rows of ``processor``, applied to each key of an append-only stream."""
-    use_state_store(stream.sparkSession)
+    """Rows of ``processor``, applied to each key of an append-only stream. The query has
+    to be started with ``STATE_STORE``, as ``write_parquet`` does."""
     return stream.groupBy(*key).transformWithState(
         statefulProcessor=processor,
         outputStructType=schema,
@@ -133,13 +148,14 @@ def first_of_key(
 def write_parquet(
     stream: DataFrame, out: str, work: str, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:
-    """Append a stream to the parquet table ``out``, exactly once; ``work`` is the folder
-    of its checkpoint and must be one the cluster shares."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
-        .option("checkpointLocation", f"{work}/checkpoint")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    """Append a stream to the parquet table ``out``, exactly once, with its state in
+    RocksDB; ``work`` is the folder of its checkpoint and must be one the cluster shares."""
+    with state_store(stream.sparkSession):
+        return (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", out)
+            .option("checkpointLocation", f"{work}/checkpoint")
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )

@@ -18,7 +18,7 @@ from sparkq.operators.waiting import (
     check_await,
     check_threshold,
 )
-from sparkq.streaming.state import keyed, use_state_store, write_parquet
+from sparkq.streaming.state import keyed, write_parquet
 
 
 def awaited(
@@ -88,7 +88,6 @@ def await_stream(
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Append the waits of ``awaited`` to the table ``out``."""
-    use_state_store(events.sparkSession)
     waits = awaited(events, is_trigger, is_check, key, event_id, event_ts, delay_ms, timeout_ms)
     return write_parquet(waits, out, work, trigger)
 
