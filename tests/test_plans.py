@@ -115,7 +115,7 @@ def test_no_cartesian_products(plans):
 
 def test_windows_are_partitioned(plans):
     # Offsets of ranges are summed in one task: one row per range partition.
-    offsets = {"page_manifest_lineitem", "resource_listing_pages"}
+    offsets = {"page_manifest_lineitem", "resource_listing_pages", "paged_events", "paged_events_nullable"}
     for name, text in plans.items():
         one_task = "Exchange SinglePartition" in text and "Window [" in text
         assert not one_task or name in offsets, name
