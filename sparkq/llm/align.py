@@ -42,7 +42,7 @@ FAN_IN = 64
 RADIX_BITS, A_BITS, B_BITS = 8, 18, 18
 PAIR_BITS = A_BITS + B_BITS
 # Characters of text in a slice, and rows at most.
-SLICE, SLICE_ROWS = 4_000_000, 1 << 16
+SLICE, SLICE_ROWS = 2_000_000, 1 << 16
 DOC_BITS = 16
 # Characters tokenised at a time.
 STEP = 400_000
@@ -469,6 +469,9 @@ def align_corpus(
     ``outputs`` may name other columns instead of ``groups``, as expressions over it;
     they are computed before anything is written, so that long texts of ids need not be.
     """
+    taken = {*COUNTS, "n_best", "count_sum", *(outputs or {"groups": None})}
+    if clash := taken & set(keep):
+        raise ValueError(f"columns to keep that are results, too: {sorted(clash)}")
     outputs = {"groups": F.col("groups")} if outputs is None else dict(outputs)
     made = [f"o{i}" for i in range(len(outputs))]
     rows = slice_rows(docs, F.col(f"`{text}`"), a_path, b_path, keep, slice_chars)

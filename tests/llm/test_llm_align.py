@@ -139,3 +139,5 @@ def test_odd_tables(spark):
     assert [r[:2] for r in rows] == [(1, "y"), (1, "y"), (1, None), (None, "x")]
     assert rows[2][2:] == rows[3][2:] == (0, 0, 0, 0)
     assert rows[0] == rows[1] and rows[0][4] == 2 * rows[0][3]
+    with pytest.raises(ValueError, match="n_a"):
+        align.align_corpus(spark, odd.withColumn("n_a", F.lit(1)), "text", A, B, ["n_a"])
