@@ -23,9 +23,9 @@ def check_interval(interval_ms: int = DEFAULT_INTERVAL_MS) -> int:
     return interval_ms
 
 
-def _changed(cursor: str) -> Column:
-    previous = F.col("__prev")
-    return previous.isNotNull() & ~previous.eqNullSafe(F.col(cursor))
+def changed(cursor: str, previous: str = "__prev") -> Column:
+    """Whether a cursor is another than the one before, if there was one."""
+    return F.col(previous).isNotNull() & ~F.col(previous).eqNullSafe(F.col(cursor))
 
 
 def _successful(samples: DataFrame, error: str | None) -> DataFrame:
@@ -52,7 +52,7 @@ def change_events(
         [Running("__prev", "prev", F.col(cursor))],
         hot_rows,
     )
-    return rows.where(_changed(cursor)).withColumnRenamed("__prev", "previous")
+    return rows.where(changed(cursor)).withColumnRenamed("__prev", "previous")
 
 
 def version_stamps(
@@ -70,7 +70,7 @@ def version_stamps(
         order,
         [
             Running("__prev", "prev", F.col(cursor)),
-            Running("version", "sum", F.when(_changed(cursor), 1).otherwise(0).cast("bigint")),
+            Running("version", "sum", F.when(changed(cursor), 1).otherwise(0).cast("bigint")),
         ],
         hot_rows,
     )

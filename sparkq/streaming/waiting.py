@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +20,8 @@ from sparkq.operators.waiting import (
     check_await,
     check_threshold,
 )
-from sparkq.streaming.state import keyed, write_parquet
+from sparkq.plans.ordered import Running, scan_in_order
+from sparkq.streaming.state import CARRY, TIE, Fold, with_carries, write_batches, write_parquet
 
 
 def awaited(
@@ -92,22 +95,20 @@ def await_stream(
     return write_parquet(waits, out, work, trigger)
 
 
-def streaks(
-    calls: DataFrame,
-    service: str,
-    order: Sequence[str],
-    status: str = "status",
-    threshold: int = FAILURE_THRESHOLD,
-    ttl_ms: int | None = None,
-) -> DataFrame:
-    """Calls of a stream with ``streak`` and ``tripped``; state is a service's streak."""
-    failures = FAILURES
+def _call_runs(failed: pa.Array, starts: pa.Array) -> list[pa.Array]:
+    """Failures at the end of each run, and whether there is another call before them."""
+    at = pa.array(range(len(failed)), pa.int64())
+    reset = pc.fill_null(pc.if_else(failed, pa.scalar(None, pa.int64()), at), -1)
+    last = pc.cumulative_max(reset)
+    starts = starts.cast(pa.int64())
+    ends = pa.concat_arrays([pc.subtract(starts[1:], 1), pa.array([len(failed) - 1], pa.int64())])
+    whole = pc.less(last.take(ends), starts)
+    before = pc.if_else(whole, pc.subtract(starts, 1), last.take(ends))
+    return [pc.subtract(ends, before), pc.invert(whole)]
 
-    def step(state, row):
-        streak = (state[0] if state else 0) + 1 if row[status] in failures else 0
-        return (streak,), (streak, streak == threshold)
 
-    return keyed(calls, [service], order, step, "streak bigint", "streak bigint, tripped boolean", ttl_ms)
+def _after_run(state: tuple | None, run: Row) -> tuple:
+    return (run["failures"] + (0 if run["reset"] or state is None else state[0]),)
 
 
 def failure_streak_stream(
@@ -121,9 +122,28 @@ def failure_streak_stream(
     trigger: Mapping[str, object] | None = None,
     ttl_ms: int | None = None,
 ) -> StreamingQuery:
-    """Calls with ``streak`` and ``tripped``; streaks run on across micro-batches."""
+    """Calls with ``streak`` and ``tripped``; streaks run on across micro-batches.
+
+    State is a service's streak; with ``ttl_ms`` it is dropped so long after its last
+    change. A micro-batch is one ordered scan that starts at these streaks, so no service
+    has to fit into one task.
+    """
     check_threshold(threshold)
-    return write_parquet(streaks(calls, service, order, status, threshold, ttl_ms), out, work, trigger)
+    fails = F.coalesce(F.col(status).isin(*FAILURES), F.lit(False))
+    fold = Fold(fails, _call_runs, "failures bigint, reset boolean", _after_run, "streak bigint")
+    counted = F.when(F.col(CARRY), F.col("__s0")).otherwise(fails.cast("bigint"))
+    steps = [
+        Running("__failures", "sum", counted),
+        Running("__at_reset", "max", F.when(~F.col(CARRY) & ~fails, F.col("__failures"))),
+    ]
+    streak = F.col("__failures") - F.coalesce("__at_reset", F.lit(0))
+
+    def run(batch: DataFrame) -> DataFrame:
+        rows = batch.withColumn("__row", ~F.col(CARRY))
+        scanned = scan_in_order(rows, [service], ["__row", *order, TIE], steps).where("__row")
+        return scanned.select(*calls.columns, streak.alias("streak"), (streak == threshold).alias("tripped"))
+
+    return write_batches(with_carries(calls, [service], order, fold, ttl_ms), run, out, work, trigger)
 
 
 def rollup_stream(

@@ -189,3 +189,20 @@ def test_triggers_without_or_with_equal_ids(spark, rows, quantise):
 def test_threshold_must_be_positive(spark):
     with pytest.raises(ValueError):
         W.failure_streaks(spark.createDataFrame([], CALLS), ["backend"], ["seq"], threshold=0)
+
+
+def test_a_busy_service_passes_python_as_runs(spark, rows, tmp_path):
+    """All calls are of one service; what meets its state is a few runs, without the calls' columns."""
+    rng = random.Random(4)
+    data = [(i, "one", rng.choice(STATUSES[:3]), f"payload {i}") for i in range(600)]
+    stream = write_parts(spark, data, CALLS + ", payload string", str(tmp_path / "in"), 3)
+    query = failure_streak_stream(
+        stream, "backend", ["seq"], str(tmp_path / "out"), str(tmp_path / "work"), threshold=3
+    )
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(got.select("seq", "streak", "tripped")) == streaks([d[:3] for d in data])
+    plan = query._jsq.explainInternal(False)
+    python = [line for line in plan.splitlines() if "TransformWithStateInPySpark" in line or "MapInArrow" in line]
+    assert len(python) == 2 and not any("payload" in line for line in python)
+    assert "rangepartitioning" in plan
