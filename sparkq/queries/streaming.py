@@ -19,6 +19,7 @@ from sparkq.streaming.waiting import await_stream, failure_streak_stream, rollup
 
 
 BATCHES = 3
+ROW_GROUP_BYTES = 4 << 20
 
 
 def event_stream(spark: SparkSession, sf_dir: str, closing: bool = False) -> DataFrame:
@@ -37,7 +38,8 @@ def event_stream(spark: SparkSession, sf_dir: str, closing: bool = False) -> Dat
     )
     part = sum((F.when(at > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
     for i in range(BATCHES):
-        events.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+        # One file is one micro-batch; with small row groups many tasks read it.
+        events.where(part == i).repartition(1).write.option("parquet.block.size", ROW_GROUP_BYTES).mode("append").parquet(folder)
     for weeks in (1, 2) if closing else ():
         last = events.agg(F.max("ts").alias("ts")).select(
             *[

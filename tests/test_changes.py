@@ -233,3 +233,18 @@ def test_idempotent_stream_across_batches(spark, rows, tmp_path):
     query.awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("idempotency_key")
     assert rows(got) == [(f"k{i}",) for i in range(7)]
+
+
+def test_first_requests_pass_no_python(spark, rows, tmp_path):
+    data = [(i, (i * 7) % 90, None if i % 4 == 0 else "s", f"k{i % 13}") for i in range(90)]
+    schema = "id int, seq int, idempotency_scope_hash string, idempotency_key string"
+    stream = write_parts(spark, data, schema, str(tmp_path / "in"), 3)
+    query = apply_once_batches(stream, ["seq"], str(tmp_path / "out"), str(tmp_path / "work"))
+    query.awaitTermination()
+    first = {}
+    for p in range(3):
+        for i, _, scope, key in sorted(data[p * 30 : (p + 1) * 30], key=lambda r: r[1]):
+            first.setdefault((scope, key), i)
+    got = spark.read.parquet(str(tmp_path / "out")).select("id")
+    assert rows(got) == sorted(((i,) for i in first.values()), key=repr)
+    assert "Python" not in (plan := query._jsq.explainInternal(False)) and "PySpark" not in plan
