@@ -248,3 +248,25 @@ def test_first_requests_pass_no_python(spark, rows, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).select("id")
     assert rows(got) == sorted(((i,) for i in first.values()), key=repr)
     assert "Python" not in (plan := query._jsq.explainInternal(False)) and "PySpark" not in plan
+
+
+@pytest.mark.parametrize("kind", ["double", "array<int>"])
+def test_a_busy_watch_passes_python_as_runs(spark, rows, tmp_path, kind):
+    """One watch fills several ranges and micro-batches; NaN is equal to NaN, as in a batch."""
+    rng = random.Random(6)
+    values = [1.0, 2.0, float("nan"), None] if kind == "double" else [[1], [1, 2], [], None]
+    data = [(i, "one", T0 + timedelta(seconds=i // 3), rng.choice(values), None) for i in range(360)]
+    schema = SCHEMA.replace("cursor string", f"cursor {kind}")
+    stream = write_parts(spark, data, schema, str(tmp_path / "in"), 3)
+    query = change_stream(
+        stream, "watch", ["ts", "id"], "cursor", str(tmp_path / "out"), str(tmp_path / "work"), error="error"
+    )
+    query.awaitTermination()
+    df = spark.createDataFrame(data, schema)
+    events = C.change_events(df, "watch", ["ts", "id"], "cursor", "error").select("id", "previous")
+    want = events.join(C.version_stamps(df, "watch", ["ts", "id"], "cursor", "error").select("id", "version"), "id")
+    got = spark.read.parquet(str(tmp_path / "out")).select("id", "previous", "version")
+    # By text, as NaN is not equal to itself.
+    assert list(map(repr, rows(got))) == list(map(repr, rows(want)))
+    python = [x for x in query._jsq.explainInternal(False).splitlines() if "TransformWithStateInPySpark" in x]
+    assert python and not any("id#" in x.replace("__", "") for x in python)
