@@ -226,9 +226,11 @@ def _next_writes(
         following.append(F.when(F.col("kind") == 1, F.col("next_put")))
     if not steps:
         return nodes.select(F.col("__n").alias("n"), F.col("__n").alias("to")).limit(0)
-    found = scan_in_order(points, ["p"], ["back", "kind", "__n"], steps, hot_rows).where("of IS NOT NULL")
-    least = found.groupBy("of").agg(F.min(F.coalesce(*following)).alias("to"))
-    return least.where("to IS NOT NULL AND NOT to.root").select(F.col("of").alias("n"), F.col("to.__n").alias("to"))
+    scanned = scan_in_order(points, ["p"], ["back", "kind", "__n"], steps, hot_rows).where("of IS NOT NULL")
+    found = scanned.select("of", F.coalesce(*following).alias("to")).where("to IS NOT NULL")
+    # Dealt out first: a minimum of structs sorts, and a task that scans holds rows enough.
+    least = found.repartition("of").groupBy("of").agg(F.min("to").alias("to"))
+    return least.where("NOT to.root").select(F.col("of").alias("n"), F.col("to.__n").alias("to"))
 
 
 def reuse_outcomes(

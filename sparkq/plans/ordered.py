@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 
 from sparkq.plans.staging import stage
 
-# A group of this many rows is still one comfortable task (sort plus spill).
-HOT_GROUP_ROWS = 20_000_000
+# A group of this many rows is still one comfortable task: its sort and the window hold
+# some 200 bytes a row of scans with a few columns (measured in the replay of requests).
+HOT_GROUP_ROWS = 2_000_000
 # Aim for ranges of this size when the session's partition count would exceed it.
-RANGE_ROWS = 5_000_000
+RANGE_ROWS = 1_000_000
 
 _RANGE = "__range"
 _TIE = "__row_hash"

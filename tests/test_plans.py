@@ -162,3 +162,12 @@ def test_ordered_scans_agree_on_ties(spark):
     one = scan_in_order(df, ["g"], ["at"], step, hot_rows=10**9)
     many_ = scan_in_order(df, ["g"], ["at"], step, hot_rows=100)
     assert one.exceptAll(many_).isEmpty() and many_.exceptAll(one).isEmpty()
+
+
+def test_a_group_of_millions_is_no_single_task(spark):
+    """By default a group of 2.5 million rows is scanned in ranges."""
+    n = 2_500_000
+    df = spark.range(n).select(F.lit("one").alias("g"), "id")
+    got = scan_in_order(df, ["g"], ["id"], [Running("n", "sum", F.lit(1))])
+    assert got.where(F.col("n") != F.col("id") + 1).count() == 0 and got.count() == n
+    assert "__range" in got._jdf.queryExecution().executedPlan().toString()
