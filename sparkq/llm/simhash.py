@@ -22,7 +22,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import combinations
+from itertools import chain, combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -112,21 +113,26 @@ class Block:
     def table(self, most: int) -> ErrorTable:
         """Errors of up to ``most`` bits by syndrome, lightest first: the differences
         between a word of that syndrome and the anchors within ``most`` bits."""
-        found: list[tuple[int, int, int]] = []
+        # As arrays throughout: 880,970 errors of a Golay block, in every Python worker.
+        columns = np.array(self.columns, np.int64)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for weight in range(min(most, self.length) + 1):
-            for bits in combinations(range(self.length), weight):
-                syndrome = error = 0
-                for b in bits:
-                    syndrome ^= self.columns[b]
-                    error |= 1 << b
-                found.append((syndrome, weight, error))
-        by, weights, errors = (np.array(c, np.uint64) for c in zip(*sorted(found)))
+            n = comb(self.length, weight)
+            bits = chain.from_iterable(combinations(range(self.length), weight))
+            bits = np.fromiter(bits, np.uint8, n * weight).reshape(n, weight)
+            syndromes, errors = np.zeros(n, np.int64), np.zeros(n, np.uint64)
+            for b in bits.T:
+                syndromes ^= columns[b]
+                errors |= np.uint64(1) << b.astype(np.uint64)
+            found.append((syndromes, np.full(n, weight), errors))
+        by, weights, errors = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((errors, weights, by))
         size = 1 << self.parity
-        upto = np.zeros((size, most + 1), np.int64)
-        np.add.at(upto, (by.astype(np.int64), weights.astype(np.int64)), 1)
-        upto = upto.cumsum(axis=1)
+        each = np.zeros((size, most + 1), np.int64)
+        np.add.at(each, (by, weights), 1)
+        upto = each.cumsum(axis=1)
         start = np.cumsum(upto[:, -1]) - upto[:, -1]
-        return ErrorTable(errors, weights.astype(np.int64), start, upto, (upto == 0).sum(axis=1))
+        return ErrorTable(errors[order], weights[order], start, each, upto, (upto == 0).sum(axis=1))
 
 
 @dataclass(frozen=True)
@@ -134,6 +140,7 @@ class ErrorTable:
     errors: np.ndarray
     weights: np.ndarray
     start: np.ndarray  # of each syndrome in errors
+    each: np.ndarray  # errors of a syndrome that have exactly so many bits
     upto: np.ndarray  # errors of a syndrome that have at most so many bits
     least: np.ndarray  # bits of the lightest error of a syndrome
 
@@ -179,6 +186,19 @@ class Code:
             shift += block.length
         return out
 
+    def near(self, words: np.ndarray, reach: int) -> np.ndarray:
+        """How many anchors ``within`` finds for each word."""
+        by_bits = np.zeros((len(words), reach + 1), np.int64)
+        by_bits[:, 0] = 1
+        shift = 0
+        for block in self.blocks:
+            each = block.table(reach).each[block.syndromes(words >> np.uint64(shift))]
+            so_far, by_bits = by_bits, np.zeros_like(by_bits)
+            for bits in range(reach + 1):
+                by_bits[:, bits:] += so_far[:, : reach + 1 - bits] * each[:, bits, None]
+            shift += block.length
+        return by_bits.sum(axis=1)
+
     def within(self, words: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
         """All anchors that differ from a word in at most ``reach`` coded bits.
 
@@ -216,19 +236,52 @@ def code_for(n: int) -> Code:
     return TWO_GOLAY if n <= MANY else TWO_GOLAY_HAMMING
 
 
-# Fingerprints replicated at a time, and by one task.
-CHUNK, TASK = 4096, 16_384
+# Replicas held at a time, and fingerprints replicated by one task.
+REPLICAS, TASK = 1 << 18, 16_384
+# Fingerprints whose replicas are counted at a time.
+CHUNK = 4096
+# Rows that a partition or file has room for.
+FILE = 16_384
+
+
+def slices(words: np.ndarray, code: Code, reach: int) -> Iterator[np.ndarray]:
+    """``words`` in runs that have at most ``REPLICAS`` anchors within ``reach`` bits, or
+    are one word. A word near an anchor has 20 times as many as most, and near copies
+    share theirs."""
+    for i in range(0, len(words), CHUNK):
+        part = words[i : i + CHUNK]
+        ends, done = np.cumsum(code.near(part, reach)), 0
+        while done < len(part):
+            before = ends[done - 1] if done else 0
+            upto = max(done + 1, int(np.searchsorted(ends, before + REPLICAS, "right")))
+            yield part[done:upto]
+            done = upto
+
+
+def fitted(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most ``rows`` rows, in as many partitions as they fill: few rows go to
+    few files, not to one for each shuffle partition. Each file costs its executor time
+    and, where the mode is set by a command, a child process."""
+    return df.coalesce(-(-rows // FILE) or 1)
+
+
+def packed(df: DataFrame, label: str, rows: int) -> DataFrame:
+    return stage(fitted(df, rows), label)
 
 
-def links(fingerprints: DataFrame, threshold: int = BITS, code: Code | None = None) -> DataFrame:
+def links(
+    fingerprints: DataFrame, threshold: int = BITS, code: Code | None = None, rows: int | None = None
+) -> DataFrame:
     """Pairs (a, b), a < b, of the distinct values of column ``fp`` that differ in at
-    most ``threshold`` bits. Nulls take no part."""
-    distinct = stage(fingerprints.select("fp").dropna().distinct(), "fingerprints")
+    most ``threshold`` bits. Nulls take no part. ``rows``: how many there are, if known."""
+    distinct = fingerprints.select("fp").dropna().distinct()
+    distinct = stage(distinct, "fingerprints") if rows is None else packed(distinct, "fingerprints", rows)
     n = distinct.count()
     used = code or code_for(n)
     reach = used.radius + threshold
+    tasks = -(-n // TASK) or 1
     # Eight bytes a row here, but many times the rows behind it.
-    spread = distinct.repartition(-(-n // TASK) or 1)
+    spread = distinct.repartition(tasks)
 
     def at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,10 +292,11 @@ def links(fingerprints: DataFrame, threshold: int = BITS, code: Code | None = No
     def replicated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch["fp"].to_numpy(zero_copy_only=False)
-            for i in range(0, len(fp), CHUNK):
-                part = fp[i : i + CHUNK]
-                at, anchors = used.within(part.view(np.uint64), reach)
-                yield pa.record_batch([anchors.view(np.int64), part[at]], ["anchor", "b"])
+            for part in slices(fp.view(np.uint64), used, reach):
+                at, anchors = used.within(part, reach)
+                yield pa.record_batch(
+                    [anchors.view(np.int64), part[at].view(np.int64)], ["anchor", "b"]
+                )
 
     homes = distinct.mapInArrow(at_home, "anchor long, a long")
     replicas = spread.mapInArrow(replicated, "anchor long, b long")
@@ -253,6 +307,8 @@ def links(fingerprints: DataFrame, threshold: int = BITS, code: Code | None = No
             & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold)
         )
         .select("a", "b")
+        # Few of the comparisons give links, and those of near copies come from few anchors.
+        .repartition(tasks)
     )
 
 
@@ -264,12 +320,14 @@ def connected(pairs: DataFrame) -> DataFrame:
     it has links; rounds are written to the shared folder.
     """
     pairs = stage(pairs, "links")
+    nodes = 2 * pairs.count()
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = stage(
+    labels = packed(
         both.groupBy("a").agg(F.min("b").alias("m")).select(
             F.col("a").alias("node"), F.least("a", "m").alias("root")
         ),
         "roots",
+        nodes,
     )
     while True:
         near = (
@@ -280,13 +338,14 @@ def connected(pairs: DataFrame) -> DataFrame:
         lower = labels.join(near, F.col("node") == F.col("a"), "left").select(
             "node", F.col("root").alias("old"), F.least("root", F.coalesce("near", "root")).alias("root")
         )
-        lower = stage(lower, "roots")
+        lower = packed(lower, "roots", nodes)
         above = lower.select(F.col("node").alias("up"), F.col("root").alias("top"))
-        jumped = stage(
+        jumped = packed(
             lower.join(above, F.col("root") == F.col("up"), "left").select(
                 "node", "old", F.least("root", F.coalesce("top", "root")).alias("root")
             ),
             "roots",
+            nodes,
         )
         labels = jumped.select("node", "root")
         if jumped.where(F.col("root") != F.col("old")).isEmpty():
@@ -300,24 +359,26 @@ def components(docs: DataFrame, threshold: int = BITS, code: Code | None = None)
     none). Rows of equal fingerprints are one node; repeated rows stay repeated.
     """
     docs = stage(docs, "signatures")
-    return grouped(docs, connected(links(docs, threshold, code)))
+    return grouped(docs, connected(links(docs, threshold, code, docs.count())))
 
 
 def grouped(docs: DataFrame, roots: DataFrame) -> DataFrame:
     """``docs`` (staged) with the ``component_id`` that the roots (node, root) of ``fp`` give."""
-    ids = stage(
+    rows = docs.count()
+    ids = packed(
         docs.groupBy("fp").agg(F.min("doc_id").alias("__least"), F.count(F.lit(1)).alias("__n")),
         "fingerprint-ids",
+        rows,
     )
-    ids = stage(ids.join(roots, F.col("fp") == F.col("node"), "left"), "fingerprint-ids")
+    ids = packed(ids.join(roots, F.col("fp") == F.col("node"), "left"), "fingerprint-ids", rows)
     # Fingerprints without links are components of their own; the others meet by root,
     # where the smallest id is found by an aggregation that combines before the shuffle.
     alone = ids.where(F.col("root").isNull()).select("fp", F.col("__least").alias("component_id"), "__n")
     linked = ids.where(F.col("root").isNotNull()).select("fp", "root", "__n", "__least")
     least = linked.groupBy("root").agg(F.min("__least").alias("component_id"), F.count(F.lit(1)).alias("__of"))
-    linked = join_unique(linked.drop("__least"), stage(least, "components"), "root", "__of")
+    linked = join_unique(linked.drop("__least"), packed(least, "components", rows), "root", "__of")
     verdict = alone.unionByName(linked.select("fp", "component_id", "__n"))
-    return join_unique(docs, stage(verdict, "components"), "fp", "__n")
+    return fitted(join_unique(docs, packed(verdict, "components", rows), "fp", "__n"), rows)
 
 
 def near_duplicates(docs: DataFrame, threshold: int = BITS, code: Code | None = None) -> DataFrame:

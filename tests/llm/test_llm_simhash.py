@@ -8,6 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from sparkq.llm import simhash
 from sparkq.llm.simhash import (
     TWO_GOLAY,
     TWO_GOLAY_HAMMING,
@@ -18,6 +19,7 @@ from sparkq.llm.simhash import (
     keep_one,
     links,
     near_duplicates,
+    slices,
     text_fingerprint,
 )
 
@@ -67,6 +69,27 @@ def test_anchors_within_reach():
     assert all((int(h) ^ w).bit_count() <= code.radius for h, w in zip(homes.tolist(), words.tolist()))
 
 
+def test_replicas_at_a_time_are_bounded():
+    # Anchors themselves have 1,519 others within reach, most fingerprints 77.
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+    words[1000:4000] = TWO_GOLAY.home(words[1000:4000])
+    reach = TWO_GOLAY.radius + 2
+    parts = list(slices(words, TWO_GOLAY, reach))
+    assert np.concatenate(parts).tolist() == words.tolist()
+    found = [TWO_GOLAY.within(part, reach)[0] for part in parts]
+    assert max(len(at) for at in found) <= simhash.REPLICAS < sum(len(at) for at in found)
+    counts = np.concatenate([np.bincount(at, minlength=len(p)) for at, p in zip(found, parts)])
+    assert counts.tolist() == TWO_GOLAY.near(words, reach).tolist() and counts.max() == 1519
+
+
+def test_a_word_with_more_replicas_than_the_bound_goes_alone(monkeypatch):
+    monkeypatch.setattr(simhash, "REPLICAS", 100)
+    words = TWO_GOLAY.home(np.array([7, 8, 9 << 40], np.uint64))
+    assert [len(p) for p in slices(words, TWO_GOLAY, TWO_GOLAY.radius + 2)] == [1, 1, 1]
+    assert list(slices(words[:0], TWO_GOLAY, 8)) == []
+
+
 def signed(x):
     return x - 2**64 if x >= 2**63 else x
 
@@ -126,6 +149,40 @@ def test_connected(spark):
     assert connected(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("room, most", [(16_384, 1), (40, 8)])
+def test_few_rows_are_staged_in_few_files(spark, monkeypatch, room, most):
+    files = []
+
+    def counted(df, label, stage=simhash.stage):
+        out = stage(df, label)
+        files.append((label, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(simhash, "stage", counted)
+    monkeypatch.setattr(simhash, "FILE", room)
+    # Twelve chains of ten texts' fingerprints; ids count down along a chain.
+    prints = []
+    for i in range(12):
+        x = random.Random(i).getrandbits(64)
+        for b in range(0, 20, 2):
+            prints.append((1000 * i + 100 - b, signed(x)))
+            x ^= 3 << b
+    names = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        got = simhash.components(spark.createDataFrame(prints, "doc_id long, fp long"))
+        assert got.rdd.getNumPartitions() <= most
+        got = {r.doc_id: r.component_id for r in got.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i // 1000 * 1000 + 82 for i, _ in prints}
+    assert {label for label, _ in files} == {"signatures", "fingerprints", "links", "roots", "fingerprint-ids", "components"}
+    assert all(n <= most for label, n in files if label != "signatures"), files
+
+
 DOCS = [
     (5, "the same words come again and again here", "x"),
     (3, "the same words come again and again here", "y"),
